@@ -39,10 +39,21 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(paths)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .ppm_language import held_out, predict_languages, train
+
+    docs = table(spark, sf_dir, "documents")
+    predicted = predict_languages(docs.select("doc_id", "text"), train(docs))
+    return predicted.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_secret_scans": op4_secret_scans,
+    "op5_language_id": op5_language_id,
     "op9_token_counts": op9_token_counts,
 }
 
