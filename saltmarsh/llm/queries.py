@@ -49,11 +49,18 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .canonical_digest import fingerprint_documents
+
+    return fingerprint_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_secret_scans": op4_secret_scans,
     "op5_language_id": op5_language_id,
+    "op7_document_fingerprints": op7_document_fingerprints,
     "op9_token_counts": op9_token_counts,
 }
 
