@@ -61,6 +61,15 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .simhash_pivots import simhash_components
+
+    found = simhash_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat_formatting": op2_chat_formatting,
@@ -69,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op7_document_fingerprints": op7_document_fingerprints,
     "op9_token_counts": op9_token_counts,
+    "op10_simhash": op10_simhash,
 }
 
 
