@@ -70,12 +70,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chunk_dedup import chunk_report
+
+    return chunk_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_secret_scans": op4_secret_scans,
     "op5_language_id": op5_language_id,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_document_fingerprints": op7_document_fingerprints,
     "op9_token_counts": op9_token_counts,
     "op10_simhash": op10_simhash,
