@@ -216,8 +216,8 @@ def train(docs: DataFrame, order: int = ORDER, **bounds: int) -> PpmModel:
     return PpmModel(training_sample(docs, **bounds), order)
 
 
-def predict_languages(docs: DataFrame, model: PpmModel, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """``keep`` columns with lang_pred and score of every whole text."""
+def predict_languages(docs: DataFrame, model: PpmModel, keep: tuple[str, ...] = ("doc_id",), text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns with the language and its score, as columns of these names, of every whole text."""
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)
@@ -234,7 +234,7 @@ def predict_languages(docs: DataFrame, model: PpmModel, keep: tuple[str, ...] =
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*kept, "lang_pred", "score"])
 
     out = rows.mapInArrow(run, f"{schema}, lang_pred string, score double")
-    return out.select(*[F.col(k).alias(c) for c, k in zip(keep, kept)], "lang_pred", "score")
+    return out.select(*[F.col(k).alias(c) for c, k in zip(keep, kept)], F.col("lang_pred").alias(names[0]), F.col("score").alias(names[1]))
 
 
 def evaluate(predicted: DataFrame, lang: str = "lang") -> float:

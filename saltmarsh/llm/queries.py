@@ -76,6 +76,12 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_report(table(spark, sf_dir, "documents"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pruned_graph import nearest_neighbours
+
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat_formatting": op2_chat_formatting,
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_document_fingerprints": op7_document_fingerprints,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_token_counts": op9_token_counts,
     "op10_simhash": op10_simhash,
 }
