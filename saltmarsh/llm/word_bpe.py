@@ -13,6 +13,8 @@ import re
 from array import array
 
 _SIMPLE = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
+#: The commonest words: letters, and at most one sign after them.
+_LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?])?")
 _PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 #: str.split() takes these four for white space; the vocabulary's pattern does not.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
@@ -38,7 +40,7 @@ def words(text: str) -> list[str]:
 class WordEncoder:
     """ids(word) of a BPE vocabulary in the tokenizers JSON format, merges and all."""
 
-    def __init__(self, vocabulary_json: bytes, max_pretokens: int = 400_000):
+    def __init__(self, vocabulary_json: bytes, max_pretokens: int = 700_000):
         from tokenizers import Tokenizer
 
         spec = json.loads(vocabulary_json)
@@ -60,15 +62,16 @@ class WordEncoder:
         self.letters_are_plain = not any(s.isalpha() for s in self.specials)
         self.max_pretokens = max_pretokens
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def pretoken(self, piece: str) -> tuple[int, ...]:
         got = self.known.get(piece)
         if got is None:
             if len(piece) > 256:  # the pairwise merge loop is quadratic; the library's is not
                 return tuple(self.library.encode(piece, add_special_tokens=False).ids)
-            got = self._merge(piece)
-            if len(self.known) >= self.max_pretokens:
-                self.known.clear()
+            got = self.older.get(piece) or self._merge(piece)
+            if len(self.known) >= self.max_pretokens // 2:
+                self.known, self.older = {}, self.known
             self.known[piece] = got
         return got
 
@@ -91,8 +94,10 @@ class WordEncoder:
         return tuple(parts)
 
     def word(self, word: str) -> list[int] | tuple[int, ...]:
-        if self.letters_are_plain and word.isascii() and word.isalpha():
-            return self.pretoken(word.lower())
+        if self.letters_are_plain and (m := _LETTERS.fullmatch(word)):
+            letters, sign = m.groups()
+            ids = self.pretoken(letters.lower())
+            return ids + self.pretoken(sign) if sign else ids
         if _SIMPLE.fullmatch(word) and not any(s in word for s in self.specials):
             low = word.lower()
             pieces = _PRETOKEN.findall(low)
@@ -106,16 +111,23 @@ class WordEncoder:
 
 
 class _Cache(dict):
-    """Word -> value with misses computed once; the fixed tier stays, the rest is dropped when it grows too large."""
+    """Word -> value with misses computed once. The fixed tier stays; of the rest, two generations are kept.
+
+    A word met again moves from the old generation to the new one; when the new one is full it becomes the old one.
+    """
 
     def __init__(self, encoder: WordEncoder, fixed: dict, max_words: int):
         super().__init__(fixed)
-        self.encoder, self.fixed, self.limit = encoder, fixed, len(fixed) + max_words
+        self.encoder, self.fixed, self.limit = encoder, fixed, len(fixed) + max_words // 2
+        self.old: dict = {}
 
     def __missing__(self, word: str):
-        value = self.value(self.encoder.word(word))
+        value = self.old.get(word)
+        if value is None:
+            value = self.value(self.encoder.word(word))
         if len(word) <= MAX_CACHED_WORD:
             if len(self) >= self.limit:
+                self.old = dict(self)
                 self.clear()
                 self.update(self.fixed)
             self[word] = value
@@ -146,7 +158,7 @@ _ENCODERS: dict[int, WordEncoder] = {}
 _CACHES: dict[tuple, _Cache] = {}
 
 
-def worker_cache(kind: type[_Cache], vocabulary_json: bytes, fixed: dict[str, int] | None = None, key: str = "", max_words: int = 500_000) -> _Cache:
+def worker_cache(kind: type[_Cache], vocabulary_json: bytes, fixed: dict[str, int] | None = None, key: str = "", max_words: int = 1_000_000) -> _Cache:
     """The cache of this Python worker; it outlives single tasks because Spark reuses its workers."""
     at = (kind.__name__, hash(vocabulary_json), key)
     if at not in _CACHES:
