@@ -1,10 +1,706 @@
-"""Registry of the engine's own queries and their SQL."""
+"""The engine's queries over the driver's tables, each beside the SQL that it is held against.
+
+A query re-skins tables as catalogue records (a part as a product, a line item as a price row, a document as page text) and
+applies operators to them. ``query`` registers a function under its name with its SQL; None marks what SQL cannot express.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import parse, presentation, titles
+from ..functions import text as fold
+from ..operators import align, blocks, categories, prices, quality, skus
+from ..operators.validation import validate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    def register(fn: Callable[[Callable[[str], DataFrame]], DataFrame]):
+        name = fn.__name__
+        QUERIES[name] = lambda spark, sf_dir: fn(lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
+        QUERIES[name].__name__ = name
+        if sql is not None:
+            ORACLE_SQL[name] = sql.strip()
+        return fn
+
+    return register
+
+
+# ---- scalar functions
+
+_KEY = "regexp_replace(replace(lower(strip_accents({0})), 'ß', 'ss'), '[^a-z0-9]+', '', 'g')"
+_FOLD = "trim(regexp_replace(replace(lower(strip_accents({0})), 'ß', 'ss'), '[^a-z0-9]+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id, {_KEY.format('text')} AS match_key FROM documents")
+def match_key(t):
+    """F-02: accent-, case- and punctuation-free keys."""
+    return t("documents").select("doc_id", fold.match_key(F.col("text")).alias("match_key"))
+
+
+@query(f"SELECT doc_id, {_FOLD.format('text')} AS folded FROM documents")
+def fold_text(t):
+    """F-03."""
+    return t("documents").select("doc_id", fold.fold_text(F.col("text")).alias("folded"))
+
+
+@query("SELECT doc_id, replace(lower(strip_accents(text)), 'ß', 'ss') AS folded FROM documents")
+def fold_catalog(t):
+    """F-04: punctuation kept."""
+    return t("documents").select("doc_id", fold.fold_catalog(F.col("text")).alias("folded"))
+
+
+@query("SELECT p_partkey, nullif(trim(regexp_replace(lower(p_name || ' (' || p_type || ')'), '[^a-z0-9]+', '_', 'g'), '_'), '') AS attribute_key FROM part")
+def attribute_key(t):
+    """F-06: snake case of names."""
+    return t("part").select("p_partkey", fold.attribute_key(F.concat("p_name", F.lit(" ("), "p_type", F.lit(")"))).alias("attribute_key"))
+
+
+@query("SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS cleaned FROM documents")
+def clean_text(t):
+    """F-16."""
+    return t("documents").select("doc_id", fold.clean_text(F.col("text")).alias("cleaned"))
+
+
+@query("SELECT doc_id, text AS repaired, n_chars FROM documents WHERE regexp_matches(text, '[ßäöüéèêçñóí]') AND NOT regexp_matches(text, '[^\\x00-\\xff]')")
+def repair_mojibake(t):
+    """F-15: texts damaged by a wrong decoding, repaired; the SQL gives the undamaged texts."""
+    docs = t("documents").where(F.col("text").rlike("[ßäöüéèêçñóí]") & ~F.col("text").rlike("[^\\x00-\\xff]"))
+    damaged = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    return docs.select("doc_id", fold.repair_mojibake(damaged).alias("repaired"), "n_chars")
+
+
+_FORMS = "CASE p_partkey % 4 WHEN 0 THEN 'Bs ' || replace(CAST(v AS VARCHAR), '.', ',') WHEN 1 THEN '$' || CAST(v AS VARCHAR) WHEN 2 THEN '1.' || CAST(p_size + 100 AS VARCHAR) || ',50' ELSE 'n/a ' || p_size END"
+
+
+@query("""
+SELECT p_partkey, CAST(CASE p_partkey % 4 WHEN 0 THEN v WHEN 1 THEN v WHEN 2 THEN 1000 + p_size + 100 + 0.5 ELSE NULL END AS DOUBLE) AS table_number,
+  CAST(CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN 1000 + p_size + 100 + 0.5 ELSE NULL END AS DOUBLE) AS document_number,
+  CAST(CASE p_partkey % 4 WHEN 0 THEN v WHEN 1 THEN v WHEN 2 THEN 1000 + p_size + 100 + 0.5 ELSE p_size END AS DOUBLE) AS price_number
+FROM (SELECT *, CAST(p_size + 0.25 AS DECIMAL(10,2)) AS v FROM part)""")
+def coerce_numbers(t):
+    """F-07, F-08, F-09: three parsers of numbers that differ."""
+    v = (F.col("p_size") + F.expr("0.25")).cast("decimal(10,2)").cast("string")
+    form = F.pmod("p_partkey", F.lit(4))
+    said = F.when(form == 0, F.concat(F.lit("Bs "), F.replace(v, F.lit("."), F.lit(",")))).when(form == 1, F.concat(F.lit("$"), v)).when(form == 2, F.concat(F.lit("1."), (F.col("p_size") + 100).cast("string"), F.lit(",50"))).otherwise(F.concat(F.lit("n/a "), "p_size"))
+    parts = t("part").select("p_partkey", said.alias("said"))
+    return parts.select("p_partkey", parse.table_number(F.col("said")).cast("double").alias("table_number"), parse.document_number(F.col("said")).cast("double").alias("document_number"), parse.price_number(F.col("said")).cast("double").alias("price_number"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false WHEN 3 THEN false WHEN 4 THEN NULL WHEN 5 THEN true WHEN 6 THEN NULL ELSE false END AS flag,
+  o_orderkey % 8 = 6 AS failed FROM orders""")
+def coerce_booleans(t):
+    """F-10: words for true and false in two languages; others fail unless blank."""
+    said = F.element_at(F.array(*[F.lit(x) for x in ("sí", " VERDADERO ", "No", "falso", "  ", "x", "quizás", "0")]), (F.pmod("o_orderkey", F.lit(8)) + 1).cast("int"))
+    rows = t("orders").select("o_orderkey", said.alias("said"))
+    return rows.select("o_orderkey", parse.boolean(F.col("said")).alias("flag"), (~parse.is_blank(F.col("said")) & parse.boolean(F.col("said")).isNull()).alias("failed"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS parsed FROM orders""")
+def coerce_dates(t):
+    """F-11: three orders of day, month and year; a two-digit year fails."""
+    form = F.pmod("o_orderkey", F.lit(4))
+    d = F.col("o_orderdate")
+    said = F.when(form == 0, F.date_format(d, "yyyy-M-d")).when(form == 1, F.date_format(d, "d/M/yyyy")).when(form == 2, F.date_format(d, "dd-MM-yyyy")).otherwise(F.date_format(d, "dd/MM/yy"))
+    return t("orders").select("o_orderkey", parse.date(said).cast("string").alias("parsed"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_extendedprice, CASE WHEN l_extendedprice = floor(l_extendedprice) THEN CAST(CAST(l_extendedprice AS BIGINT) AS VARCHAR) ELSE rtrim(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR), '0') END AS said FROM lineitem")
+def number_text(t):
+    """F-13: plain notation without trailing zeros."""
+    return t("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", parse.number_text(F.col("l_extendedprice").cast("decimal(18,2)")).alias("said"))
+
+
+@query("""SELECT event_id, '{"n": "' || CAST(json_extract_string(props, '$.' || json_keys(props)[1]) AS VARCHAR) || '"}' AS attributes, CAST(NULL AS VARCHAR) AS error FROM events""")
+def attributes_parse(t):
+    """F-12: attributes given as JSON, their keys normalised."""
+    got = parse.attributes(F.col("props"))
+    m = F.map_from_arrays(F.transform(F.map_keys(got["value"]), lambda k: F.lit("n")), F.map_values(got["value"]))
+    return t("events").select("event_id", fold.canonical_json(m).alias("attributes"), got["error"].alias("error"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN NULL WHEN l_linenumber % 3 = 1 THEN '{"linea": "' || l_linestatus || '", "retorno": "' || l_returnflag || '"}' END AS attributes,
+  CASE WHEN l_linenumber % 3 = 0 THEN 'duplicate key' WHEN l_linenumber % 3 = 2 THEN 'invalid pair' END AS error FROM lineitem""")
+def attribute_pairs(t):
+    """F-12: attributes given as pairs; two spellings of a key, or a part without a separator, are errors."""
+    k = F.pmod("l_linenumber", F.lit(3))
+    said = F.when(k == 1, F.concat(F.lit("Retorno = "), "l_returnflag", F.lit("; Línea: "), "l_linestatus")).when(k == 0, F.concat(F.lit("Color="), "l_returnflag", F.lit("|color="), "l_linestatus")).otherwise(F.col("l_returnflag"))
+    got = parse.attributes(said)
+    return t("lineitem").select("l_orderkey", "l_linenumber", fold.canonical_json(got["value"]).alias("attributes"), got["error"].alias("error"))
+
+
+@query("""WITH m AS (SELECT p_brand, count(DISTINCT p_size) % 7 AS n FROM part GROUP BY p_brand) SELECT n AS n_attributes, count(*) AS n_rows, max(n) OVER () AS most FROM m GROUP BY n""")
+def attribute_histogram(t):
+    """A-09: rows by number of attributes, and the greatest number."""
+    maps = t("part").groupBy("p_brand").agg(F.count_distinct("p_size").alias("n")).select(F.map_from_arrays(F.slice(F.sequence(F.lit(0), F.lit(7)), F.lit(1), (F.col("n") % 7).cast("int")), F.slice(F.sequence(F.lit(0), F.lit(7)), F.lit(1), (F.col("n") % 7).cast("int"))).alias("m"))
+    sizes = maps.select(F.size("m").alias("n_attributes")).groupBy("n_attributes").agg(F.count("*").alias("n_rows"))
+    most = sizes.agg(F.max("n_attributes").alias("most"))
+    return sizes.join(F.broadcast(most))  # one row
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 3 = 2 THEN NULL ELSE CAST(p_size AS VARCHAR) END AS quantity, CASE p_size % 3 WHEN 0 THEN 'g' WHEN 1 THEN '' END AS unit FROM part""")
+def presentation_signature(t):
+    """F-20: quantity and unit at the end of a name."""
+    k = F.pmod("p_size", F.lit(3))
+    said = F.concat("p_name", F.when(k == 0, F.concat(F.lit(" "), "p_size", F.lit(",0 GRS."))).when(k == 1, F.concat(F.lit(" x "), "p_size")).otherwise(F.lit(" suelto")))
+    s = presentation.signature(said)
+    return t("part").select("p_partkey", s["quantity"].alias("quantity"), s["unit"].alias("unit"))
+
+
+@query("SELECT p_partkey, 'Crema de noche, nutritiva' AS fragment FROM part")
+def clean_fragment(t):
+    """F-19: prices and sizes out of description fragments."""
+    return t("part").select("p_partkey", presentation.clean_fragment(F.concat(F.lit("Crema  de noche Bs. "), F.col("p_size"), F.lit(",50 , nutritiva "), F.col("p_size"), F.lit(" ml"))).alias("fragment"))
+
+
+@query("""SELECT p_partkey, upper(p_name[1]) || p_name[2:] AS lowered FROM (SELECT p_partkey, lower(split_part(p_name, ' ', 1)) AS p_name FROM part)""")
+def title_case(t):
+    """F-17, F-22: titles of product names (one word each here, so that SQL can follow)."""
+    return t("part").select("p_partkey", titles.title_case(F.upper(F.split("p_name", " ")[0])).alias("lowered"))
+
+
+@query(None)
+def description_format(t):
+    """F-18: paragraphs and sentence case."""
+    return t("documents").select("doc_id", titles.format_description(F.col("text")).alias("description"))
+
+
+@query("SELECT p_partkey, p_brand || '-' || lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') AS sku, p_brand || '-' || lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') || '-V' || lpad(CAST(p_size AS VARCHAR), 2, '0') AS variant_sku FROM (SELECT p_partkey, p_size, upper(replace(replace(p_brand, '#', ''), ' ', '')) AS p_brand FROM part)")
+def sku_format(t):
+    """F-28."""
+    brand = F.upper(F.replace(F.replace("p_brand", F.lit("#"), F.lit("")), F.lit(" "), F.lit("")))
+    sku = skus.product_sku(brand, F.col("p_partkey") % 10000)
+    return t("part").select("p_partkey", sku.alias("sku"), skus.variant_sku(sku, F.col("p_size")).alias("variant_sku"))
+
+
+@query("SELECT sha256(string_agg(source || chr(0) || h || chr(10), '' ORDER BY source)) AS digest, count(*) AS n_files FROM (SELECT source, sha256(string_agg(text, '' ORDER BY doc_id)) AS h FROM documents WHERE source IS NOT NULL GROUP BY source)")
+def directory_digest(t):
+    """K-13, K-14, F-30: a digest over the ordered paths and digests of files (a source's texts as one file)."""
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda x: x["text"]), "")
+    files = t("documents").where("source is not null").groupBy("source").agg(F.sha2(text, 256).alias("h"))
+    line = F.transform(F.array_sort(F.collect_list(F.struct("source", "h"))), lambda x: F.concat(x["source"], F.lit("\0"), x["h"], F.lit("\n")))
+    return files.agg(F.sha2(F.array_join(line, ""), 256).alias("digest"), F.count("*").alias("n_files"))
+
+
+# ---- validation
+
+
+def products(t) -> DataFrame:
+    """Parts as products, some of them wrong: repeated keys, empty names, unknown types, prices below zero."""
+    key = F.when(F.col("p_partkey") % 11 == 0, F.col("p_partkey") - 1).otherwise(F.col("p_partkey")).cast("string")
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("simple", "variable", "servicio", "kit")]), (F.col("p_size") % 4 + 1).cast("int"))
+    return t("part").select((F.col("p_partkey") + 1).alias("row_number"), key.alias("sku"), F.when(F.col("p_size") % 10 == 0, " ").otherwise(F.col("p_name")).alias("nombre"), F.col("p_brand").alias("marca"), kind.alias("tipo"), (F.col("p_retailprice").cast("decimal(18,2)") - 1200).alias("precio"), (F.col("p_size") - 3).cast("decimal(18,2)").alias("stock"))
+
+
+_PRODUCTS = """p AS (SELECT p_partkey + 1 AS row_number, CAST(CASE WHEN p_partkey % 11 = 0 THEN p_partkey - 1 ELSE p_partkey END AS VARCHAR) AS sku, CASE WHEN p_size % 10 = 0 THEN ' ' ELSE p_name END AS nombre,
+  ['simple','variable','servicio','kit'][p_size % 4 + 1] AS tipo, CAST(p_retailprice AS DECIMAL(18,2)) - 1200 AS precio, p_size - 3 AS stock FROM part),
+v AS (SELECT *, array_to_string(list_filter([CASE WHEN trim(nombre) = '' THEN 'required_field_missing' END, CASE WHEN tipo = 'kit' THEN 'invalid_product_type' END, CASE WHEN precio < 0 THEN 'negative_value' END, CASE WHEN stock < 0 THEN 'negative_value' END,
+  CASE WHEN row_number > min(row_number) OVER (PARTITION BY sku) THEN 'duplicate_in_batch' END], lambda x: x IS NOT NULL), ',') AS codes FROM p)"""
+
+
+def _codes(c: str = "issues") -> Column:
+    return F.array_join(F.transform(c, lambda x: x["code"]), ",")
+
+
+@query(f"WITH {_PRODUCTS} SELECT row_number, sku, codes, CASE WHEN codes = '' THEN 'valid' ELSE 'quarantine' END AS route FROM v")
+def validate_products(t):
+    """V-01 to V-03, V-05, V-07, V-11: every rule on every record, in one projection and one window."""
+    rows = validate(products(t), "productos").rows
+    return rows.select("row_number", "sku", _codes().alias("codes"), F.when(F.size("issues") == 0, "valid").otherwise("quarantine").alias("route"))
+
+
+@query(f"WITH {_PRODUCTS} SELECT count(*) AS total_rows, count(*) FILTER (WHERE codes = '') AS valid_rows, count(*) FILTER (WHERE codes <> '') AS invalid_rows, CAST(sum(CASE WHEN codes = '' THEN 0 ELSE len(string_split(codes, ',')) END) AS BIGINT) AS blocking_errors, 0 AS warnings, false AS approved_for_publish FROM v")
+def validation_report(t):
+    """A-01, V-12: the run's counters and gate."""
+    return validate(products(t), "productos").report()
+
+
+@query(f"WITH {_PRODUCTS} SELECT row_number, sku, codes FROM v WHERE codes <> ''")
+def quarantine_rows(t):
+    """V-11: rejected records with their reasons."""
+    return validate(products(t), "productos").quarantine.select("row_number", "sku", _codes().alias("codes"))
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_acctbal < 0")
+def negative_values(t):
+    """V-05 on one field."""
+    rows = t("customer").select("c_custkey", "c_name", F.col("c_acctbal").cast("decimal(18,2)").alias("precio"), F.col("c_custkey").alias("row_number"), F.col("c_custkey").cast("string").alias("sku"), F.col("c_name").alias("nombre"))
+    return validate(rows, "productos").quarantine.where(F.exists("issues", lambda i: i["code"] == "negative_value")).select("c_custkey", "c_name")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_suppkey, count(*) AS n FROM lineitem WHERE CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,2)) < CAST(l_extendedprice AS DECIMAL(18,2)) GROUP BY ALL")
+def comparison_price_warning(t):
+    """V-06: the comparison price is below the price (a warning; the record stays valid)."""
+    rows = t("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.monotonically_increasing_id().alias("row_number"), F.lit(None).cast("string").alias("sku"), F.lit("x").alias("nombre"), F.col("l_extendedprice").cast("decimal(18,2)").alias("precio"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,2)").alias("precio_comparacion"))
+    low = validate(rows, "productos", text_comparison=False).rows.where(F.size("warnings") > 0)
+    return low.groupBy("l_orderkey", "l_linenumber", "l_suppkey").agg(F.count("*").alias("n"))
+
+
+_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, nth > 1 AS duplicate FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(_ORDER)}) AS nth FROM lineitem)")
+def duplicate_in_batch(t):
+    """W-01, V-07: the first record of an identity wins (first in order of all columns, as the table has no row order)."""
+    rows = align.numbered(t("lineitem"), ["l_orderkey", "l_linenumber"], _ORDER, "nth")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (F.col("nth") > 1).alias("duplicate"))
+
+
+@query("""WITH v AS (SELECT l_partkey, '{"linea": "' || l_linestatus || '", "retorno": "' || l_returnflag || '"}' AS a, count(*) AS n FROM lineitem GROUP BY ALL) SELECT CAST(l_partkey AS VARCHAR) || '|' || a AS identity, n, n - 1 AS duplicates FROM v""")
+def variant_identity(t):
+    """F-26, W-02, V-04: parent and attributes, in any order of their keys, are one identity."""
+    attrs = F.when(F.pmod("l_linenumber", F.lit(2)) == 0, F.concat(F.lit("retorno="), "l_returnflag", F.lit(";linea="), "l_linestatus")).otherwise(F.concat(F.lit('{"Línea": "'), "l_linestatus", F.lit('", "Retorno": "'), "l_returnflag", F.lit('"}')))
+    rows = t("lineitem").select(F.col("l_partkey").cast("string").alias("sku_producto"), parse.attributes(attrs)["value"].alias("atributos"))
+    from ..operators.validation import identity
+
+    return rows.select(identity("variantes", rows.columns).alias("identity")).groupBy("identity").agg(F.count("*").alias("n"), (F.count("*") - 1).alias("duplicates"))
+
+
+@query("""SELECT 'orders_without_customer' AS what, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT 'lines_without_order', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+UNION ALL SELECT 'parts_never_sold', count(*) FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)""")
+def referential_checks(t):
+    """J-16, J-17: parents that are missing."""
+    found = {
+        "orders_without_customer": align.orphans(t("orders").select("o_custkey"), t("customer"), "o_custkey", "c_custkey"),
+        "lines_without_order": align.orphans(t("lineitem").select("l_orderkey"), t("orders"), "l_orderkey", "o_orderkey"),
+        "parts_never_sold": align.orphans(t("part").select("p_partkey"), t("lineitem"), "p_partkey", "l_partkey"),
+    }
+    out = None
+    for name, df in found.items():
+        one = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# ---- descriptions
+
+_W = "[\\p{L}\\p{N}_]"
+_NOISE_SQL = " OR ".join(f"regexp_matches(lower(c), '(^|[^\\p{{L}}\\p{{N}}_]){x}($|[^\\p{{L}}\\p{{N}}_])')" for x in (y.replace("+", "\\+") for y in quality.NOISE))
+_QUALITY = f"""q AS (SELECT *, list_filter([
+  CASE WHEN length(c) = 0 THEN 'empty' WHEN length(c) < 40 THEN 'too_short' END, CASE WHEN regexp_matches(c, '[ÃÂ�]') THEN 'mojibake' END, CASE WHEN {_NOISE_SQL} THEN 'ocr_noise_tokens' END,
+  CASE WHEN list_bool_or(list_transform(range(1, len(w)), lambda i: regexp_extract(lower(w[i]), '{_W}+$') <> '' AND regexp_extract(lower(w[i]), '{_W}+$') = regexp_extract(lower(w[i+1]), '^{_W}+'))) THEN 'repeated_words' END,
+  CASE WHEN regexp_matches(c, '{_W}-\\s+\\p{{L}}') THEN 'split_word' END, CASE WHEN regexp_matches(c, '\\p{{Ll}}+\\p{{Lu}}\\p{{Ll}}+') THEN 'mixed_case_word' END,
+  CASE WHEN length(c) >= 40 AND NOT regexp_matches(c, '[.!?]') AND NOT contains(text, chr(10)) THEN 'no_sentence_structure' END], lambda x: x IS NOT NULL) AS f
+  FROM (SELECT *, string_split(c, ' ') AS w FROM (SELECT doc_id, source, text, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS c FROM documents))),
+s AS (SELECT *, CASE WHEN len(f) = 0 THEN 'pass' WHEN list_contains(f, 'empty') OR list_contains(f, 'mojibake') THEN 'quarantine' ELSE 'reconstruct' END AS status, greatest(0, 100 - 18 * len(f)) AS score FROM q)"""
+
+
+@query(f"WITH {_QUALITY} SELECT doc_id, array_to_string(f, ',') AS flags, status, CAST(score AS INTEGER) AS score FROM s")
+def description_quality(t):
+    """F-25, V-09, P-11: defects of descriptions, score and verdict."""
+    return quality.assess(t("documents"), "text").select("doc_id", F.array_join("flags", ",").alias("flags"), "status", F.col("score").cast("int").alias("score"))
+
+
+@query(f"WITH {_QUALITY} SELECT count(*) FILTER (WHERE status = 'pass') AS pass, count(*) FILTER (WHERE status = 'reconstruct') AS reconstruct, count(*) FILTER (WHERE status = 'quarantine') AS quarantine, count(*) AS total FROM s")
+def quality_counts(t):
+    """A-07, C-11: the three verdicts, zeros too."""
+    return quality.status_counts(quality.assess(t("documents"), "text"))
+
+
+@query(f"WITH {_QUALITY} SELECT source, count(*) AS n_documents, CAST(sum(len(text)) AS BIGINT) AS chars, count(*) FILTER (WHERE status <> 'pass') AS n_flagged FROM s GROUP BY source")
+def source_summary(t):
+    """A-13, A-08: a line for each source file."""
+    rows = quality.assess(t("documents"), "text")
+    return rows.groupBy("source").agg(F.count("*").alias("n_documents"), F.sum(F.char_length("text")).cast("long").alias("chars"), F.count_if(F.col("status") != "pass").alias("n_flagged"))
+
+
+# ---- prices and variants
+
+
+def _price_rows(t) -> tuple[DataFrame, DataFrame]:
+    key = fold.match_key(F.col("p_name"))
+    items = t("part").where("p_size <= 4").select(F.col("p_partkey").alias("sku"), key.alias("name_key"), F.col("p_brand").alias("brand"))
+    rows = t("part").select(F.col("p_partkey").alias("price_id"), key.alias("name_key"), F.col("p_brand").alias("brand"), F.col("p_retailprice").alias("price"))
+    return rows, items
+
+
+_TARGETS = """rows AS (SELECT p_partkey AS price_id, regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g') AS name_key, p_brand AS brand, p_retailprice AS price FROM part),
+items AS (SELECT p_partkey AS sku, regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g') AS name_key, p_brand AS brand FROM part WHERE p_size <= 4),
+aliases AS (SELECT p_brand AS brand, min(regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g')) AS alias_key, max(regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g')) AS catalog_key FROM part GROUP BY p_brand),
+keyed AS (SELECT r.*, coalesce(a.catalog_key, r.name_key) AS target_key, a.catalog_key IS NOT NULL AS by_alias FROM rows r LEFT JOIN aliases a ON r.brand = a.brand AND r.name_key = a.alias_key),
+hits AS (SELECT k.price_id, count(i.sku) AS n, count(i.sku) FILTER (WHERE i.brand = k.brand) AS nb, min(i.sku) AS only_, min(i.sku) FILTER (WHERE i.brand = k.brand) AS mine FROM keyed k LEFT JOIN items i ON k.target_key = i.name_key GROUP BY k.price_id),
+done AS (SELECT k.*, CASE WHEN n = 1 THEN only_ WHEN nb = 1 THEN mine END AS target, CASE WHEN n = 1 OR nb = 1 THEN NULL WHEN n = 0 THEN 'no_alias_or_catalog_record' ELSE 'catalog_target_not_unique_or_missing' END AS reason FROM keyed k JOIN hits USING (price_id))"""
+
+
+def _targets(t) -> DataFrame:
+    rows, items = _price_rows(t)
+    aliases = rows.groupBy("brand").agg(F.min("name_key").alias("alias_key"), F.max("name_key").alias("catalog_key"))
+    return prices.unique_target(prices.resolve_alias(rows, aliases), items)
+
+
+@query(f"WITH {_TARGETS} SELECT price_id, target_key, by_alias FROM keyed")
+def price_alias_join(t):
+    """J-01: the alias dictionary by brand and name."""
+    rows, _ = _price_rows(t)
+    aliases = rows.groupBy("brand").agg(F.min("name_key").alias("alias_key"), F.max("name_key").alias("catalog_key"))
+    return prices.resolve_alias(rows, aliases).select("price_id", "target_key", "by_alias")
+
+
+@query(f"WITH {_TARGETS} SELECT price_id, target, reason FROM done")
+def unique_target_or_brand(t):
+    """J-02, J-03, J-04, W-03: one target whatever its brand, or one of the row's brand, or a reason."""
+    return _targets(t).select("price_id", "target", "reason")
+
+
+@query(f"WITH {_TARGETS} SELECT reason, count(*) AS n FROM done WHERE reason IS NOT NULL GROUP BY reason")
+def unmatched_prices(t):
+    """J-07: price rows without a target, by reason."""
+    return prices.unmatched(_targets(t)).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query("SELECT l_partkey AS target, min(l_extendedprice) AS price, min(l_extendedprice * (1 - l_discount)) AS cost, count(*) AS n_rows, CASE WHEN count(*) = 1 THEN 'direct' ELSE 'minimum_until_variants_pass' END AS price_source FROM lineitem GROUP BY l_partkey")
+def price_min_rollup(t):
+    """A-02, A-05: the least price and cost of each product."""
+    rows = t("lineitem").select(F.col("l_partkey").alias("target"), F.col("l_extendedprice").alias("price"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("cost"))
+    return prices.least_prices(rows)
+
+
+@query(f"WITH {_TARGETS}, least AS (SELECT target, min(price) AS precio, count(*) AS n FROM done WHERE target IS NOT NULL GROUP BY target) SELECT i.sku, i.brand, l.precio FROM items i LEFT JOIN least l ON i.sku = l.target")
+def enrich_catalog(t):
+    """C-06: products with the prices of their matched rows only."""
+    _, items = _price_rows(t)
+    return prices.enrich_products(items, _targets(t).withColumn("cost", F.lit(None).cast("double"))).select("sku", "brand", "precio")
+
+
+def _presentations(t) -> DataFrame:
+    variants = t("part").where("p_size % 2 = 0").select(F.concat("p_brand", F.lit("/"), "p_type").alias("sku_producto"), F.col("p_partkey").alias("sku_variante"), F.concat(F.col("p_size"), F.lit(" grs")).alias("presentation"))
+    rows = t("part").select(F.col("p_partkey").alias("price_id"), F.concat("p_brand", F.lit("/"), "p_type").alias("target"), F.when(F.col("p_size") % 5 == 0, F.col("p_name")).otherwise(F.concat("p_name", F.lit(" "), "p_size", F.lit(" g"))).alias("raw_name"), F.col("p_retailprice").alias("price"), (F.col("p_retailprice") / 2).alias("cost"), F.col("p_partkey").alias("source_row"))
+    return prices.match_presentations(rows, variants)
+
+
+_PRESENT = """v AS (SELECT p_brand || '/' || p_type AS parent, p_partkey AS sv, p_size AS q, count(*) OVER (PARTITION BY p_brand, p_type) AS nv FROM part WHERE p_size % 2 = 0),
+r AS (SELECT p_partkey AS price_id, p_brand || '/' || p_type AS target, CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_size END AS q, p_retailprice AS price, p_retailprice / 2 AS cost FROM part),
+a AS (SELECT r.*, coalesce((SELECT max(nv) FROM v WHERE parent = target), 0) AS nv, (SELECT min(sv) FROM v WHERE parent = target AND nv = 1) AS single, h.n AS hits, h.sv AS hit FROM r LEFT JOIN (SELECT r.price_id, count(*) AS n, min(sv) AS sv FROM r JOIN v ON v.parent = r.target AND v.q = r.q GROUP BY r.price_id) h USING (price_id)),
+m AS (SELECT *, CASE WHEN nv = 1 THEN single WHEN nv > 1 AND hits = 1 THEN hit END AS sku_variante FROM a),
+mm AS (SELECT *, CASE WHEN nv = 0 THEN 'no_variant_row_product_price_retained' WHEN sku_variante IS NOT NULL THEN NULL WHEN q IS NULL THEN 'variant_presentation_missing_or_ambiguous' ELSE 'variant_presentation_not_found_or_ambiguous' END AS reason FROM m)"""
+
+
+@query(f"WITH {_PRESENT} SELECT price_id, sku_variante, reason FROM mm")
+def presentation_match(t):
+    """J-05, J-06, F-21: a price row to the variant of its size."""
+    return _presentations(t).select("price_id", "sku_variante", "reason")
+
+
+@query(f"WITH {_PRESENT} SELECT target AS sku_producto, min(price) AS price, min(cost) AS cost, count(DISTINCT sku_variante) AS n_variants FROM mm WHERE sku_variante IS NOT NULL GROUP BY target")
+def parent_rollup(t):
+    """A-03, C-07: a parent's price from the variants that got one."""
+    return prices.parent_rollup(_presentations(t))
+
+
+@query(f"WITH {_PRESENT} SELECT target AS sku, min(price) AS price, min(cost) AS cost, array_to_string(list(price_id ORDER BY price_id), ',') AS price_rows FROM mm WHERE reason = 'no_variant_row_product_price_retained' GROUP BY target")
+def product_only_rollup(t):
+    """A-04: prices of products without variants, with the rows they come from."""
+    return prices.product_only_rollup(_presentations(t)).select("sku", "price", "cost", F.array_join(F.transform("price_rows", lambda x: x.cast("string")), ",").alias("price_rows"))
+
+
+@query("SELECT p_partkey, CAST(p_size AS VARCHAR) AS existing, CAST(p_size AS VARCHAR) || '.00' AS incoming FROM part WHERE p_size % 3 = 0")
+def price_text_conflicts(t):
+    """Q-27: values that differ as text are a conflict even where the numbers agree."""
+    have = t("part").select("p_partkey", F.col("p_size").cast("string").alias("value"))
+    new = t("part").select("p_partkey", F.when(F.col("p_size") % 3 == 0, F.concat(F.col("p_size"), F.lit(".00"))).otherwise(F.col("p_size").cast("string")).alias("value"))
+    return prices.text_conflicts(have, new, "p_partkey", "value")
+
+
+# ---- categories, brands
+
+_RULES = [("green", "verde"), ("blue", "azul"), ("red", "rojo"), ("steel", "metal")]
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN 'especial' WHEN p_size % 9 = 0 THEN p_type WHEN contains(k, 'green') THEN 'verde' WHEN contains(k, 'blue') THEN 'azul' WHEN contains(k, 'red') THEN 'rojo' WHEN contains(k, 'steel') THEN 'metal' WHEN p_brand = 'Brand#11' THEN 'once' ELSE 'general' END AS category, CASE WHEN p_partkey % 50 = 0 THEN 'profile_override' WHEN p_size % 9 = 0 THEN 'existing' WHEN regexp_matches(k, 'green|blue|red|steel') THEN 'profile_rule' ELSE 'profile_default' END AS method FROM (SELECT *, regexp_replace(lower(p_name || p_type), '[^a-z0-9]+', '', 'g') AS k FROM part)")
+def category_rules(t):
+    """J-09, C-08: override, present value, first rule that fits, defaults."""
+    key = fold.match_key(F.concat("p_name", "p_type"))
+    got = categories.complete(F.when(F.col("p_partkey") % 50 == 0, F.lit("!")).otherwise(key), F.when(F.col("p_size") % 9 == 0, F.col("p_type")), F.col("p_brand"), {"!": "especial"}, _RULES, {"Brand#11": "once"}, "general")
+    return t("part").select("p_partkey", got["category"].alias("category"), got["method"].alias("method"))
+
+
+_REF = """refs AS (SELECT DISTINCT regexp_replace(lower(split_part(p_name, ' ', 1)), '[^a-z0-9]+', '', 'g') AS k, 'cat ' || (ascii(p_name) % 3) AS category FROM part),
+n AS (SELECT p_partkey, regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g') AS name_key FROM part),
+s AS (SELECT p_partkey, category, CASE WHEN k = name_key THEN 3 WHEN contains(name_key, k) OR contains(k, name_key) THEN 2 ELSE 0 END AS score FROM n, refs WHERE k <> ''),
+b AS (SELECT *, max(score) OVER (PARTITION BY p_partkey) AS best FROM s)"""
+
+
+@query(f"WITH {_REF} SELECT p_partkey, CAST(max(best) AS INTEGER) AS category_score, CASE WHEN max(best) > 0 AND count(DISTINCT category) FILTER (WHERE score = best) = 1 THEN min(category) FILTER (WHERE score = best) END AS category FROM b GROUP BY p_partkey")
+def category_reference(t):
+    """J-08, U-06, C-16: the best reference by equality or containment, if its category is the only one."""
+    refs = t("part").select(fold.match_key(F.split("p_name", " ")[0]).alias("ref_key"), F.concat(F.lit("cat "), (F.ascii("p_name") % 3)).alias("category")).distinct()
+    items = t("part").select("p_partkey", fold.match_key(F.col("p_name")).alias("name_key"))
+    return categories.by_reference(items, refs).select("p_partkey", F.col("category_score").cast("int").alias("category_score"), "category")
+
+
+@query("SELECT doc_id, CASE WHEN starts_with(lower(source), 'src1') THEN 'uno' WHEN starts_with(lower(source), 'src2') OR starts_with(lower(source), 'src3') THEN 'dos' ELSE 'otra' END AS brand FROM documents")
+def brand_prefix(t):
+    """J-10, P-09: the first brand of which the file name has a prefix."""
+    return t("documents").select("doc_id", categories.brand_by_prefix(F.col("source"), {"uno": ["SRC1"], "dos": ["src2", "src3", "src1"]}, ["uno", "dos"], "otra").alias("brand"))
+
+
+@query("SELECT r.r_name AS brand, count(s.s_suppkey) FILTER (WHERE s.s_acctbal > 9000) AS n FROM region r LEFT JOIN nation ON n_regionkey = r_regionkey LEFT JOIN supplier s ON s_nationkey = n_nationkey GROUP BY r.r_name")
+def brand_counts(t):
+    """A-06: counts for all declared values, also those without rows."""
+    rows = t("supplier").where("s_acctbal > 9000").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("brand"))
+    return categories.counts_with_zeros(rows, t("region").select(F.col("r_name").alias("brand")), "brand")
+
+
+@query("SELECT count(*) AS n_rows, count(*) FILTER (WHERE trim(p_name) <> '') AS with_name, count(*) FILTER (WHERE p_retailprice > 1000) AS with_price, count(DISTINCT p_brand) AS brands FROM part")
+def conditional_counts(t):
+    """A-08."""
+    return t("part").agg(F.count("*").alias("n_rows"), F.count_if(F.trim("p_name") != "").alias("with_name"), F.count_if(F.col("p_retailprice") > 1000).alias("with_price"), F.count_distinct("p_brand").alias("brands"))
+
+
+@query("SELECT p_brand, round(avg(p_retailprice), 2) AS avg_price, count(*) AS n FROM part GROUP BY p_brand")
+def brand_avg_price(t):
+    """A-15: the flow's average price by brand."""
+    return t("part").groupBy("p_brand").agg(F.round(F.avg("p_retailprice"), 2).alias("avg_price"), F.count("*").alias("n"))
+
+
+@query("SELECT l_partkey, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem GROUP BY l_partkey ORDER BY revenue DESC, l_partkey LIMIT 10")
+def top_products(t):
+    """A-15, O-06: the ten products of most revenue."""
+    return t("lineitem").groupBy("l_partkey").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue")).orderBy(F.desc("revenue"), "l_partkey").limit(10)
+
+
+@query("SELECT doc_id, coalesce(lang, 'N/A') AS lang, coalesce(source, 'N/A') AS source FROM documents")
+def keep_or_na(t):
+    """P-14: listed fields, with a mark for what is missing."""
+    return t("documents").select("doc_id", *[F.coalesce(c, F.lit("N/A")).alias(c) for c in ("lang", "source")])
+
+
+@query("SELECT p_partkey, row_number() OVER (ORDER BY CASE p_brand WHEN 'Brand#33' THEN 1 WHEN 'Brand#11' THEN 2 ELSE 3 END, regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g'), p_partkey) AS place, CASE p_brand WHEN 'Brand#33' THEN 1 WHEN 'Brand#11' THEN 2 ELSE 3 END AS brand_rank FROM part")
+def order_products(t):
+    """O-01 to O-05: catalogue order, as places that a sink sorts by; no task sorts the whole table."""
+    rows = t("part").select("p_partkey", F.col("p_brand").alias("brand"), fold.match_key(F.col("p_name")).alias("name_key"), F.col("p_partkey").alias("_pos"))
+    ranked = rows.withColumn("brand_rank", F.when(F.col("brand") == "Brand#33", 1).when(F.col("brand") == "Brand#11", 2).otherwise(3))
+    keyed = ranked.withColumn("_path", F.concat_ws("|", F.col("brand_rank").cast("string"), "name_key")).withColumnRenamed("_pos", "_row")
+    return align.rebased(keyed, "_path", "_row", "place").select("p_partkey", (F.col("place") - 1).alias("place"), "brand_rank")
+
+
+# ---- identifiers
+
+
+def _sku_tables(t) -> tuple[DataFrame, DataFrame]:
+    parts = t("part").select("p_partkey", F.upper(F.replace("p_brand", F.lit("#"), F.lit(""))).alias("prefix"), "p_size")
+    needers = parts.where("p_partkey % 2 = 1").select("p_partkey", "prefix", F.col("p_partkey").alias("_pos"))
+    used = parts.where("p_partkey % 2 = 0").select("prefix", F.col("p_size").alias("number"))
+    return needers, used
+
+
+@query("""WITH p AS (SELECT p_partkey, upper(replace(p_brand, '#', '')) AS prefix, p_size FROM part), used AS (SELECT DISTINCT prefix, p_size AS number FROM p WHERE p_partkey % 2 = 0),
+need AS (SELECT p_partkey, prefix, row_number() OVER (PARTITION BY prefix ORDER BY p_partkey) AS rn FROM p WHERE p_partkey % 2 = 1),
+free AS (SELECT b.prefix, s.n AS number, row_number() OVER (PARTITION BY b.prefix ORDER BY s.n) AS rn FROM (SELECT DISTINCT prefix FROM need) b, range(1, (SELECT count(*) + 101 FROM need)) s(n) WHERE (b.prefix, s.n) NOT IN (SELECT prefix, number FROM used))
+SELECT p_partkey, need.prefix || '-' || lpad(CAST(number AS VARCHAR), 4, '0') AS sku FROM need JOIN free ON need.prefix = free.prefix AND need.rn = free.rn""")
+def sku_allocate(t):
+    """W-05, C-12: the free numbers of each prefix, in order."""
+    needers, used = _sku_tables(t)
+    return skus.allocate(needers, used, "prefix", "_pos").select("p_partkey", skus.product_sku(F.col("prefix"), F.col("number")).alias("sku"))
+
+
+@query("""WITH v AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem), n AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_suppkey) AS k FROM v) SELECT l_partkey, l_suppkey, 'P-' || lpad(CAST(l_partkey % 10000 AS VARCHAR), 4, '0') || '-V' || lpad(CAST(k AS VARCHAR), 2, '0') AS sku FROM n""")
+def variant_sku_allocate(t):
+    """W-05, F-28 for variants: numbers within each parent."""
+    v = t("lineitem").select("l_partkey", "l_suppkey").distinct()
+    none = v.where(F.lit(False)).select("l_partkey", F.lit(0).alias("number"))
+    out = skus.allocate(v, none, "l_partkey", "l_suppkey")
+    return out.select("l_partkey", "l_suppkey", skus.variant_sku(skus.product_sku(F.lit("P"), F.col("l_partkey") % 10000), F.col("number")).alias("sku"))
+
+
+@query("SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'lista.pdf|' || p_size || '|' || k || '|0 0 1 1' WHEN 1 THEN 'lista.pdf|' || p_partkey || '|' || k ELSE b || '|' || k END AS identity FROM (SELECT *, regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g') AS k, regexp_replace(lower(p_brand), '[^a-z0-9]+', '', 'g') AS b FROM part)")
+def product_identity(t):
+    """F-27: identity of a product in three tiers."""
+    k = F.col("p_size") % 3
+    file, page = F.when(k != 2, F.lit("Lista.PDF")), F.when(k == 0, F.col("p_size"))
+    box = F.when(k == 0, F.lit("0 0 1 1"))
+    return t("part").select("p_partkey", skus.product_identity(file, page, F.col("p_name"), box, F.when(k == 1, F.col("p_partkey")), F.col("p_brand")).alias("identity"))
+
+
+@query("""WITH p AS (SELECT p_partkey, p_brand || '|' || p_partkey AS ik, upper(replace(p_brand, '#', '')) AS prefix FROM part), st AS (SELECT ik, prefix || '-' || lpad(CAST(row_number() OVER (PARTITION BY prefix ORDER BY p_partkey) * 2 AS VARCHAR), 4, '0') AS sku FROM p WHERE p_partkey % 3 = 0),
+used AS (SELECT split_part(sku, '-', 1) AS prefix, CAST(split_part(sku, '-', 2) AS INTEGER) AS number FROM st),
+need AS (SELECT p.*, row_number() OVER (PARTITION BY prefix ORDER BY p_partkey) AS rn FROM p WHERE ik NOT IN (SELECT ik FROM st)),
+free AS (SELECT b.prefix, s.n AS number, row_number() OVER (PARTITION BY b.prefix ORDER BY s.n) AS rn FROM (SELECT DISTINCT prefix FROM need) b, range(1, (SELECT 2 * count(*) + 2 FROM p)) s(n) WHERE (b.prefix, s.n) NOT IN (SELECT prefix, number FROM used))
+SELECT ik AS identity_key, need.prefix || '-' || lpad(CAST(number AS VARCHAR), 4, '0') AS sku FROM need JOIN free ON need.prefix = free.prefix AND need.rn = free.rn UNION ALL SELECT ik, sku FROM st""")
+def sku_state(t):
+    """J-12, C-12: known identities keep their identifiers, new ones fill gaps; the state afterwards."""
+    from pyspark.sql import Window
+
+    p = t("part").select(F.concat("p_brand", F.lit("|"), "p_partkey").alias("identity_key"), F.upper(F.replace("p_brand", F.lit("#"), F.lit(""))).alias("prefix"), F.col("p_partkey").alias("_pos"), F.lit(None).cast("string").alias("sku"))
+    number = F.row_number().over(Window.partitionBy("prefix").orderBy("_pos")) * 2
+    state = p.where("_pos % 3 = 0").select("identity_key", skus.product_sku(F.col("prefix"), number).alias("sku"))
+    return skus.assign(p, state)[1]
+
+
+# ---- alignment and sets
+
+
+@query("""WITH a AS (SELECT s_suppkey, s_nationkey AS k, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS n FROM supplier), b AS (SELECT c_custkey, c_nationkey AS k, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS n FROM customer) SELECT s_suppkey, c_custkey FROM a JOIN b USING (k, n)""")
+def bag_align(t):
+    """J-14, C-14: the n-th row of a key with the n-th row of that key."""
+    a = t("supplier").select("s_suppkey", F.col("s_nationkey").alias("k"))
+    b = t("customer").select("c_custkey", F.col("c_nationkey").alias("k"))
+    return align.bag_align(a, b, ["k"], ["s_suppkey"], ["c_custkey"])[0].select("s_suppkey", "c_custkey")
+
+
+@query("""WITH a AS (SELECT s_nationkey AS k, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS n FROM supplier), b AS (SELECT c_nationkey AS k, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS n FROM customer) SELECT side, count(*) AS n FROM (SELECT 'left' AS side FROM a ANTI JOIN b USING (k, n) UNION ALL SELECT 'right' FROM b ANTI JOIN a USING (k, n)) GROUP BY side""")
+def bag_leftovers(t):
+    """J-14: rows that the alignment leaves on either side."""
+    a = t("supplier").select("s_suppkey", F.col("s_nationkey").alias("k"))
+    b = t("customer").select("c_custkey", F.col("c_nationkey").alias("k"))
+    return align.bag_align(a, b, ["k"], ["s_suppkey"], ["c_custkey"])[1].groupBy("side").agg(F.count("*").alias("n"))
+
+
+@query("SELECT c_custkey AS _pos, c_name, c_mktsegment FROM customer")
+def positional_join(t):
+    """J-13, J-15, S-14: row i with row i, by an explicit position."""
+    left = t("customer").select(F.col("c_custkey").alias("_pos"), "c_name")
+    return align.by_position(left, t("customer").select(F.col("c_custkey").alias("_pos"), "c_mktsegment"))
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS sku, p_name AS nombre, p_retailprice AS precio, CAST(NULL AS INTEGER) AS stock, 'a' AS entity FROM part WHERE p_size < 10 UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_name, NULL, p_size, 'b' FROM part WHERE p_size >= 40")
+def append_union(t):
+    """U-01, U-02, U-03, C-09: bag union by name, each row with the name of its table."""
+    a = t("part").where("p_size < 10").select(F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("nombre"), F.col("p_retailprice").alias("precio"))
+    b = t("part").where("p_size >= 40").select(F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("nombre"), F.col("p_size").alias("stock"))
+    return align.tagged({"a": a, "b": b}).select("sku", "nombre", "precio", "stock", "entity")
+
+
+@query("SELECT (SELECT count(*) FROM (SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem)) AS never_sold, (SELECT count(*) FROM (SELECT p_partkey FROM part INTERSECT SELECT l_suppkey FROM lineitem)) AS shared, (SELECT count(DISTINCT p_type) FROM part) AS kinds")
+def set_checks(t):
+    """U-04, U-05, U-06: difference, intersection, distinct."""
+    part, line = t("part"), t("lineitem")
+    a = part.select("p_partkey").subtract(line.select("l_partkey")).agg(F.count("*").alias("never_sold"))
+    b = part.select("p_partkey").intersect(line.select("l_suppkey")).agg(F.count("*").alias("shared"))
+    return a.join(F.broadcast(b)).join(F.broadcast(part.agg(F.count_distinct("p_type").alias("kinds"))))
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY lower(source), source, doc_id) + 1 AS row_number FROM documents WHERE source IS NOT NULL")
+def rebase_rows(t):
+    """W-04, S-16: rows of all files numbered in order of their folded paths."""
+    return align.rebased(t("documents").where("source is not null").select("doc_id", "source"), "source", "doc_id").select("doc_id", "row_number")
+
+
+# ---- blocks of documents
+
+
+def _words(t) -> DataFrame:
+    """The words of each text as OCR words: a line is a text's line, a word's box follows from its place."""
+    lines = t("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    words = lines.select("doc_id", "line_no", F.posexplode(F.split("line", " ")).alias("word_no", "text")).where("text <> ''")
+    n = F.char_length("text")
+    return words.select("doc_id", "line_no", "word_no", "text", (F.col("word_no") * 10).cast("double").alias("x0"), (F.col("line_no") * 12).cast("double").alias("y0"), (F.col("word_no") * 10 + n).cast("double").alias("x1"), (F.col("line_no") * 12 + n % 7).cast("double").alias("y1"), F.when(n % 5 == 0, -1).otherwise(n % 100).cast("double").alias("conf"))
+
+
+_WORDS = """l AS (SELECT doc_id, unnest(range(0, len(s))) AS line_no, unnest(s) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)),
+w0 AS (SELECT doc_id, line_no, unnest(range(0, len(s))) AS word_no, unnest(s) AS text FROM (SELECT doc_id, line_no, string_split(line, ' ') AS s FROM l)),
+w AS (SELECT *, word_no * 10 AS x0, line_no * 12 AS y0, word_no * 10 + length(text) AS x1, line_no * 12 + length(text) % 7 AS y1, CASE WHEN length(text) % 5 = 0 THEN -1 ELSE length(text) % 100 END AS conf FROM w0 WHERE text <> '')"""
+
+
+@query(f"WITH {_WORDS} SELECT doc_id, line_no, string_agg(text, ' ' ORDER BY word_no) AS text, CAST(min(x0) AS DOUBLE) AS x0, CAST(min(y0) AS DOUBLE) AS y0, CAST(max(x1) AS DOUBLE) AS x1, CAST(max(y1) AS DOUBLE) AS y1, round(avg(CASE WHEN conf >= 0 THEN conf END) / 100, 6) AS confidence FROM w GROUP BY doc_id, line_no")
+def ocr_line_aggregate(t):
+    """S-10: OCR words to lines."""
+    return blocks.ocr_lines(_words(t), ["doc_id", "line_no"]).withColumn("confidence", F.round("confidence", 6))
+
+
+@query(f"WITH {_WORDS} SELECT doc_id, CAST(min(x0) AS DOUBLE) AS x0, CAST(min(y0) AS DOUBLE) AS y0, CAST(max(x1) AS DOUBLE) AS x1, CAST(max(y1) AS DOUBLE) AS y1 FROM w GROUP BY doc_id")
+def bbox_union(t):
+    """A-11: the box around all of a document's words."""
+    rows = _words(t).select("doc_id", F.array("x0", "y0", "x1", "y1").alias("bbox"))
+    return blocks.box_union(rows, ["doc_id"]).select("doc_id", *[F.col("bbox")[i].alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))])
+
+
+@query(f"WITH {_WORDS} SELECT doc_id, CAST(median(CASE WHEN conf >= 0 THEN conf END) AS DOUBLE) AS median_confidence, median(CASE WHEN conf >= 0 THEN conf END) < 4 AS low_confidence, array_to_string(list_sort(list_distinct(list(line_no % 4))), ',') AS block_ids FROM w GROUP BY doc_id")
+def median_confidence(t):
+    """A-10, A-12, V-08: the median of known confidences, and sorted distinct block ids."""
+    rows = _words(t).groupBy("doc_id").agg(F.median(F.when(F.col("conf") >= 0, F.col("conf"))).alias("median_confidence"), F.sort_array(F.collect_set(F.col("line_no") % 4)).alias("ids"))
+    return rows.select("doc_id", "median_confidence", (F.col("median_confidence") < 4).alias("low_confidence"), F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("block_ids"))
+
+
+@query("""WITH g AS (SELECT *, CASE WHEN epoch_us(ts) / 1e6 - lag(epoch_us(ts) / 1e6) OVER (PARTITION BY user_id ORDER BY ts, event_id) > 3600 THEN 1 ELSE 0 END AS b FROM events) SELECT event_id, CAST(sum(b) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS INTEGER) AS group_no FROM g""")
+def gap_cluster(t):
+    """W-06, W-08: groups parted by gaps above a threshold."""
+    rows = t("events").select("event_id", "user_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("at"))
+    return blocks.gap_groups(rows, ["user_id"], "at", 3600.0, ["event_id"]).select("event_id", "group_no")
+
+
+@query("""WITH g AS (SELECT user_id, CAST(value AS DECIMAL(18,4)) AS v, lead(CAST(value AS DECIMAL(18,4))) OVER (PARTITION BY user_id ORDER BY CAST(value AS DECIMAL(18,4))) AS nx FROM events) SELECT user_id, CAST(gap AS DOUBLE) AS gap, CAST(max(nx) AS DOUBLE) AS at FROM (SELECT *, nx - v AS gap, max(nx - v) OVER (PARTITION BY user_id) AS top FROM g WHERE nx IS NOT NULL) WHERE gap = top GROUP BY user_id, gap""")
+def widest_gap(t):
+    """W-07: where a page's columns part; of equal gaps the later."""
+    rows = t("events").select("user_id", F.col("value").cast("decimal(18,4)").alias("v"))
+    return blocks.widest_gap(rows, ["user_id"], "v").select("user_id", F.col("gap").cast("double").alias("gap"), F.col("at").cast("double").alias("at"))
+
+
+@query("""WITH l AS (SELECT doc_id, unnest(range(0, len(s))) AS line_no, unnest(s) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)) SELECT doc_id, line_no, last_value(CASE WHEN length(line) < 60 THEN line END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS section FROM l""")
+def carry_forward_sections(t):
+    """W-09: each line with the last heading (a short line) at or before it."""
+    lines = t("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return blocks.carry_forward(lines, ["doc_id"], ["line_no"], F.when(F.char_length("line") < 60, F.col("line"))).select("doc_id", "line_no", "section")
+
+
+@query("SELECT conv_id, CASE WHEN bool_and(n) THEN 'text_based' WHEN NOT bool_or(n) THEN 'scanned' ELSE 'mixed' END AS kind, count(*) AS n_pages, count(*) FILTER (WHERE n) AS n_native FROM (SELECT conv_id, role = 'user' AS n FROM conversations) GROUP BY conv_id")
+def page_classification(t):
+    """A-14: documents by how their pages were read."""
+    return blocks.page_kinds(t("conversations"), ["conv_id"], F.col("role") == "user")
+
+
+@query(f"WITH {_WORDS} SELECT doc_id, line_no, word_no FROM w WHERE (y0 + y1) / 2.0 >= 100")
+def geometric_filter(t):
+    """P-08: words in the lower half of a page 200 high."""
+    rows = _words(t).select("doc_id", "line_no", "word_no", F.array("x0", "y0", "x1", "y1").alias("bbox"), F.lit(200.0).alias("height"))
+    return blocks.keep_below_middle(rows).select("doc_id", "line_no", "word_no")
+
+
+@query(f"""WITH {_WORDS}, lines AS (SELECT doc_id, line_no, string_agg(text, ' ' ORDER BY word_no) AS text, CAST(min(y0) + CASE WHEN line_no >= 3 THEN 20 * floor(line_no / 3) ELSE 0 END AS DOUBLE) AS top, CAST(max(y1) + CASE WHEN line_no >= 3 THEN 20 * floor(line_no / 3) ELSE 0 END AS DOUBLE) AS bottom FROM w GROUP BY doc_id, line_no),
+h AS (SELECT doc_id, median(bottom - top) AS h FROM lines GROUP BY doc_id), b AS (SELECT *, CASE WHEN top - lag(bottom) OVER (PARTITION BY doc_id ORDER BY top) > greatest(12.0, 1.45 * h) THEN 1 ELSE 0 END AS br FROM lines JOIN h USING (doc_id)),
+p AS (SELECT *, sum(br) OVER (PARTITION BY doc_id ORDER BY top ROWS UNBOUNDED PRECEDING) AS p FROM b), j AS (SELECT doc_id, p, string_agg(text, ' ' ORDER BY top) AS t FROM p GROUP BY doc_id, p)
+SELECT doc_id, string_agg(t, chr(10) || chr(10) ORDER BY p) AS text FROM j GROUP BY doc_id""")
+def paragraph_breaks(t):
+    """W-12, C-10: lines to paragraphs by the gaps between them."""
+    lines = blocks.ocr_lines(_words(t), ["doc_id", "line_no"])
+    shift = F.when(F.col("line_no") >= 3, 20 * F.floor(F.col("line_no") / 3)).otherwise(0)
+    return blocks.paragraphs(lines.select("doc_id", "text", (F.col("y0") + shift).cast("double").alias("top"), (F.col("y1") + shift).cast("double").alias("bottom")), ["doc_id"])
+
+
+@query("SELECT p_partkey, CAST(p_size AS DOUBLE) AS x0, CAST(p_size + 5 AS DOUBLE) AS x1, (p_size % 100 + 50) / 100.0 AS score FROM part")
+def ocr_json_flatten(t):
+    """S-11: an OCR engine's JSON to items; percentages become shares, polygons boxes."""
+    s = F.col("p_size").cast("string")
+    x1 = (F.col("p_size") + 5).cast("string")
+    body = F.concat(F.lit('{"res":{"rec_texts":["a"],"rec_scores":['), (F.col("p_size") % 100 + 50).cast("string"), F.lit('],"dt_polys":[[['), s, F.lit(",0],["), x1, F.lit(",0],["), x1, F.lit(",9],["), s, F.lit(",9]]]}}"))
+    items = t("part").select("p_partkey", F.explode(blocks.ocr_json_items(body)).alias("i"))
+    return items.select("p_partkey", F.col("i.box")[0].alias("x0"), F.col("i.box")[2].alias("x1"), F.col("i.score").alias("score"))
+
+
+@query("SELECT page_id, length(regexp_replace(html, '<[^>]*>', '', 'g')) AS n_text, len(regexp_extract_all(html, '<[a-zA-Z]')) AS n_tags FROM pages")
+def html_blocks(t):
+    """S-15 on web pages: text and tags."""
+    return t("pages").select("page_id", F.char_length(F.regexp_replace("html", "<[^>]*>", "")).cast("long").alias("n_text"), F.size(F.regexp_extract_all("html", F.lit("(<[a-zA-Z])"))).cast("long").alias("n_tags"))
+
+
+@query("""WITH l AS (SELECT doc_id, source, unnest(range(0, len(s))) AS n, unnest(s) AS line FROM (SELECT doc_id, source, string_split(text, chr(10)) AS s FROM documents WHERE lang IS NOT NULL)) SELECT doc_id, '# ' || any_value(source) || chr(10) || string_agg('<!-- line ' || n || ' -->' || chr(10) || '- ' || trim(regexp_replace(line, '\\s+', ' ', 'g')), chr(10) ORDER BY n) AS markdown FROM l GROUP BY doc_id""")
+def markdown_projection(t):
+    """K-11: a document as Markdown, every line under a comment with its evidence."""
+    lines = t("documents").where("lang is not null").select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    one = F.concat(F.lit("<!-- line "), F.col("n").cast("string"), F.lit(" -->\n- "), fold.clean_text(F.col("line")))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", one.alias("said")))), lambda x: x["said"]), "\n")
+    return lines.groupBy("doc_id").agg(F.concat(F.lit("# "), F.first("source"), F.lit("\n"), body).alias("markdown"))
+
+
+@query("SELECT p_partkey, '<tr><td>' || replace(replace(replace(p_brand, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</td><td>' || replace(replace(replace(p_name || ' <' || p_size || '>', '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</td></tr>' AS html FROM part")
+def review_html(t):
+    """K-12, J-18: rows of the review page, escaped."""
+    from ..sinks import html_escape
+
+    row = F.concat(F.lit("<tr><td>"), html_escape(F.col("p_brand")), F.lit("</td><td>"), html_escape(F.concat("p_name", F.lit(" <"), "p_size", F.lit(">"))), F.lit("</td></tr>"))
+    return t("part").select("p_partkey", row.alias("html"))
+
+
+@query("""SELECT p_partkey, '{"brand":"' || p_brand || '","price":"' || CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) || '","sku":"' || p_partkey || '"}' AS line FROM part""")
+def jsonl_projection(t):
+    """K-01, K-02, K-08: a record as a JSON line with sorted keys and decimals as text."""
+    from ..sinks import json_line
+
+    return t("part").select("p_partkey", json_line({"sku": F.col("p_partkey").cast("string"), "brand": F.col("p_brand"), "price": F.col("p_retailprice").cast("decimal(18,2)")}).alias("line"))
