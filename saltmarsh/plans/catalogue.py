@@ -704,3 +704,21 @@ def jsonl_projection(t):
     from ..sinks import json_line
 
     return t("part").select("p_partkey", json_line({"sku": F.col("p_partkey").cast("string"), "brand": F.col("p_brand"), "price": F.col("p_retailprice").cast("decimal(18,2)")}).alias("line"))
+
+
+@query(None)
+def document_cards(t):
+    """C-03, C-04, C-15, W-06, W-10, W-11: lines of pages to product cards with names, prices and sizes."""
+    from ..operators.cards import cards
+
+    lines = t("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "text")).where("trim(text) <> ''")
+    placed = lines.select(F.col("doc_id").cast("string").alias("source_file"), F.lit(1).alias("page_number"), F.lit(100.0).alias("width"), F.concat(F.lit("b"), "i").alias("block_id"), "text", F.lit(0.0).alias("x0"), (F.col("i") * 30).cast("double").alias("y0"), F.lit(90.0).alias("x1"), (F.col("i") * 30 + 20).cast("double").alias("y1"), F.lit(0.9).alias("confidence"))
+    return cards(placed).select("source_file", "card", "name", "price", "kind", F.size("block_ids").alias("n_blocks"))
+
+
+@query("SELECT time_bucket(INTERVAL '10 minutes', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def windowed_counts(t):
+    """Tumbling windows over events, as the streaming extension counts them (here over all rows at once)."""
+    from ..streaming.ingest import windowed_counts as windows
+
+    return windows(t("events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")

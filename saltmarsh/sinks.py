@@ -27,7 +27,6 @@ def typed(df: DataFrame, entity: str) -> DataFrame:
 
 def write_processed(valid: DataFrame, entity: str, path: str, run_id: str, row: str = "row_number") -> None:
     """Parquet and JSON lines of valid records, with the run and the source row; the schema is the same for empty runs."""
-    out = typed(valid.drop(row), entity).withColumn("_run_id", F.lit(run_id))
     out = typed(valid, entity).select(*[f.name for f in fields_for(entity)], F.lit(run_id).alias("_run_id"), F.col(row).cast("long").alias("_source_row"))
     out.write.mode("overwrite").parquet(f"{path}/{entity}.parquet")
     names = [f.name for f in fields_for(entity) if f.type != "attributes"]
