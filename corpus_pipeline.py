@@ -21,8 +21,11 @@ MIN_LANGUAGE_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without a letter, or in none of the languages clearly, go."""
-    found = predict_languages(docs, train(docs), keep=tuple(docs.columns), names=("_lang", "_score"))
+    """Language ID: documents without a letter, or in none of the languages clearly, go (without any label, only the former)."""
+    model = train(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = predict_languages(docs, model, keep=tuple(docs.columns), names=("_lang", "_score"))
     return found.where((F.col("_lang") != UNKNOWN) & (F.col("_score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
 
 

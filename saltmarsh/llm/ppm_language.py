@@ -80,6 +80,9 @@ class PpmModel:
     def __init__(self, texts: dict[str, list[str]], order: int = ORDER):
         self.order, self.languages = order, sorted(texts)
         n_lang = len(self.languages)
+        if not n_lang:  # predict() then never looks further
+            self.keys, self.cost, self.contexts, self.escape = [], [], [], []
+            return
         counts: list[list[tuple[np.ndarray, np.ndarray]]] = []
         for lang in self.languages:
             pad = b"\0" * order
