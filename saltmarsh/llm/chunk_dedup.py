@@ -1,13 +1,14 @@
 """Substring deduplication by content-defined chunks.
 
 A gear rolling hash over the last sixteen bytes cuts texts where its top bits are zero, between a least and a greatest
-size, so equal passages are cut alike wherever they stand. A chunk's digest occurs first in the smallest (doc_id, start);
-every other occurrence is a repeat. Repeats that follow one another make a run, and runs of at least ``MIN_WORDS`` words
-are passages to remove: single chunks shared by chance stay.
+size, so equal passages are cut alike wherever they stand. The smallest document that holds a chunk's digest keeps it; in
+every other document it is a repeat (what a document repeats of itself stays). Repeats that follow one another make a
+run, and runs of at least ``MIN_WORDS`` words are passages to remove: single chunks shared by chance stay. A passage that
+is one short word over and over has no cuts of its own, so copies of it may be cut at different places and then stay.
 
-Scale: chunk rows are shuffled once by digest. Each batch keeps one occurrence of a digest for that shuffle; its other
-occurrences are known repeats already and travel under a key of their own row, so a digest that a third of all chunks
-share costs one row a batch. Repeats alone are then gathered by document.
+Scale: chunk rows are shuffled once by digest. Each batch keeps one document's occurrences of a digest for that shuffle;
+those in other documents are known repeats already and travel under a key of their own row, so a digest that a third of
+all documents share costs one document's rows a batch. Repeats alone are then gathered by document.
 
 Defined cases: null text is empty; a row without id takes no part and stays whole; rows that repeat an id with the same
 text are one document, and both stay; empty tables give no rows; very long texts are cut like others; other columns of
@@ -98,7 +99,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text
                 key, doc, begin, end, words = (np.concatenate(c) for c in zip(*parts))
                 order = np.lexsort((begin, doc, key))
                 key, doc, begin, end, words = (c[order] for c in (key, doc, begin, end, words))
-                repeat = _repeats(key, doc, begin)
+                repeat = _repeats(key, doc)
                 mixed = (doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + begin.view(np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.where(repeat, mixed, key)), pa.array(doc), pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(words), pa.array(repeat)], names=["key", "doc_id", "begin", "end", "words", "repeat"])
 
@@ -112,7 +113,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text
             rows = pa.Table.from_batches(firsts)
             key, doc, begin = (rows[i].to_numpy() for i in range(3))
             order = np.lexsort((begin, doc, key))
-            again = order[_repeats(key[order], doc[order], begin[order])]
+            again = order[_repeats(key[order], doc[order])]
             if len(again):
                 yield pa.RecordBatch.from_arrays([pa.array(rows[i].to_numpy()[again]) for i in range(1, 5)], names=["doc_id", "begin", "end", "words"])
 
@@ -139,13 +140,12 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text
     return repeats.repartition("doc_id").mapInArrow(runs, "doc_id long, spans array<struct<begin:int,end:int>>, words long")
 
 
-def _repeats(key: np.ndarray, doc: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """Of rows sorted by (key, doc, begin): which are not the first occurrence of their key (the same occurrence twice is one)."""
+def _repeats(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Of rows sorted by (key, doc, begin): which are in another document than the first of their key."""
     if not len(key):
         return np.empty(0, bool)
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    of = np.repeat(first, np.diff(np.r_[first, len(key)]))
-    return (doc != doc[of]) | (begin != begin[of])
+    return doc != doc[np.repeat(first, np.diff(np.r_[first, len(key)]))]
 
 
 def without_spans(text: str, spans: list[tuple[int, int]]) -> str:

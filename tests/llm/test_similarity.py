@@ -150,8 +150,10 @@ def brute_runs(rows):
             where[k].add((d, a, b, w))
     again = defaultdict(list)
     for places in where.values():
-        for d, a, b, w in sorted(places)[1:]:
-            again[d].append((a, b, w))
+        keeper = min(places)[0]
+        for d, a, b, w in places:
+            if d != keeper:
+                again[d].append((a, b, w))
     out = {}
     for d, spans in again.items():
         runs = []
