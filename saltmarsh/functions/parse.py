@@ -82,30 +82,36 @@ def attributes(c: Column) -> Column:
     Pairs are parted by semicolon, bar or newline, and key from value by ``=`` or else ``:``. Keys are normalised before
     they are compared, so two spellings of one key are an error. Blank text is a null value without an error.
     """
-    t = F.trim(c)
-    names = F.json_object_keys(t)  # keeps duplicates; null for other than an object
-    is_object = names.isNotNull()
-    is_json = F.try_parse_json(t).isNotNull() | is_object
-    raw = F.from_json(t, "map<string,string>")
-    json_pairs = F.arrays_zip(names.alias("k"), F.transform(names, lambda k: F.element_at(raw, k)).alias("v"))
-    parts = F.filter(F.transform(F.split(t, r"[;|\n]"), F.trim), lambda p: p != "")
 
     def pair(p: Column) -> Column:
         mark = F.when(p.contains("="), "=").otherwise(":")
-        at = F.when(p.contains("="), F.instr(p, "=")).otherwise(F.instr(p, ":"))
-        return F.struct(F.when(at > 0, F.substr(p, F.lit(1), at - 1)).alias("k"), F.when(at > 0, F.substr(p, at + F.char_length(mark))).alias("v"))
-
-    pairs = F.when(is_object, json_pairs).otherwise(F.transform(parts, pair))
-    clean = F.transform(pairs, lambda p: F.struct(attribute_key(p["k"]).alias("k"), F.trim(p["v"]).alias("v")))
-    keys = F.transform(clean, lambda p: p["k"])
-    nested = F.exists(pairs, lambda p: p["v"].rlike(r"^\s*[\{\[]")) & is_object
-    error = (
-        F.when(is_blank(t), F.lit(None))
-        .when(is_json & ~is_object, F.when(t == "null", "invalid pair").otherwise("must be an object"))
-        .when(F.exists(clean, lambda p: p["k"].isNull()), "invalid pair")
-        .when(F.exists(clean, lambda p: p["v"].isNull() | (p["v"] == "")), "empty value")
-        .when(nested, "nested value")
-        .when(F.size(F.array_distinct(keys)) < F.size(keys), "duplicate key")
-    )
-    value = F.when(error.isNull() & ~is_blank(t) & (F.size(clean) > 0), F.map_from_arrays(keys, F.transform(clean, lambda p: p["v"])))
-    return F.struct(value.alias("value"), error.cast("string").alias("error"))
+        return let(F.locate("=", p), lambda eq: let(F.when(eq > 0, eq).otherwise(F.locate(":", p)), lambda at: F.struct(F.when(at > 0, F.substr(p, F.lit(1), at - 1)).alias("k"), F.when(at > 0, F.substr(p, at + F.char_length(mark))).alias("v"))))
+
+    def split(src: Column) -> Column:
+        """The raw pairs: an object's keys (duplicates kept) with their values, or the parts of a text."""
+        names = src["names"]
+        of_json = F.transform(names, lambda k: F.struct(k.alias("k"), F.element_at(src["raw"], k).alias("v")))
+        parts = F.filter(F.transform(F.split(src["t"], r"[;|\n]"), F.trim), lambda p: p != "")
+        return F.when(names.isNotNull(), of_json).otherwise(F.transform(parts, pair))
+
+    def judge(src: Column, pairs: Column, clean: Column) -> Column:
+        t, is_object, keys = src["t"], src["names"].isNotNull(), F.transform(clean, lambda p: p["k"])
+        error = (
+            F.when(is_blank(t), F.lit(None))
+            .when(~is_object & F.try_parse_json(t).isNotNull(), F.when(t == "null", "invalid pair").otherwise("must be an object"))
+            .when(F.exists(clean, lambda p: p["k"].isNull()), "invalid pair")
+            .when(F.exists(clean, lambda p: p["v"].isNull() | (p["v"] == "")), "empty value")
+            .when(is_object & F.exists(pairs, lambda p: p["v"].rlike(r"^\s*[\{\[]")), "nested value")
+            .when(F.size(F.array_distinct(keys)) < F.size(keys), "duplicate key")
+        )
+        value = F.map_from_arrays(keys, F.transform(clean, lambda p: p["v"]))
+        return let(error.cast("string"), lambda e: F.struct(F.when(e.isNull() & ~is_blank(t) & (F.size(clean) > 0), value).alias("value"), e.alias("error")))
+
+    def read(src: Column) -> Column:
+        def cleaned(pairs: Column) -> Column:
+            clean = F.transform(pairs, lambda p: F.struct(attribute_key(p["k"]).alias("k"), F.trim(p["v"]).alias("v")))
+            return let(clean, lambda x: judge(src, pairs, x))
+
+        return let(split(src), cleaned)
+
+    return let(F.trim(c), lambda t: let(F.struct(t.alias("t"), F.json_object_keys(t).alias("names"), F.from_json(t, "map<string,string>").alias("raw")), read))

@@ -120,9 +120,8 @@ def number_text(t):
 @query("""SELECT event_id, '{"n": "' || CAST(json_extract_string(props, '$.' || json_keys(props)[1]) AS VARCHAR) || '"}' AS attributes, CAST(NULL AS VARCHAR) AS error FROM events""")
 def attributes_parse(t):
     """F-12: attributes given as JSON, their keys normalised."""
-    got = parse.attributes(F.col("props"))
-    m = F.map_from_arrays(F.transform(F.map_keys(got["value"]), lambda k: F.lit("n")), F.map_values(got["value"]))
-    return t("events").select("event_id", fold.canonical_json(m).alias("attributes"), got["error"].alias("error"))
+    m = F.map_from_arrays(F.transform(F.map_keys("got.value"), lambda k: F.lit("n")), F.map_values("got.value"))
+    return t("events").select("event_id", parse.attributes(F.col("props")).alias("got")).select("event_id", fold.canonical_json(m).alias("attributes"), F.col("got.error").alias("error"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN NULL WHEN l_linenumber % 3 = 1 THEN '{"linea": "' || l_linestatus || '", "retorno": "' || l_returnflag || '"}' END AS attributes,
@@ -131,8 +130,8 @@ def attribute_pairs(t):
     """F-12: attributes given as pairs; two spellings of a key, or a part without a separator, are errors."""
     k = F.pmod("l_linenumber", F.lit(3))
     said = F.when(k == 1, F.concat(F.lit("Retorno = "), "l_returnflag", F.lit("; Línea: "), "l_linestatus")).when(k == 0, F.concat(F.lit("Color="), "l_returnflag", F.lit("|color="), "l_linestatus")).otherwise(F.col("l_returnflag"))
-    got = parse.attributes(said)
-    return t("lineitem").select("l_orderkey", "l_linenumber", fold.canonical_json(got["value"]).alias("attributes"), got["error"].alias("error"))
+    rows = t("lineitem").select("l_orderkey", "l_linenumber", parse.attributes(said).alias("got"))
+    return rows.select("l_orderkey", "l_linenumber", fold.canonical_json(F.col("got.value")).alias("attributes"), F.col("got.error").alias("error"))
 
 
 @query("""WITH m AS (SELECT p_brand, count(DISTINCT p_size) % 7 AS n FROM part GROUP BY p_brand) SELECT n AS n_attributes, count(*) AS n_rows, max(n) OVER () AS most FROM m GROUP BY n""")
