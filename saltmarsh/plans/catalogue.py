@@ -15,6 +15,7 @@ from ..functions import parse, presentation, titles
 from ..functions import text as fold
 from ..operators import align, blocks, categories, prices, quality, skus
 from ..operators.validation import validate
+from ..shipping import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -23,8 +24,13 @@ ORACLE_SQL: dict[str, str] = {}
 def query(sql: str | None):
     def register(fn: Callable[[Callable[[str], DataFrame]], DataFrame]):
         name = fn.__name__
-        QUERIES[name] = lambda spark, sf_dir: fn(lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
-        QUERIES[name].__name__ = name
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
+
+        run.__name__ = name
+        QUERIES[name] = run
         if sql is not None:
             ORACLE_SQL[name] = sql.strip()
         return fn
