@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import os
-import sys
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -14,6 +12,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship_package
+
+__all__ = ["BROADCAST_ROWS", "arrow_types", "bounded_broadcast", "map_rows", "shared_dir", "ship_package", "stored", "table", "vocabulary"]
+
 #: Rows that a broadcast side may have at most; beyond it the callers shuffle instead.
 BROADCAST_ROWS = 200_000
 
@@ -30,23 +32,6 @@ def vocabulary(name: str) -> bytes:
     return Path(public_tokenizers.path(name)).read_bytes()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable on executors that were not started with it on their path."""
-    root = str(Path(__file__).resolve().parents[2])
-    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or os.getcwd() == root:
-        return
-    if getattr(spark.sparkContext, "_saltmarsh_shipped", False):
-        return
-    target = Path(tempfile.mkdtemp()) / "saltmarsh.zip"
-    with zipfile.ZipFile(target, "w") as z:
-        for p in Path(root, "saltmarsh").rglob("*.py"):
-            z.write(p, p.relative_to(root))
-    path = list(sys.path)
-    spark.sparkContext.addPyFile(str(target))
-    sys.path[:] = path  # the driver keeps its own copy
-    spark.sparkContext._saltmarsh_shipped = True
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from spark.checkpoint.dir; a local one only where that is unset (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
