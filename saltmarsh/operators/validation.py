@@ -87,7 +87,10 @@ def validate(records: DataFrame, entity: str, row: str = "row_number", coercion:
     ``text_comparison``, precio_comparacion is text, as tables deliver it, and is not compared as a number.
     """
     columns = records.columns
-    with_first = records.withColumn("_identity", identity(entity, columns)).withColumn("first_row", F.when(F.col("_identity").isNotNull(), F.min(row).over(Window.partitionBy("_identity"))))
+    named = records.withColumn("_identity", identity(entity, columns))
+    # records without an identity go by their own row, so that they do not meet in one partition
+    apart = Window.partitionBy("_identity", F.when(F.col("_identity").isNull(), F.col(row)))
+    with_first = named.withColumn("first_row", F.when(F.col("_identity").isNotNull(), F.min(row).over(apart)))
     found = rules(entity, [c for c in columns if not (text_comparison and c == "precio_comparacion")])
     found.append(issue("duplicate_in_batch", None, F.col("first_row").isNotNull() & (F.col(row) > F.col("first_row"))))
     issues = F.array_compact(F.array(*found))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 
-
 def load(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, int]:
     """(rows of the last version, its number); no rows and 0 before there is one."""
     try:
