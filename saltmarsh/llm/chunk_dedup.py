@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package, stored
+from .common import BROADCAST_ROWS, ship_package, stored
 
 #: Chunk sizes in bytes: at least, at most; one place in 2 ** CUT_BITS is a cut.
 LEAST, MOST, CUT_BITS = 16, 256, 4
@@ -166,24 +166,29 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") -> DataFrame:
     """docs with repeated passages cut out of all but the first document that holds them; n_chars follows where there is such a column."""
-    found = stored(repeated_runs(docs, min_words, text), "chunk-runs").select(F.col("doc_id").alias("_id"), "spans")
+    found = stored(repeated_runs(docs, min_words, text), "chunk-runs").select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
+    # few spans in all are broadcast, so that the texts stay where they are; more of them meet the texts in one shuffle
+    few = found.select(F.explode("_spans")).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     columns = docs.columns
-    joined = docs.join(found, F.col("doc_id") == F.col("_id"), "left")
+    joined = docs.join(F.broadcast(found) if few else found, F.col("doc_id") == F.col("_id"), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text)
-            spans = batch.column(batch.schema.get_field_index("spans")).to_pylist()
-            texts = [without_spans(t, [(s["begin"], s["end"]) for s in x]) if x and t is not None else t for t, x in zip(batch.column(at).to_pylist(), spans)]
-            cols = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays(cols, names=columns)
-
-    touched = joined.where(F.col("spans").isNotNull())
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    done = touched.select(*columns, "spans").mapInArrow(cut, schema)
+            spans = batch.column(len(columns))
+            if spans.null_count < len(spans):
+                texts = batch.column(at).to_pylist()
+                for i in np.flatnonzero(spans.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                    if texts[i] is not None:
+                        texts[i] = without_spans(texts[i], [(s["begin"], s["end"]) for s in spans[i].as_py()])
+                batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+            yield batch.select([*range(len(columns)), len(columns) + 1])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _cut boolean"
+    done = joined.select(*columns, "_spans", F.col("_spans").isNotNull().alias("_cut")).mapInArrow(cut, schema)
     if "n_chars" in columns:
-        done = done.withColumn("n_chars", F.char_length(text).cast(docs.schema["n_chars"].dataType))
-    return joined.where(F.col("spans").isNull()).select(*columns).unionByName(done.select(*columns))
+        done = done.withColumn("n_chars", F.when(F.col("_cut"), F.char_length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return done.select(*columns)
 
 
 def chunk_report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
