@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import BROADCAST_ROWS, stored
 
 
 @dataclass(frozen=True)
@@ -125,8 +125,10 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text",
     """docs with every found span replaced by the mask (overlapping spans by one); n_chars follows where there is such a column."""
     columns = docs.columns
     found = scan_unseen(docs, None, rules, text)
-    hit = stored(found.where(F.size("findings") > 0), "secret-redact")
-    joined = docs.withColumn("_blob", blob_id(F.col(text))).join(hit.select(F.col("blob_id").alias("_hit"), F.col("findings").alias("_found")), F.col("_blob") == F.col("_hit"), "left")
+    hit = stored(found.where(F.size("findings") > 0).select(F.col("blob_id").alias("_hit"), F.col("findings").alias("_found")), "secret-redact")
+    # few findings in all are broadcast, so that the texts stay where they are
+    few = hit.select(F.explode("_found")).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    joined = docs.withColumn("_blob", blob_id(F.col(text))).join(F.broadcast(hit) if few else hit, F.col("_blob") == F.col("_hit"), "left")
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(s: Column, x: Column) -> Column:
