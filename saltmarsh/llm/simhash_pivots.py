@@ -39,6 +39,8 @@ SEED = 42
 GROUPS, AGREEING = 6, 3
 #: References besides the groups, used to discard pairs.
 FURTHER = 8
+#: Members of a bucket that all others are compared with, least first (near_duplicates).
+CENTERS = 16
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _BLOCK = 1 << 15
 
@@ -224,18 +226,20 @@ def angle(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bits: int = 512, recall: float = 0.98, window: int = 4, text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bits: int = 512, recall: float = 0.98, text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) under similarity of shingle sets at or above ``similarity``, measured by wide fingerprints.
 
-    A pair at exactly that similarity meets in some bucket with probability ``recall``; in a bucket each member is
-    compared with the next ``window`` ones in an order that differs from bucket to bucket. Pairs pass up to the expected
-    distance plus 1.3 standard errors of the fingerprint, about 0.03 in similarity.
+    A pair at exactly that similarity meets in some bucket with probability ``recall``. In a bucket each member is compared,
+    by its first 64 bits, with the next one and with the ``CENTERS`` least ones, and joined to the first of those that is
+    near: a group's links are a few a member, and copies meet their original even where they are not alike themselves.
+    Candidates pass up to the expected distance of all bits plus 1.3 standard errors, about 0.03 in similarity.
     """
     fps = stored(fingerprints(docs, shingle, bits, text), "simhash-wide")
     folded = _folded(fps)
     n, words = max(1, folded.count()), bits // 64
     p = angle(similarity)
     radius = math.floor(bits * p + 1.3 * math.sqrt(bits * p * (1 - p)))
+    loose = math.floor(64 * radius / bits + 4 * math.sqrt(64 * p * (1 - p)))
     key_bits = min(40, max(16, math.ceil(math.log2(n)) + 2))
     tables = math.ceil(math.log(1 - recall) / math.log(1 - (1 - p) ** key_bits))
     rng = np.random.default_rng(SEED)
@@ -246,22 +250,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
         for batch in batches:
             node, raw = batch.column(0).to_numpy(), b"".join(batch.column(1).to_pylist())
             one = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, bits // 8), axis=1, bitorder="little")
+            head = np.frombuffer(raw, np.int64).reshape(-1, words)[:, 0]
             for t, at in enumerate(chosen):
                 key = one[:, at].astype(np.int64) @ weights + (np.int64(t + 1) << 41)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node)], names=["key", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node), pa.array(head)], names=["key", "node", "head"])
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not (columns := _whole(batches)):
             return
-        key, node = columns
-        salted = (node.view(np.uint64) + key.view(np.uint64)) * np.uint64(_MIX[0])
-        order = np.lexsort((salted ^ (salted >> np.uint64(31)), key))
-        key, node = key[order], node[order]
-        for step in range(1, window + 1):
-            same = np.flatnonzero(key[:-step] == key[step:])
-            low, high = np.minimum(node[same], node[same + step]), np.maximum(node[same], node[same + step])
-            pairs = np.unique(np.stack([low, high], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        key, node, head = columns
+        order = np.lexsort((node, key))
+        key, node, head = key[order], node[order], head[order].view(np.uint64)
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        start = np.repeat(start, np.diff(np.r_[start, len(key)]))
+        pairs = []
+
+        def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            ok = np.bitwise_count(head[a] ^ head[b]) <= loose
+            pairs.append(np.stack([node[a[ok]], node[b[ok]]], axis=1))
+            return ok
+
+        at = np.flatnonzero(start != np.arange(len(key)))
+        near(at - 1, at)
+        for c in range(CENTERS):
+            at = at[start[at] + c < at]
+            at = at[~near(start[at] + c, at)]
+        found = np.unique(np.concatenate(pairs), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         refs = references(FURTHER, words)
@@ -272,7 +287,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
             kept = batch.filter(pa.array(near))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
-    met = folded.select("node", "fp").mapInArrow(keyed, "key long, node long").repartition("key").mapInArrow(candidates, "a long, b long")
+    met = folded.select("node", "fp").mapInArrow(keyed, "key long, node long, head long").repartition("key").mapInArrow(candidates, "a long, b long")
     pairs = stored(met.distinct(), "simhash-candidates")
     side = folded.select(F.col("node").alias("_n"), F.col("fp").alias("_fp"))
     both = pairs.join(side.withColumnRenamed("_fp", "fp_a"), F.col("a") == F.col("_n")).drop("_n").join(side.withColumnRenamed("_fp", "fp_b"), F.col("b") == F.col("_n")).select("a", "b", "fp_a", "fp_b")
