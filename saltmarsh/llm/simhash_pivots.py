@@ -230,8 +230,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     """(doc_id, fp, component_id) under similarity of shingle sets at or above ``similarity``, measured by wide fingerprints.
 
     A pair at exactly that similarity meets in some bucket with probability ``recall``. In a bucket each member is compared,
-    by its first 64 bits, with the next one and with the ``CENTERS`` least ones, and joined to the first of those that is
-    near: a group's links are a few a member, and copies meet their original even where they are not alike themselves.
+    by its first 64 bits, with the ``CENTERS`` least ones and then the one before it, and joined to the first that is near:
+    a group's links are a few a member, and copies meet their original even where they are not alike themselves.
     Candidates pass up to the expected distance of all bits plus 1.3 standard errors, about 0.03 in similarity.
     """
     fps = stored(fingerprints(docs, shingle, bits, text), "simhash-wide")
@@ -271,10 +271,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
             return ok
 
         at = np.flatnonzero(start != np.arange(len(key)))
-        near(at - 1, at)
         for c in range(CENTERS):
             at = at[start[at] + c < at]
             at = at[~near(start[at] + c, at)]
+        near(at - 1, at)
         found = np.unique(np.concatenate(pairs), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
