@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,10 +133,28 @@ def _character(raw: bytes, at: int) -> int:
     return 1 if first < 0x80 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4
 
 
+class _Units(dict):
+    """Unit -> its encoding, computed once; two generations are kept, so that common units stay."""
+
+    def __init__(self, codec: Codec, limit: int):
+        super().__init__()
+        self.codec, self.limit, self.old = codec, limit // 2, {}
+
+    def __missing__(self, unit: str) -> tuple[bytes, bytes, str]:
+        got = self.old.get(unit) or self.codec.encode_unit(unit)
+        if len(unit) <= MAX_CACHED_UNIT:
+            if len(self) >= self.limit:
+                self.old = dict(self)
+                self.clear()
+            self[unit] = got
+        return got
+
+
 class Codec:
     """Encoder and decoder of one BPE model given as its serialised bytes."""
 
-    def __init__(self, model: bytes, max_units: int = 400_000):
+    def __init__(self, model: bytes, max_units: int = 700_000, by_library: bool = True):
+        from sentencepiece import SentencePieceProcessor
         from sentencepiece import sentencepiece_model_pb2 as pb
 
         proto = pb.ModelProto()
@@ -159,8 +178,15 @@ class Codec:
         self.barriers = "".join(c for c in "\n\t\r" if not any(c in p for p in self.ids))
         no = re.escape(self.barriers)
         self.unit = re.compile(rf"{SPACE}+[^{SPACE}{no}]*|[^{SPACE}{no}]+" + (f"|[{no}]+" if no else "")) if not self.joined_space else re.compile(r"(?s).+")
-        self.cache: dict[str, tuple] = {}
-        self.max_units = max_units
+        self.cache = _Units(self, max_units)
+        #: Units new to a worker are segmented by the library where it would normalise them to themselves; else by ``merge``.
+        self.library = SentencePieceProcessor(model_proto=model)
+        self.by_library = by_library and self.normalizer.plain and self.prefix and not self.joined_space
+        self.sizes = [1 if p.type == BYTE else len(p.piece.encode()) for p in proto.pieces]
+        #: Source bytes of each piece where only spaces change (a space is one byte of the source, three normalised).
+        self.source_sizes = np.array([1 if p.type == BYTE else len(p.piece.encode()) - 2 * p.piece.count(SPACE) for p in proto.pieces], np.int64)
+        high = [i for b, i in self.bytes.items() if b >= 0x80]
+        self.high = (min(high), max(high)) if high else (1, 0)
 
     def _surface(self, piece, trainer) -> bytes:
         if piece.type == BYTE:
@@ -208,20 +234,12 @@ class Codec:
 
     def encode_unit(self, unit: str) -> tuple[bytes, bytes, str]:
         """(ids, the normalised bytes each piece has, ids as text) of a unit; a character without a piece becomes its bytes."""
-        got = self.cache.get(unit)
-        if got is None:
-            inside = self.inside
-            cuts = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in inside]
-            if cuts:
-                parts = [self.encode_unit(unit[a:b]) for a, b in zip([0, *cuts], [*cuts, len(unit)])]
-                got = b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts]), ",".join([p[2] for p in parts])
-            else:
-                got = self._encode_part(unit)
-            if len(unit) <= MAX_CACHED_UNIT:
-                if len(self.cache) >= self.max_units:
-                    self.cache.clear()
-                self.cache[unit] = got
-        return got
+        inside = self.inside
+        cuts = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in inside]
+        if not cuts:
+            return self._encode_part(unit)
+        parts = [self.cache[unit[a:b]] for a, b in zip([0, *cuts], [*cuts, len(unit)])]
+        return b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts]), ",".join([p[2] for p in parts])
 
     def _encode_part(self, part: str) -> tuple[bytes, bytes, str]:
         ids, sizes = array("I"), array("I")
@@ -240,8 +258,25 @@ class Codec:
         return ids.tobytes(), sizes.tobytes(), ",".join(map(str, ids))
 
     def units(self, normalized: str) -> list[tuple[bytes, bytes, str]]:
-        cache, encode = self.cache, self.encode_unit
-        return [cache.get(u) or encode(u) for u in self.unit.findall(normalized)]
+        return list(map(self.cache.__getitem__, self.unit.findall(normalized)))
+
+    def warm(self, texts: list[list[str]]) -> None:
+        """Take the new units of many texts into the cache at once: one library call, far cheaper than one a unit.
+
+        Units that do not begin with a space, or that need several byte pieces for a character, are left to ``encode_unit``.
+        """
+        if not self.by_library:
+            return
+        cache, old = self.cache, self.cache.old
+        new = [u for u in set().union(*texts).difference(cache) if u[0] == SPACE and 1 < len(u) <= MAX_CACHED_UNIT and u not in old]
+        if len(cache) + len(new) > cache.limit:
+            cache.old = dict(cache)
+            cache.clear()
+        low, high, sizes = *self.high, self.sizes
+        # the library's own dummy prefix stands for a unit's first space
+        for u, ids in zip(new, self.library.encode([u[1:].replace(SPACE, " ") for u in new], num_threads=1)):
+            if min(ids) > high or not any(low <= i <= high for i in ids):
+                cache[u] = array("I", ids).tobytes(), array("I", [sizes[i] for i in ids]).tobytes(), str(ids)[1:-1].replace(" ", "")
 
     def normalized(self, text: str) -> str:
         if self.normalizer.plain:
@@ -262,15 +297,25 @@ class Codec:
             at += n
         return ids, spans
 
+    def plain_ends(self, text: str, ids: np.ndarray) -> np.ndarray | None:
+        """Where each piece ends in the source, vectorised, for normalisers that only change spaces.
+
+        None where that cannot be told from the ids: characters in several byte pieces, or the mark of a space in the source.
+        """
+        low, high = self.high
+        if SPACE in text or ((ids >= low) & (ids <= high)).any():
+            return None
+        return np.cumsum(self.source_sizes[ids]) - (1 if self.prefix else 0)
+
     def decode(self, ids: list[int]) -> str:
         """Surfaces joined; bytes of no valid character become U+FFFD each; the dummy prefix goes."""
         surface = self.surface
         runs = [ids]
-        if any(c in ids for c in self.controls):  # an invisible id still ends a run of bytes
+        if self.controls.intersection(ids):  # an invisible id still ends a run of bytes
             runs = [[]]
             for i in ids:
                 runs.append([]) if i in self.controls else runs[-1].append(i)
-        text = "".join([b"".join([surface[i] for i in run]).decode("utf-8", "saltmarsh.bytewise") for run in runs])
+        text = "".join([b"".join(map(surface.__getitem__, run)).decode("utf-8", "saltmarsh.bytewise") for run in runs])
         return text[1:] if self.prefix and text.startswith(" ") and self._leads_with_space(ids) else text
 
     def _leads_with_space(self, ids: list[int]) -> bool:
@@ -304,7 +349,9 @@ def encode_documents(docs: DataFrame, model: bytes | None = None, id_column: str
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                both = [codec.encode_spans(t or "") for t in part.column(1).to_pylist()]
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                codec.warm([codec.unit.findall(codec.normalized(t)) for t in texts])
+                both = [codec.encode_spans(t) for t in texts]
                 ids = [b[0] for b in both]
                 spans = [[{"begin": x, "end": y} for x, y in b[1]] for b in both]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(spans, span), pa.array([codec.decode(i) for i in ids], pa.string())], names=["doc_id", "ids", "spans", "decoded"])
@@ -318,35 +365,28 @@ def digest_documents(docs: DataFrame, model: bytes | None = None, id_column: str
     shared = docs.sparkSession.sparkContext.broadcast(model or vocabulary("piece_bpe_32k.model"))
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"]
 
-    def one(codec: Codec, t: str) -> tuple:
-        if not codec.normalizer.plain:
+    def one(codec: Codec, t: str, found: list[str]) -> tuple:
+        ends = None
+        if codec.normalizer.plain:
+            units = list(map(codec.cache.__getitem__, found))
+            raw, said = b"".join([u[0] for u in units]), ",".join([u[2] for u in units])
+            ids = array("I", raw).tolist()
+            ends = codec.plain_ends(t, np.frombuffer(raw, np.uint32))
+        if ends is None:
             ids, spans = codec.encode_spans(t)
-            ends, said = array("I", [e for _, e in spans]), ",".join(map(str, ids))
-        else:  # every space is one source byte of three normalised ones, the dummy prefix none
-            units = codec.units(codec.normalized(t))
-            ids = array("I", b"".join([u[0] for u in units]))
-            said = ",".join([u[2] for u in units])
-            ends = codec_ends(codec, t, ids, units)
+            ends, said = np.array([e for _, e in spans], np.int64), ",".join(map(str, ids))
         return len(ids), sha256(said.encode()).hexdigest(), sha256(codec.decode(ids).encode()).hexdigest(), sha256(ends.tobytes()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(shared.value)
         for batch in batches:
-            made = list(zip(*[one(codec, t or "") for t in batch.column(1).to_pylist()])) or [()] * 4
+            rows: list[tuple] = []
+            for at in range(0, batch.num_rows, 256):
+                texts = [t or "" for t in batch.column(1).slice(at, 256).to_pylist()]
+                found = [codec.unit.findall(codec.normalized(t)) for t in texts]
+                codec.warm(found)
+                rows += [one(codec, t, f) for t, f in zip(texts, found)]
+            made = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made[0], pa.int64()), *[pa.array(c, pa.string()) for c in made[1:]]], names=names)
 
     return docs.select(F.col(id_column).cast("long"), F.col(text)).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")
-
-
-def codec_ends(codec: Codec, text: str, ids: array, units: list[tuple]) -> array:
-    """Source byte where each piece ends, for models whose normaliser changes only spaces: the vectorised projection."""
-    import numpy as np
-
-    sizes = np.frombuffer(b"".join([u[1] for u in units]), np.uint32)
-    if not len(sizes):
-        return array("I")
-    ends = np.cumsum(sizes, dtype=np.int64)
-    raw = np.frombuffer(text.encode(), np.uint8)
-    grown = np.where(raw == 32, 3, 1)
-    at = np.cumsum(grown) + (3 if codec.prefix else 0)  # normalised end of each source byte
-    return array("I", (np.searchsorted(at, ends, "right")).astype(np.uint32).tobytes())
