@@ -39,7 +39,7 @@ SEED = 42
 GROUPS, AGREEING = 6, 3
 #: References besides the groups, used to discard pairs.
 FURTHER = 8
-#: Members of a bucket that all others are compared with, least first (near_duplicates).
+#: Members of a bucket that others meet in the first of two rounds, least first (near_duplicates).
 CENTERS = 16
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _BLOCK = 1 << 15
@@ -226,12 +226,35 @@ def angle(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
+def unjoined_pairs(key: np.ndarray, label: np.ndarray, fps: np.ndarray, radius: int, loose: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All positions (a, b) of equal key, other label and at most ``radius`` bits between them (``loose`` in the first 64).
+
+    Rows are sorted by key; fps has a row of words each.
+    """
+    if not len(key):
+        return
+    head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    mixed = np.minimum.reduceat(label, head) != np.maximum.reduceat(label, head)
+    left, step = np.flatnonzero(np.repeat(mixed, np.diff(np.r_[head, len(key)]))), 0
+    while len(left):
+        step += 1
+        left = left[left + step < len(key)]
+        left = left[key[left] == key[left + step]]
+        for part in np.array_split(left, max(1, len(left) // 500_000)):
+            a = part[label[part] != label[part + step]]
+            a = a[np.bitwise_count(fps[a, 0] ^ fps[a + step, 0]) <= loose]
+            a = a[np.bitwise_count(fps[a] ^ fps[a + step]).sum(axis=1) <= radius]
+            if len(a):
+                yield a, a + step
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bits: int = 512, recall: float = 0.98, text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) under similarity of shingle sets at or above ``similarity``, measured by wide fingerprints.
 
-    A pair at exactly that similarity meets in some bucket with probability ``recall``. In a bucket each member is compared,
-    by its first 64 bits, with the ``CENTERS`` least ones and then the one before it, and joined to the first that is near:
-    a group's links are a few a member, and copies meet their original even where they are not alike themselves.
+    A pair at exactly that similarity meets in some bucket with probability ``recall``, and all pairs that meet are compared
+    or joined already. The first round is quick: each member meets the ``CENTERS`` least ones of its bucket up to the first
+    that is near by 64 bits, then the one before it; links that pass in full give groups. The second compares all members
+    of a bucket that are not of one group yet, so its pairs are few where the first has joined a bucket of copies.
     Candidates pass up to the expected distance of all bits plus 1.3 standard errors, about 0.03 in similarity.
     """
     fps = stored(fingerprints(docs, shingle, bits, text), "simhash-wide")
@@ -276,7 +299,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
             at = at[~near(start[at] + c, at)]
         near(at - 1, at)
         found = np.unique(np.concatenate(pairs), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.int64()), pa.array(found[:, 0]), pa.array(found[:, 1])], names=["key", "a", "b"])
+        more = np.bincount(start, minlength=len(key))[start] > 2
+        yield pa.RecordBatch.from_arrays([pa.array(key[more]), pa.array(node[more]), pa.nulls(int(more.sum()), pa.int64())], names=["key", "a", "b"])
+
+    def remaining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not (parts := [b for b in batches if b.num_rows]):
+            return
+        rows = pa.Table.from_batches(parts)
+        order = np.argsort(rows[0].to_numpy(), kind="stable")
+        key, node, label = (rows[i].to_numpy()[order] for i in range(3))
+        fps = np.frombuffer(b"".join(rows[3].to_pylist()), np.uint64).reshape(-1, words)[order]
+        for a, b in unjoined_pairs(key, label, fps, radius, loose):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[a], node[b])), pa.array(np.maximum(node[a], node[b]))], names=["a", "b"])
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         refs = references(FURTHER, words)
@@ -287,11 +322,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
             kept = batch.filter(pa.array(near))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
-    met = folded.select("node", "fp").mapInArrow(keyed, "key long, node long, head long").repartition("key").mapInArrow(candidates, "a long, b long")
-    pairs = stored(met.distinct(), "simhash-candidates")
+    keys = folded.select("node", "fp").mapInArrow(keyed, "key long, node long, head long")
+    met = stored(keys.repartition("key").mapInArrow(candidates, "key long, a long, b long"), "simhash-met")
+    pairs = stored(met.where("key is null").select("a", "b").distinct(), "simhash-candidates")
     side = folded.select(F.col("node").alias("_n"), F.col("fp").alias("_fp"))
     both = pairs.join(side.withColumnRenamed("_fp", "fp_a"), F.col("a") == F.col("_n")).drop("_n").join(side.withColumnRenamed("_fp", "fp_b"), F.col("b") == F.col("_n")).select("a", "b", "fp_a", "fp_b")
-    return _assign(fps, folded, both.mapInArrow(verified, "a long, b long"))
+    links = stored(both.mapInArrow(verified, "a long, b long"), "simhash-first")
+    label = components(links).select(F.col("node").alias("_l"), "component")
+    named = side.join(label, F.col("_n") == F.col("_l"), "left").select("_n", F.coalesce("component", "_n").alias("label"), "_fp")
+    rest = met.where("key is not null").join(named, F.col("a") == F.col("_n")).select("key", F.col("a").alias("node"), "label", "_fp")
+    later = rest.repartition("key").mapInArrow(remaining, "a long, b long").distinct()
+    return _assign(fps, folded, links.unionByName(later))
 
 
 def deduplicate(docs: DataFrame, **settings) -> DataFrame:

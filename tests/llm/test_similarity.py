@@ -124,6 +124,39 @@ def test_near_duplicates_reach_similar_texts(spark):
     assert {r.doc_id for r in kept.collect()} - {None} == {d for d, c in got.items() if d is not None and d == c}
 
 
+def template(n, copies):
+    """n texts of one template, alike up to 0.7, then copies of some of them with one word changed."""
+    rng, rows = random.Random(7), []
+    for d in range(n):
+        w = [f"w{i}" for i in range(120)]
+        for i in rng.sample(range(20), 4):
+            w[i * 6] = f"d{d}x{i}"
+        rows.append(w)
+    for k in range(copies):
+        w = list(rows[k * 7919 % n])
+        w[rng.randrange(120)] = f"c{k}"
+        rows.append(w)
+    return [" ".join(w) for w in rows]
+
+
+def test_copies_within_a_template_meet_their_originals(spark):
+    rows = [(i, t) for i, t in enumerate(template(1500, 150))]
+    got = {r.doc_id: r.component_id for r in sh.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[1500 + k] == got[k * 7919 % 1500] for k in range(150)) >= 148
+
+
+def test_a_bucket_is_compared_in_full():
+    rng = np.random.default_rng(6)
+    fps = rng.integers(0, 1 << 64, (300, 8), dtype=np.uint64)
+    fps[200:] = fps[100:200] ^ np.uint64(1)
+    key, label = np.repeat([1, 2], [150, 150]), np.arange(300)
+    key[100:] = 2
+    label[250:] = label[150:200]
+    found = [(int(x), int(y)) for a, b in sh.unjoined_pairs(key, label, fps, 8, 1) for x, y in zip(a, b)]
+    assert sorted(found) == [(i, i + 100) for i in range(100, 150)]
+    assert not list(sh.unjoined_pairs(key[:0], label[:0], fps[:0], 8, 1))
+
+
 def test_gear_hash_is_the_recurrence():
     raw = np.random.default_rng(1).integers(0, 256, 300).astype(np.uint8)
     h = 0
