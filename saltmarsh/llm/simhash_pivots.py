@@ -9,8 +9,8 @@ any further reference differ by more than r is discarded; the rest are compared
 ``link_fingerprints`` (64 bits, r = 3) is exact: six groups of references, of which at least three must agree, so twenty
 choices. A bucket yields links of a spanning forest only, never all its pairs: pairs already joined are not compared.
 
-``near_duplicates`` serves similarity of word shingles: wide fingerprints, whose distance measures the angle between
-shingle sets, with keys from random groups of references: as many as find a pair of the stated similarity with the stated
+``near_duplicates`` serves similarity of word shingles: wide fingerprints of distinct shingles, whose distance measures
+the angle between the sets, find the candidates, and the sets themselves decide. Fingerprints meet by keys from random groups of references: as many as find a pair of the stated similarity with the stated
 probability. Key length follows the logarithm of the number of fingerprints, so buckets stay small at any size.
 
 Equal fingerprints are folded before anything is compared. Links and labels stay in tables.
@@ -43,6 +43,8 @@ FURTHER = 8
 CENTERS = 16
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _BLOCK = 1 << 15
+#: Documents in each of the two sides of a block whose shingle sets are compared in one place.
+SIDE, LEAST_SIDES = 4000, 8
 
 
 def shingle_hashes(text: str, size: int) -> np.ndarray:
@@ -58,6 +60,11 @@ def shingle_hashes(text: str, size: int) -> np.ndarray:
     return np.array([one(s, SEED) for s in shingles], np.uint64)
 
 
+def distinct_hashes(text: str, size: int) -> np.ndarray:
+    """The set of the text's shingle hashes, in order."""
+    return np.unique(shingle_hashes(text, size))
+
+
 def simhash(hashes: np.ndarray, bits: int = 64) -> np.ndarray:
     """The fingerprint as uint64 words, lowest bits first: a bit is 1 if over half of the hashes have it.
 
@@ -77,14 +84,15 @@ def simhash(hashes: np.ndarray, bits: int = 64) -> np.ndarray:
     return np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)
 
 
-def fingerprints(docs: DataFrame, shingle: int, bits: int = 64, text: str = "text") -> DataFrame:
-    """(doc_id, fp): fp is a long of 64 bits, or binary where there are more."""
+def fingerprints(docs: DataFrame, shingle: int, bits: int = 64, text: str = "text", distinct: bool = False) -> DataFrame:
+    """(doc_id, fp): fp is a long of 64 bits, or binary where there are more; of each text's distinct shingles if asked for."""
     ship_package(docs.sparkSession)
+    hashes = distinct_hashes if distinct else shingle_hashes
     kind = pa.int64() if bits == 64 else pa.binary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [simhash(shingle_hashes(t or "", shingle), bits) for t in batch.column(1).to_pylist()]
+            made = [simhash(hashes(t or "", shingle), bits) for t in batch.column(1).to_pylist()]
             fps = [int(f.view(np.int64)[0]) for f in made] if bits == 64 else [f.tobytes() for f in made]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, kind)], names=["doc_id", "fp"])
 
@@ -248,21 +256,67 @@ def unjoined_pairs(key: np.ndarray, label: np.ndarray, fps: np.ndarray, radius:
                 yield a, a + step
 
 
+def jaccard_links(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float, text: str = "text") -> DataFrame:
+    """Links (a, b) among pairs (a, b) of ids whose sets of distinct shingles are alike: Jaccard at or above ``similarity``.
+
+    A pair that links found before in the same place join already is not compared. Ids are dealt to sides and a pair to the
+    block of its two sides, so a text travels once a block that needs it, however many pairs it is in.
+    """
+    ship_package(docs.sparkSession)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sides = max(LEAST_SIDES, math.ceil(ends.count() / SIDE))
+    side_a, side_b = (F.pmod(F.xxhash64(c), F.lit(sides)) for c in ("a", "b"))
+    placed = pairs.select((F.least(side_a, side_b) * sides + F.greatest(side_a, side_b)).alias("block"), "a", "b")
+    needed = placed.select(F.explode(F.array("a", "b")).alias("node"), "block").groupBy("node").agg(F.collect_set("block").alias("blocks"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("a"), F.coalesce(text, F.lit("")).alias("body")).join(bounded_broadcast(stored(needed, "simhash-needed")), F.col("a") == F.col("node"))
+    texts = texts.select(F.explode("blocks").alias("block"), "a", F.lit(None).cast("long").alias("b"), "body")
+    rows = texts.unionByName(placed.withColumn("body", F.lit(None).cast("string"))).repartition("block").sortWithinPartitions("block", F.col("b").isNotNull())
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sets, root = None, {}, {}
+
+        def find(x: int) -> int:
+            while (up := root.setdefault(x, x)) != x:
+                root[x] = x = root.setdefault(up, up)
+            return x
+
+        def alike(x: np.ndarray, y: np.ndarray) -> bool:
+            if min(len(x), len(y)) < similarity * max(len(x), len(y)) - 1e-9:
+                return False
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            return both > 0 and both >= similarity * (len(x) + len(y) - both) - 1e-9
+
+        for batch in batches:
+            made: list[tuple[int, int]] = []
+            for block, a, b, body in zip(*(c.to_pylist() for c in batch.columns)):
+                if block != now:
+                    now, sets, root = block, {}, {}
+                if b is None:
+                    sets.setdefault(a, {})[xxhash.xxh3_128_digest(body)] = distinct_hashes(body, shingle)
+                elif (i := find(a)) != (j := find(b)) and any(alike(x, y) for x in sets[a].values() for y in sets[b].values()):
+                    root[max(i, j)] = min(i, j)
+                    made.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], pa.int64()) for i in range(2)], names=["a", "b"])
+
+    return rows.mapInArrow(linked, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bits: int = 512, recall: float = 0.98, text: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) under similarity of shingle sets at or above ``similarity``, measured by wide fingerprints.
+    """(doc_id, fp, component_id): links between documents whose sets of distinct shingles are alike, Jaccard ``similarity`` or more.
 
     A pair at exactly that similarity meets in some bucket with probability ``recall``, and all pairs that meet are compared
     or joined already. The first round is quick: each member meets the ``CENTERS`` least ones of its bucket up to the first
-    that is near by 64 bits, then the one before it; links that pass in full give groups. The second compares all members
+    that is near by 64 bits, then the one before it; links that pass give groups. The second compares all members
     of a bucket that are not of one group yet, so its pairs are few where the first has joined a bucket of copies.
-    Candidates pass up to the expected distance of all bits plus 1.3 standard errors, about 0.03 in similarity.
+    Candidates pass up to the expected distance of all bits plus 3 standard errors; then their shingle sets are compared,
+    so no link is below ``similarity``.
     """
-    fps = stored(fingerprints(docs, shingle, bits, text), "simhash-wide")
+    fps = stored(fingerprints(docs, shingle, bits, text, distinct=True), "simhash-wide")
     folded = _folded(fps)
     n, words = max(1, folded.count()), bits // 64
     p = angle(similarity)
-    radius = math.floor(bits * p + 1.3 * math.sqrt(bits * p * (1 - p)))
-    loose = math.floor(64 * radius / bits + 4 * math.sqrt(64 * p * (1 - p)))
+    radius = math.floor(bits * p + 3 * math.sqrt(bits * p * (1 - p)))
+    loose = math.ceil(64 * p + 4 * math.sqrt(64 * p * (1 - p)))
     key_bits = min(40, max(16, math.ceil(math.log2(n)) + 2))
     tables = math.ceil(math.log(1 - recall) / math.log(1 - (1 - p) ** key_bits))
     rng = np.random.default_rng(SEED)
@@ -327,12 +381,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     pairs = stored(met.where("key is null").select("a", "b").distinct(), "simhash-candidates")
     side = folded.select(F.col("node").alias("_n"), F.col("fp").alias("_fp"))
     both = pairs.join(side.withColumnRenamed("_fp", "fp_a"), F.col("a") == F.col("_n")).drop("_n").join(side.withColumnRenamed("_fp", "fp_b"), F.col("b") == F.col("_n")).select("a", "b", "fp_a", "fp_b")
-    links = stored(both.mapInArrow(verified, "a long, b long"), "simhash-first")
+    near = stored(both.mapInArrow(verified, "a long, b long"), "simhash-near")
+    links = stored(jaccard_links(near, docs, shingle, similarity, text), "simhash-first")
     label = components(links).select(F.col("node").alias("_l"), "component")
     named = side.join(label, F.col("_n") == F.col("_l"), "left").select("_n", F.coalesce("component", "_n").alias("label"), "_fp")
     rest = met.where("key is not null").join(named, F.col("a") == F.col("_n")).select("key", F.col("a").alias("node"), "label", "_fp")
-    later = rest.repartition("key").mapInArrow(remaining, "a long, b long").distinct()
-    return _assign(fps, folded, links.unionByName(later))
+    later = rest.repartition("key").mapInArrow(remaining, "a long, b long").distinct().join(near, ["a", "b"], "left_anti")
+    return _assign(fps, folded, links.unionByName(jaccard_links(stored(later, "simhash-later"), docs, shingle, similarity, text)))
 
 
 def deduplicate(docs: DataFrame, **settings) -> DataFrame:

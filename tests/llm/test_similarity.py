@@ -145,6 +145,38 @@ def test_copies_within_a_template_meet_their_originals(spark):
     assert sum(got[1500 + k] == got[k * 7919 % 1500] for k in range(150)) >= 148
 
 
+def jaccard(x, y, size=5):
+    x, y = (set(sh.shingle_hashes(t or "", size).tolist()) for t in (x, y))
+    return len(x & y) / len(x | y) if x | y else 0.0
+
+
+def test_unlike_texts_of_a_template_stay(spark):
+    texts = template(600, 60)
+    kept = {r.doc_id for r in sh.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert kept >= set(range(600)) and len(kept) <= 602
+    assert max(jaccard(texts[i], texts[j]) for i in range(100) for j in range(i)) < 0.8
+
+
+def test_links_are_of_alike_sets(spark):
+    texts = corpus() + template(20, 20)
+    ids = [i for i, t in enumerate(texts) if t and t.strip()]
+    pairs = [(i, j) for i in ids for j in ids if i < j]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.a, r.b) for r in sh.jaccard_links(spark.createDataFrame(pairs, "a long, b long"), docs, 5, 0.8).collect()}
+    alike = {(i, j) for i, j in pairs if jaccard(texts[i], texts[j]) >= 0.8}
+    assert got <= alike and len(alike) > 30
+    root = {i: i for i in ids}
+    for i, j in sorted(got):
+        root = {k: root[i] if r == root[j] else r for k, r in root.items()}
+    assert all(root[i] == root[j] for i, j in alike)
+
+
+def test_one_shingle_over_and_over_hides_no_difference(spark):
+    rng, words = random.Random(9), vocabulary()
+    texts = [" ".join(["so"] * 300 + [rng.choice(words) for _ in range(80)]) for _ in range(6)]
+    assert sh.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count() == 6
+
+
 def test_a_bucket_is_compared_in_full():
     rng = np.random.default_rng(6)
     fps = rng.integers(0, 1 << 64, (300, 8), dtype=np.uint64)
