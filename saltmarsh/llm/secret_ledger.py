@@ -49,6 +49,11 @@ BASE = (Rule("assign", ASSIGN, 2, 8), Rule("access", "AKIA[A-Z0-9]{12,}"), Rule(
 #: Found besides: headers of private keys.
 MORE = (Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),)
 RULES = BASE + MORE
+#: After that header: fields such as Proc-Type, then all up to the END line, or without one the lines of base64.
+_FIELDS = r"(?:\s*+[A-Za-z][A-Za-z0-9-]*+:\x20[^\n]*+){0,8}+"
+_LINES = r"(?:(?:\s|\\[rn])*+[A-Za-z0-9+/]{16,}+={0,2}+){1,1000}+(?:\s*?\n[A-Za-z0-9+/]++={0,2}+(?=[\r\x20]*+(?:\n|\z)))?"
+#: What is masked: as RULES, but a private key whole.
+MASKED = BASE + (Rule("pem", rf"{MORE[0].pattern}(?:{_FIELDS}(?:[^-]*+-----END [A-Z ]*PRIVATE KEY-----|{_LINES}))?", version=2),)
 
 FINDINGS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
@@ -121,7 +126,7 @@ def span_digests(paths: DataFrame, base: tuple[Rule, ...] = BASE) -> DataFrame:
     return paths.select("doc_id", *counts, F.sha2(said(based), 256).alias("base_sha256"), said(F.col("findings")).alias("spans"))
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", mask: str = "[secret]") -> DataFrame:
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = MASKED, text: str = "text", mask: str = "[secret]") -> DataFrame:
     """docs with every found span replaced by the mask (overlapping spans by one); n_chars follows where there is such a column."""
     columns = docs.columns
     found = scan_unseen(docs, None, rules, text)

@@ -67,6 +67,24 @@ def test_redaction(spark):
     assert got == {1: ("a [secret] z", 12), 2: (None, None), 3: ("clean", 5), 4: ("[secret]!", 9)}
 
 
+def test_private_keys_are_masked_whole(spark):
+    lines = "\n".join(["MIIEpAIBAAKCAQEA" + "x0/+" * 12] * 30)
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    cases = [
+        (f"a {begin}\n{lines}\nab==\n{end}\nz", "a [secret]\nz"),
+        (f"{begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n{lines}\n{end} z", "[secret] z"),
+        (f"{begin}\n{lines}\nQUJD\nand so on, at length", "[secret]\nand so on, at length"),
+        (f"{begin}\n{lines}", "[secret]"),
+        (f"k = '{begin}\\n{'A1b2' * 16}\\nab=\\n{end}\\n'", "k = '[secret]\\n'"),
+        (f"{begin}\n{lines}\n{end}\nmid-way\n{begin}\r\n{lines}\r\n{end}", "[secret]\nmid-way\n[secret]"),
+        (f"the line {begin} opens a key", "the line [secret] opens a key"),
+        (f"{begin}\n{'A1b2' * 16}\ntoken=abcdefgh12\n{end} z", "[secret] z"),
+    ]
+    df = spark.createDataFrame([(i, t, len(t)) for i, (t, _) in enumerate(cases)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in sl.redact(df).collect()}
+    assert got == {i: (want, len(want)) for i, (_, want) in enumerate(cases)}
+
+
 def test_code_lengths_are_exact():
     rng, texts, order = random.Random(1), {"a": ["abcab", "aabbc ab", "x"], "b": ["ccba bca", "é bc", "abcabz"]}, 3
     model = ppm.PpmModel(texts, order)
