@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from saltmarsh.llm.chunk_dedup import remove_repeats
 from saltmarsh.llm.common import stored
-from saltmarsh.llm.ppm_language import UNKNOWN, predict_languages, train
+from saltmarsh.llm.ppm_language import UNKNOWN, predict_languages, train_with_limit
 from saltmarsh.llm.secret_ledger import redact
 from saltmarsh.llm.simhash_pivots import deduplicate
 from saltmarsh.llm.vector_packing import pack_documents
@@ -21,8 +21,8 @@ MIN_LANGUAGE_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without a letter, or in none of the languages clearly, go (without any label, only the former)."""
-    model = train(docs)
+    """Language ID: documents without a letter, in none of the languages, or in none clearly, go (without any label, only the former)."""
+    model = train_with_limit(docs)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     found = predict_languages(docs, model, keep=tuple(docs.columns), names=("_lang", "_score"))

@@ -31,6 +31,8 @@ ORDER = 4
 #: Bounds of the training sample, a language: texts, their bytes in all, and the bytes of one text.
 MAX_TEXTS, MAX_BYTES, MAX_TEXT_BYTES = 500, 1_200_000, 100_000
 UNKNOWN = "und"
+#: A limit is learned from so many held-out texts at least; least bits a byte it allows; bits a short text may cost more.
+LIMIT_TEXTS, LEAST_RATE, SLACK_BITS, RATE_BYTES = 50, 10.0, 64.0, 64
 _LETTER = regex.compile(r"\p{L}")
 _WINDOW = 1 << 18
 
@@ -79,6 +81,7 @@ class PpmModel:
 
     def __init__(self, texts: dict[str, list[str]], order: int = ORDER):
         self.order, self.languages = order, sorted(texts)
+        self.limit: tuple[float, float] | None = None  # bits a byte, and bits besides, that a text of these languages may cost
         n_lang = len(self.languages)
         if not n_lang:  # predict() then never looks further
             self.keys, self.cost, self.contexts, self.escape = [], [], [], []
@@ -183,8 +186,9 @@ class PpmModel:
             bits = self.code_lengths([texts[i].encode() for i in todo])
             best = bits.argmin(axis=1)
             p = 1 / np.exp2(np.clip(bits.min(axis=1)[:, None] - bits, -1000, 0)).sum(axis=1)
-            for i, b, x in zip(todo, best, p):
-                langs[i], scores[i] = self.languages[b], float(x)
+            for i, b, x, cost in zip(todo, best, p, bits.min(axis=1)):
+                if self.limit is None or cost <= self.limit[0] * len(texts[i].encode()) + self.limit[1]:
+                    langs[i], scores[i] = self.languages[b], float(x)
         return langs, scores
 
 
@@ -192,14 +196,14 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 3 == 1
 
 
-def training_sample(docs: DataFrame, max_texts: int = MAX_TEXTS, max_bytes: int = MAX_BYTES, max_text_bytes: int = MAX_TEXT_BYTES) -> dict[str, list[str]]:
-    """Distinct whole labelled texts outside the held-out third, a bounded number of each language, chosen by their hash.
+def training_sample(docs: DataFrame, max_texts: int = MAX_TEXTS, max_bytes: int = MAX_BYTES, max_text_bytes: int = MAX_TEXT_BYTES, held: bool = False) -> dict[str, list[str]]:
+    """Distinct whole labelled texts outside the held-out third (or, if ``held``, inside it), a bounded number of each language, chosen by their hash.
 
     Copies are folded before anything is collected, so that a hot text counts once; texts of over ``max_text_bytes`` are
     not learnt from.
     """
     hashed = F.xxhash64("text")
-    rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).where(F.octet_length("text").between(1, max_text_bytes)).select("lang", "text", hashed.alias("h"))
+    rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (held_out(F.col("doc_id")) == F.lit(held))).where(F.octet_length("text").between(1, max_text_bytes)).select("lang", "text", hashed.alias("h"))
     sizes = {r.lang: max(1, r.n) for r in rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()}
     if not sizes:
         return {}
@@ -219,6 +223,22 @@ def train(docs: DataFrame, order: int = ORDER, **bounds: int) -> PpmModel:
     return PpmModel(training_sample(docs, **bounds), order)
 
 
+def train_with_limit(docs: DataFrame, order: int = ORDER, **bounds: int) -> PpmModel:
+    """A model that takes a text for unknown if its best language explains it worse than any held-out labelled text.
+
+    No limit is below ``LEAST_RATE`` bits a byte (8 need no model) plus ``SLACK_BITS``; with few held-out texts
+    there is none.
+    """
+    model = train(docs, order, **bounds)
+    seen = [t.encode() for texts in training_sample(docs, held=True, **bounds).values() for t in texts if _LETTER.search(t)]
+    if model.languages and len(seen) >= LIMIT_TEXTS:
+        bits, size = model.code_lengths(seen).min(axis=1), np.array([len(t) for t in seen])
+        rate = max(LEAST_RATE, float((bits / size)[size >= RATE_BYTES].max(initial=0)))
+        model.limit = (rate, max(SLACK_BITS, float((bits - rate * size).max())))
+        del model.tables, model.context_tables
+    return model
+
+
 def predict_languages(docs: DataFrame, model: PpmModel, keep: tuple[str, ...] = ("doc_id",), text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """``keep`` columns with the language and its score, as columns of these names, of every whole text."""
     spark = docs.sparkSession

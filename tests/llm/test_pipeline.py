@@ -35,6 +35,15 @@ def test_pipeline_on_odd_rows(spark):
     assert docs.where("text is null").count() == 0
 
 
+def test_language_stage_rejects_what_no_language_explains(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    strange = ["Съешь ещё этих мягких французских булок, да выпей же чаю. " * 5, "qzxv kjwq pfgh xxqj zvbn mnkl wqrt ypsd fghj " * 5, "素早い茶色の狐がのろまな犬を飛び越える。" * 5]
+    more = spark.createDataFrame([(10**9 + i, t, None, "x", len(t)) for i, t in enumerate(strange)], "doc_id long, text string, lang string, source string, n_chars long").select(*docs.columns)
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs.unionByName(more), "").select("doc_id").collect()}
+    clean = {r.doc_id for r in docs.where(docs.text.rlike(r"\p{L}")).select("doc_id").collect()}
+    assert kept == clean
+
+
 @pytest.mark.parametrize("n", range(1, 11))
 def test_registered(n):
     assert len([q for q in __spark_entry__.queries() if q.startswith(f"op{n}_")]) == 1
