@@ -1,11 +1,12 @@
-"""Shared plumbing of the training-data operators: table access, shared storage, Arrow maps."""
+"""Shared plumbing of the training-data operators: table access, shared storage, worker state, Arrow maps."""
 
 from __future__ import annotations
 
-import os
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -14,10 +15,14 @@ from pyspark.sql import functions as F
 
 from ..shipping import ship_package
 
-__all__ = ["BROADCAST_ROWS", "arrow_types", "bounded_broadcast", "map_rows", "shared_dir", "ship_package", "stored", "table", "vocabulary"]
+__all__ = ["BROADCAST_ROWS", "arrow_types", "bounded_broadcast", "lean", "map_rows", "private", "release", "shared_dir", "ship_package", "stored", "table", "tables_made", "vocabulary", "worker_state"]
 
 #: Rows that a broadcast side may have at most; beyond it the callers shuffle instead.
 BROADCAST_ROWS = 200_000
+#: Tables that this driver has written and not deleted, oldest first.
+_MADE: list[str] = []
+#: What a Python worker keeps between tasks: one entry at most.
+_STATE: dict[object, object] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,12 +38,16 @@ def vocabulary(name: str) -> bytes:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a local one only where that is unset (tests)."""
+    """The folder all executors share, from spark.checkpoint.dir. Only where one machine is the whole cluster may it be unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"file://{tempfile.gettempdir()}/saltmarsh-shared-{os.getpid()}"
-        spark.sparkContext._saltmarsh_shared = base
-    return base
+    if base:
+        return base
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    context = spark.sparkContext
+    if not hasattr(context, "_saltmarsh_shared"):
+        context._saltmarsh_shared = f"file://{tempfile.mkdtemp(prefix='saltmarsh-')}"
+    return context._saltmarsh_shared
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -46,7 +55,70 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/saltmarsh/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _MADE.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def tables_made() -> set[str]:
+    """The tables of stored() that are still there."""
+    return set(_MADE)
+
+
+def release(spark: SparkSession, tables: Iterable[DataFrame | str]) -> None:
+    """Delete tables of stored() that nothing reads any more."""
+    for t in tables:
+        path = t if isinstance(t, str) else t.stored_at
+        if path in _MADE:
+            _MADE.remove(path)
+            there = spark._jvm.org.apache.hadoop.fs.Path(path)
+            there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+def private(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that df does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def _trim() -> None:
+    """Give freed memory back: workers outlive stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def worker_state(key: object, make: Callable[[], object]) -> object:
+    """What this Python worker keeps under key between tasks. It keeps one thing: another stage's state goes first."""
+    if key not in _STATE:
+        if _STATE:
+            _STATE.clear()
+            _trim()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A map over batches that needs no state of other stages and leaves no freed memory behind in its worker."""
+
+    def lightly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if _STATE:
+            _STATE.clear()
+            _trim()
+        yield from run(batches)
+        _trim()
+
+    return lightly
 
 
 def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -16,16 +16,18 @@ smaller name; repeated rows are scored each; an empty table gives no rows; witho
 
 from __future__ import annotations
 
+import copy
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import ship_package, worker_state
 
 ORDER = 4
 #: Bounds of the training sample, a language: texts, their bytes in all, and the bytes of one text.
@@ -209,13 +211,12 @@ def training_sample(docs: DataFrame, max_texts: int = MAX_TEXTS, max_bytes: int
         return {}
     share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(1.0, 1.5 * max_texts / n))])
     picked = rows.where(F.pmod("h", F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003).groupBy("lang", "h").agg(F.first("text").alias("text"))
+    # places in the order of hashes and bytes before them are counted where the rows are, so no more than the bounds is collected
+    by_hash = Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
+    placed = picked.withColumn("n", F.count("*").over(by_hash)).withColumn("size", F.sum(F.octet_length("text")).over(by_hash))
     out: dict[str, list[str]] = {}
-    room: dict[str, int] = {}
-    for r in sorted(picked.collect(), key=lambda r: (r.lang, r.h)):
-        size = len(r.text.encode())
-        if len(out.setdefault(r.lang, [])) < max_texts and size <= room.setdefault(r.lang, max_bytes):
-            out[r.lang].append(r.text)
-            room[r.lang] -= size
+    for r in sorted(placed.where((F.col("n") <= max_texts) & (F.col("size") <= max_bytes)).collect(), key=lambda r: (r.lang, r.h)):
+        out.setdefault(r.lang, []).append(r.text)
     return out
 
 
@@ -243,13 +244,13 @@ def predict_languages(docs: DataFrame, model: PpmModel, keep: tuple[str, ...] =
     """``keep`` columns with the language and its score, as columns of these names, of every whole text."""
     spark = docs.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(model)
+    shared, key = spark.sparkContext.broadcast(model), uuid.uuid4().hex
     kept = [f"_k{i}" for i in range(len(keep))]
     rows = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, kept)], F.col(text).alias("_text"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready = shared.value.prepare()
+        ready = worker_state(("ppm", key), lambda: copy.copy(shared.value).prepare())
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)

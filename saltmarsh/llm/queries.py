@@ -21,8 +21,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat_format import digests, format_chats
 
+    from pyspark.sql import functions as F
+
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    probe = spark.createDataFrame([(-7, 0, "user", HOSTILE), (-7, 1, "assistant", HOSTILE)], "conv_id long, turn long, role string, text string")
+    said = F.explode(F.array(*(F.struct(F.lit(i).cast("long").alias("turn"), F.lit(who).alias("role")) for i, who in enumerate(("user", "assistant")))))
+    probe = spark.range(1).select(said.alias("said")).select(F.lit(-7).cast("long").alias("conv_id"), "said.turn", "said.role", F.lit(HOSTILE).alias("text"))
     return digests(format_chats(rows.unionByName(probe)))
 
 
@@ -39,10 +42,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .secret_ledger import scan_secrets, span_digests
+    from .secret_ledger import history, scan_secrets, span_digests
 
-    paths, _ = scan_secrets(table(spark, sf_dir, "documents"))
-    return span_digests(paths)
+    return span_digests(scan_secrets(history(table(spark, sf_dir, "documents"))))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

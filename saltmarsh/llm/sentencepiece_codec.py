@@ -16,7 +16,7 @@ import codecs
 import re
 import struct
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
 
@@ -25,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package, vocabulary
+from .common import ship_package, vocabulary, worker_state
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Units of more characters are encoded but not kept.
 MAX_CACHED_UNIT = 64
+#: What a worker's cache may take, in bytes, and what an entry takes besides its content.
+UNIT_BYTES, ENTRY_BYTES = 128 << 20, 400
 
 
 def _one_byte(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -70,90 +72,105 @@ class CharacterMap:
             return 0, b""
         return length, self.pool[value : self.pool.index(b"\0", value)]
 
+    def begins(self, byte: int) -> bool:
+        """Whether some entry begins with this byte."""
+        at = _offset(self.units[0]) ^ byte if self.units else 0
+        return bool(self.units) and at < len(self.units) and (self.units[at] & 0x800000FF) == byte
+
 
 def _offset(unit: int) -> int:
     return (unit >> 10) << ((unit & 1 << 9) >> 6)
 
 
 class Normalizer:
-    """Normalised text and, for each of its bytes and its end, the source byte where that begins."""
+    """Normalised text and, for each of its bytes and its end, the source byte where that begins: the alignment record."""
 
     def __init__(self, spec):
         self.map = CharacterMap(spec.precompiled_charsmap)
+        #: First bytes of the map's entries; the longest known prefix is looked for at these places only.
+        self.starts = np.array([self.map.begins(b) for b in range(256)])
         self.prefix, self.trim, self.escape = spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces
-        #: Without a map and trimming, only spaces change: offsets then follow from the text alone.
+        #: Without a map and trimming, only spaces change, so a unit's ids do not depend on where it stands.
         self.plain = not self.map.units and not self.trim and self.escape
 
-    def steps(self, raw: bytes) -> Iterator[tuple[int, int, bytes]]:
-        """(begin, end, replacement) of one longest prefix after another."""
-        at = 0
-        while at < len(raw):
-            size, new = self.map.longest(raw, at)
-            if not size:
-                size = _character(raw, at)
-                new = raw[at : at + size]
-            yield at, at + size, new
-            at += size
-
-    def normalize(self, text: str) -> tuple[bytes, list[int]]:
-        raw, space = text.encode(), SPACE.encode() if self.escape else b" "
-        if not raw:
-            return b"", [0]
-        out, source = bytearray(), array("L")
-        steps = list(self.steps(raw))
-        if self.trim:
-            while steps and steps[0][2].strip(b" ") == b"":
-                steps.pop(0)
-        if not steps:
-            return b"", [len(raw)]
-        if self.prefix:
-            out += space
-            source.extend([steps[0][0]] * len(space))
-        after_space = bool(self.trim)
+    def replaced(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes, source, step) after the longest known prefixes, one after another, are replaced.
+
+        source is where the step of each byte begins in raw; every other character is a step of its own and stays.
+        """
+        one = np.frombuffer(raw, np.uint8)
+        begin = np.maximum.accumulate(np.where((one & 0xC0) != 0x80, np.arange(len(one)), 0))
+        parts, at = [], 0
+
+        def stay(a: int, b: int) -> None:
+            if b > a:
+                parts.append((one[a:b], begin[a:b]))
+
+        for i in np.flatnonzero(self.starts[one] & (begin == np.arange(len(one)))).tolist():
+            if i >= at:
+                size, new = self.map.longest(raw, i)
+                if size:
+                    stay(at, i)
+                    parts.append((np.frombuffer(new, np.uint8), np.full(len(new), i)))
+                    at = i + size
+        stay(at, len(one))
+        if not parts:
+            return np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64)
+        out, source = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        return out, source, np.cumsum(np.r_[False, source[1:] != source[:-1]])
+
+    def normalize(self, text: str) -> tuple[bytes, np.ndarray]:
+        raw = text.encode()
+        out, source, step = self.replaced(raw)
         end = len(raw)
-        for begin, _, new in steps:
-            if self.trim and after_space:
-                new = new.lstrip(b" ")
-            for b in (new[i : i + 1] for i in range(len(new))):
-                piece = space if b == b" " else b
-                out += piece
-                source.extend([begin] * len(piece))
-            if new:
-                after_space = new.endswith(b" ")
-        if self.trim:
-            while out.endswith(space):
-                end = source[-len(space)]
-                del out[-len(space) :], source[-len(space) :]
-        source.append(end)
-        return bytes(out), list(source)
-
-
-def _character(raw: bytes, at: int) -> int:
-    first = raw[at]
-    return 1 if first < 0x80 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4
+        if self.trim and len(out):  # spaces that begin a step go after a space, and at the ends
+            space = out == 0x20
+            first = np.flatnonzero(np.r_[True, step[1:] != step[:-1]])
+            after = np.r_[True, space[:-1]][first][step]  # the text before this byte's step ends in a space, or is empty
+            others = np.cumsum(~space)
+            leads = others == (others - ~space)[first][step]  # all of the step up to here are spaces
+            kept = ~(space & leads & after)
+            out, source = out[kept], source[kept]
+            last = len(out) - len(out.tobytes().rstrip(b" "))
+            if last:
+                end = int(source[len(out) - last])
+                out, source = out[: len(out) - last], source[: len(out) - last]
+        if not len(out):
+            return b"", np.array([end])
+        if self.prefix:
+            out, source = np.r_[np.uint8(0x20), out], np.r_[source[0], source]
+        if self.escape:
+            wide = np.where(out == 0x20, 3, 1)
+            source = np.repeat(source, wide)
+            out = out.tobytes().replace(b" ", SPACE.encode())
+        return bytes(out), np.r_[source, end]
 
 
 class _Units(dict):
-    """Unit -> its encoding, computed once; two generations are kept, so that common units stay."""
+    """Unit -> its encoding, computed once; two generations are kept within a number of bytes, so that common units stay."""
 
-    def __init__(self, codec: Codec, limit: int):
+    def __init__(self, codec: Codec, max_bytes: int):
         super().__init__()
-        self.codec, self.limit, self.old = codec, limit // 2, {}
+        self.codec, self.max_bytes, self.bytes, self.old = codec, max_bytes, 0, {}
+
+    def put(self, unit: str, got: tuple[bytes, bytes, str]) -> None:
+        self.bytes += ENTRY_BYTES + len(unit) + len(got[0]) + len(got[1]) + len(got[2])
+        if self.bytes > self.max_bytes // 2:
+            self.old, self.bytes = dict(self), 0
+            self.clear()
+        self[unit] = got
 
     def __missing__(self, unit: str) -> tuple[bytes, bytes, str]:
         got = self.old.get(unit) or self.codec.encode_unit(unit)
         if len(unit) <= MAX_CACHED_UNIT:
-            if len(self) >= self.limit:
-                self.old = dict(self)
-                self.clear()
-            self[unit] = got
+            self.put(unit, got)
         return got
 
 
 class Codec:
     """Encoder and decoder of one BPE model given as its serialised bytes."""
 
-    def __init__(self, model: bytes, max_units: int = 700_000, by_library: bool = True):
+    def __init__(self, model: bytes, max_bytes: int = UNIT_BYTES, by_library: bool = True):
         from sentencepiece import SentencePieceProcessor
         from sentencepiece import sentencepiece_model_pb2 as pb
 
@@ -178,13 +195,11 @@ class Codec:
         self.barriers = "".join(c for c in "\n\t\r" if not any(c in p for p in self.ids))
         no = re.escape(self.barriers)
         self.unit = re.compile(rf"{SPACE}+[^{SPACE}{no}]*|[^{SPACE}{no}]+" + (f"|[{no}]+" if no else "")) if not self.joined_space else re.compile(r"(?s).+")
-        self.cache = _Units(self, max_units)
+        self.cache = _Units(self, max_bytes)
         #: Units new to a worker are segmented by the library where it would normalise them to themselves; else by ``merge``.
         self.library = SentencePieceProcessor(model_proto=model)
         self.by_library = by_library and self.normalizer.plain and self.prefix and not self.joined_space
         self.sizes = [1 if p.type == BYTE else len(p.piece.encode()) for p in proto.pieces]
-        #: Source bytes of each piece where only spaces change (a space is one byte of the source, three normalised).
-        self.source_sizes = np.array([1 if p.type == BYTE else len(p.piece.encode()) - 2 * p.piece.count(SPACE) for p in proto.pieces], np.int64)
         high = [i for b, i in self.bytes.items() if b >= 0x80]
         self.high = (min(high), max(high)) if high else (1, 0)
 
@@ -269,43 +284,30 @@ class Codec:
             return
         cache, old = self.cache, self.cache.old
         new = [u for u in set().union(*texts).difference(cache) if u[0] == SPACE and 1 < len(u) <= MAX_CACHED_UNIT and u not in old]
-        if len(cache) + len(new) > cache.limit:
-            cache.old = dict(cache)
-            cache.clear()
         low, high, sizes = *self.high, self.sizes
         # the library's own dummy prefix stands for a unit's first space
         for u, ids in zip(new, self.library.encode([u[1:].replace(SPACE, " ") for u in new], num_threads=1)):
             if min(ids) > high or not any(low <= i <= high for i in ids):
-                cache[u] = array("I", ids).tobytes(), array("I", [sizes[i] for i in ids]).tobytes(), str(ids)[1:-1].replace(" ", "")
-
-    def normalized(self, text: str) -> str:
-        if self.normalizer.plain:
-            return (SPACE if self.prefix and text else "") + text.replace(" ", SPACE)
-        return self.normalizer.normalize(text)[0].decode()
+                cache.put(u, (array("I", ids).tobytes(), array("I", [sizes[i] for i in ids]).tobytes(), str(ids)[1:-1].replace(" ", "")))
 
     def encode(self, text: str) -> list[int]:
-        return array("I", b"".join([u[0] for u in self.units(self.normalized(text))])).tolist()
+        return self.project(*self.segmented(text))[0]
+
+    def segmented(self, text: str) -> tuple[list[str], np.ndarray]:
+        """The units of the normalised text, and its alignment record."""
+        raw, source = self.normalizer.normalize(text)
+        return self.unit.findall(raw.decode()), source
+
+    def project(self, units: list[str], source: np.ndarray) -> tuple[list[int], np.ndarray, str]:
+        """Ids, the places in the source that part them (one more than ids: a piece lies between two), and ids as text."""
+        got = list(map(self.cache.__getitem__, units))
+        sizes = np.frombuffer(b"".join([u[1] for u in got]), np.uint32)
+        return array("I", b"".join([u[0] for u in got])).tolist(), source[np.r_[0, np.cumsum(sizes, dtype=np.int64)]], ",".join([u[2] for u in got])
 
     def encode_spans(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
         """Ids and the byte span in the original text of each; spans follow one another without gaps."""
-        raw, source = self.normalizer.normalize(text)
-        units = self.units(raw.decode())
-        ids = array("I", b"".join([u[0] for u in units])).tolist()
-        spans, at = [], 0
-        for n in array("I", b"".join([u[1] for u in units])):
-            spans.append((source[at], source[at + n]))
-            at += n
-        return ids, spans
-
-    def plain_ends(self, text: str, ids: np.ndarray) -> np.ndarray | None:
-        """Where each piece ends in the source, vectorised, for normalisers that only change spaces.
-
-        None where that cannot be told from the ids: characters in several byte pieces, or the mark of a space in the source.
-        """
-        low, high = self.high
-        if SPACE in text or ((ids >= low) & (ids <= high)).any():
-            return None
-        return np.cumsum(self.source_sizes[ids]) - (1 if self.prefix else 0)
+        ids, bounds, _ = self.project(*self.segmented(text))
+        return ids, list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
 
     def decode(self, ids: list[int]) -> str:
         """Surfaces joined; bytes of no valid character become U+FFFD each; the dummy prefix goes."""
@@ -329,64 +331,50 @@ class Codec:
         return set(self.bytes.values()) | {self.unknown}
 
 
-_CODECS: dict[int, Codec] = {}
+def _encoded(docs: DataFrame, model: bytes | None, id_column: str, text: str, schema: str, made: Callable[[Codec, list[tuple]], list[pa.Array]]) -> DataFrame:
+    """Documents encoded a few hundred at a time: made takes (ids, bounds, ids as text) of each and gives the columns beside the id."""
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model or vocabulary("piece_bpe_32k.model"))
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = worker_state(("codec", hash(shared.value)), lambda: Codec(shared.value))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                found = [codec.segmented(t or "") for t in part.column(1).to_pylist()]
+                codec.warm([units for units, _ in found])
+                yield pa.RecordBatch.from_arrays([part.column(0), *made(codec, [codec.project(*f) for f in found])], names=names)
+
+    return docs.select(F.col(id_column).cast("long"), F.col(text)).mapInArrow(run, schema)
 
 
-def worker_codec(model: bytes) -> Codec:
-    if hash(model) not in _CODECS:
-        _CODECS[hash(model)] = Codec(model)
-    return _CODECS[hash(model)]
+def _lists(values: list[np.ndarray], inner: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, values)]), pa.int32()), inner)
 
 
 def encode_documents(docs: DataFrame, model: bytes | None = None, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids, spans, decoded): spans as array of struct(begin, end), in bytes of the original text."""
-    ship_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model or vocabulary("piece_bpe_32k.model"))
-    span = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker_codec(shared.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                codec.warm([codec.unit.findall(codec.normalized(t)) for t in texts])
-                both = [codec.encode_spans(t) for t in texts]
-                ids = [b[0] for b in both]
-                spans = [[{"begin": x, "end": y} for x, y in b[1]] for b in both]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(spans, span), pa.array([codec.decode(i) for i in ids], pa.string())], names=["doc_id", "ids", "spans", "decoded"])
+    def made(codec: Codec, rows: list[tuple]) -> list[pa.Array]:
+        begin, end = (np.concatenate([r[1][cut] for r in rows] or [[]]).astype(np.int32) for cut in (slice(None, -1), slice(1, None)))
+        spans = pa.StructArray.from_arrays([pa.array(begin), pa.array(end)], names=["begin", "end"])
+        ids = [r[0] for r in rows]
+        return [pa.array(ids, pa.list_(pa.int32())), _lists(ids, spans), pa.array([codec.decode(i) for i in ids], pa.string())]
 
-    return docs.select(F.col(id_column).cast("long"), F.col(text)).mapInArrow(run, "doc_id long, ids array<int>, spans array<struct<begin:int,end:int>>, decoded string")
+    return _encoded(docs, model, id_column, text, "doc_id long, ids array<int>, spans array<struct<begin:int,end:int>>, decoded string", made)
 
 
 def digest_documents(docs: DataFrame, model: bytes | None = None, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The same encoding, reduced where it is made: number and digest of the ids, of the decoded text and of the spans."""
-    ship_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model or vocabulary("piece_bpe_32k.model"))
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"]
-
-    def one(codec: Codec, t: str, found: list[str]) -> tuple:
-        ends = None
-        if codec.normalizer.plain:
-            units = list(map(codec.cache.__getitem__, found))
-            raw, said = b"".join([u[0] for u in units]), ",".join([u[2] for u in units])
-            ids = array("I", raw).tolist()
-            ends = codec.plain_ends(t, np.frombuffer(raw, np.uint32))
-        if ends is None:
-            ids, spans = codec.encode_spans(t)
-            ends, said = np.array([e for _, e in spans], np.int64), ",".join(map(str, ids))
-        return len(ids), sha256(said.encode()).hexdigest(), sha256(codec.decode(ids).encode()).hexdigest(), sha256(ends.tobytes()).hexdigest()
+    """The same encoding, its ids and decoded text reduced to digests where they are made.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker_codec(shared.value)
-        for batch in batches:
-            rows: list[tuple] = []
-            for at in range(0, batch.num_rows, 256):
-                texts = [t or "" for t in batch.column(1).slice(at, 256).to_pylist()]
-                found = [codec.unit.findall(codec.normalized(t)) for t in texts]
-                codec.warm(found)
-                rows += [one(codec, t, f) for t, f in zip(texts, found)]
-            made = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made[0], pa.int64()), *[pa.array(c, pa.string()) for c in made[1:]]], names=names)
-
-    return docs.select(F.col(id_column).cast("long"), F.col(text)).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")
+    bounds are the places in the original bytes that part the pieces: the span of piece i is bounds[i] to bounds[i + 1].
+    """
+
+    def made(codec: Codec, rows: list[tuple]) -> list[pa.Array]:
+        hexes = [[sha256(x.encode()).hexdigest() for x in column] for column in ([r[2] for r in rows], [codec.decode(r[0]) for r in rows])]
+        bounds = [r[1] for r in rows]
+        flat = pa.array(np.concatenate(bounds or [[]]).astype(np.int32))
+        return [pa.array([len(r[0]) for r in rows], pa.int64()), *[pa.array(h, pa.string()) for h in hexes], _lists(bounds, flat)]
+
+    return _encoded(docs, model, id_column, text, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, bounds array<int>", made)

@@ -2,7 +2,8 @@
 
 Tier one is a compact table of the corpus's frequent pre-tokens and their lengths in ids, broadcast
 to every worker; tier two is each worker's own cache, filled by encoding what tier one misses.
-No pre-token is shuffled: the table comes from bounded per-task summaries of all documents.
+No pre-token is shuffled: each task reads its documents into one bounded summary, a single row, and whole summaries are
+merged by a tree.
 
 A pre-token here is a white-space-delimited word, the longest unit that the vocabulary encodes
 independently of its neighbours (see ``word_bpe``).
@@ -13,26 +14,44 @@ counted each; an empty table gives an empty result; other columns of the input a
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package, vocabulary
+from .common import lean, release, ship_package, stored, vocabulary
 from .word_bpe import MAX_CACHED_WORD, LengthCache, WordEncoder, worker_cache, words
 
-#: Entries of the broadcast table, and rows that one task may add to it: both fixed, whatever the corpus.
+#: Entries of the broadcast table and of a summary, and summaries that are merged at once: all fixed, whatever the corpus.
 TABLE_WORDS = 65_536
-TASK_WORDS = 8_192
+SUMMARY_WORDS = 16_384
+FAN_IN = 32
 
 
-def frequent_words(docs: DataFrame, text: str = "text", table_words: int = TABLE_WORDS, task_words: int = TASK_WORDS) -> list[str]:
-    """The most frequent words over all documents, from each task's bounded heavy-hitter summary.
+def summary(counts: Counter, most: int) -> bytes:
+    """The most frequent words and their counts as one value; ties go to the smaller word."""
+    top = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:most]
+    return "\n".join(f"{n} {w}" for w, n in top).encode()
 
-    A task counts each batch apart and keeps words that occur at least twice in a batch; its summary holds at most
-    eight times ``task_words`` entries at any time and it emits ``task_words``. Ties go to the smaller word.
+
+def merged(summaries: Iterable[bytes]) -> Counter:
+    """Counts over several summaries."""
+    total: Counter = Counter()
+    for s in summaries:
+        for line in s.decode().split("\n") if s else ():
+            n, _, w = line.partition(" ")
+            total[w] += int(n)
+    return total
+
+
+def frequent_words(docs: DataFrame, text: str = "text", table_words: int = TABLE_WORDS, summary_words: int = SUMMARY_WORDS, fan_in: int = FAN_IN) -> list[str]:
+    """The most frequent words over all documents, from bounded heavy-hitter summaries merged by a tree.
+
+    A task counts each batch apart and keeps words that occur at least twice in a batch; it holds at most four times
+    ``summary_words`` entries at any time.
     """
     ship_package(docs.sparkSession)
 
@@ -46,17 +65,25 @@ def frequent_words(docs: DataFrame, text: str = "text", table_words: int = TABLE
                     if t:
                         part.update(words(t))
                 for w, n in part.items():
-                    if n > 1 and len(w) <= MAX_CACHED_WORD:
+                    if n > 1 and len(w) <= MAX_CACHED_WORD and "\n" not in w:
                         total[w] += n
-                if len(total) > 8 * task_words:
-                    total = Counter(dict(total.most_common(4 * task_words)))
-        top = total.most_common(task_words)
-        if top:
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top]), pa.array([n for _, n in top], pa.int64())], names=["word", "n"])
+                if len(total) > 4 * summary_words:
+                    total = Counter(dict(total.most_common(2 * summary_words)))
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array([summary(total, summary_words)], pa.binary())], names=["body"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = merged(b for batch in batches for b in batch.column(0).to_pylist())
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array([summary(total, summary_words)], pa.binary())], names=["body"])
 
-    local = docs.select(F.col(text)).mapInArrow(summarise, "word string, n long")
-    top = local.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(table_words)
-    return [r.word for r in top.collect()]
+    spark, level = docs.sparkSession, stored(docs.select(F.col(text)).mapInArrow(lean(summarise), "body binary"), "token-summaries")
+    while (n := level.count()) > fan_in:
+        below, level = level, stored(level.repartition(-(-n // fan_in)).mapInArrow(lean(merge), "body binary"), "token-summaries")
+        release(spark, [below])
+    total = merged(r.body for r in level.collect())  # at most fan_in summaries
+    release(spark, [level])
+    return [w for w, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:table_words]]
 
 
 def length_table(words_: list[str], vocabulary_json: bytes) -> tuple[bytes, bytes]:
@@ -72,7 +99,7 @@ def count_tokens(docs: DataFrame, vocabulary_json: bytes | None = None, limit: i
     spark = docs.sparkSession
     vocabulary_json = vocabulary_json or vocabulary("word_bpe_49k.json")
     shared = spark.sparkContext.broadcast((vocabulary_json, *length_table(frequent_words(docs, text), vocabulary_json)))
-    key = str(shared.id) if hasattr(shared, "id") else str(id(shared))
+    key = uuid.uuid4().hex
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, table, lengths = shared.value

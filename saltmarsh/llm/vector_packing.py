@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package, vocabulary
+from .common import lean, ship_package, vocabulary
 from .word_bpe import IdCache, worker_cache
 
 SHARD_DOCS = 24_000
@@ -137,4 +137,4 @@ def pack_documents(docs: DataFrame, size: int = 2048, max_docs: int | None = Non
             n = batch_rows.num_rows
             yield out(batch_rows.combine_chunks().to_batches()[0], made + bins[at : at + n], offset[at : at + n])
 
-    return pieces.repartition(shards).mapInArrow(pack, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return pieces.repartition(shards).mapInArrow(lean(pack), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -12,6 +12,8 @@ import json
 import re
 from array import array
 
+from .common import worker_state
+
 _SIMPLE = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
 #: The commonest words: letters, and at most one sign after them.
 _LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?])?")
@@ -21,6 +23,10 @@ _NOT_SPACE = re.compile("[\x1c-\x1f]")
 _SAFE_SPACE = re.compile(r"[ \t\n\r]+")
 #: Longer words are encoded but not kept.
 MAX_CACHED_WORD = 64
+#: What a worker's caches may take in all, in bytes: words, and the pre-tokens that they share.
+WORD_BYTES, PRETOKEN_BYTES = 80 << 20, 24 << 20
+#: What an entry takes besides its characters and ids: two objects' headers and a place in the table.
+ENTRY_BYTES = 220
 
 
 def byte_letters() -> dict[int, str]:
@@ -40,7 +46,7 @@ def words(text: str) -> list[str]:
 class WordEncoder:
     """ids(word) of a BPE vocabulary in the tokenizers JSON format, merges and all."""
 
-    def __init__(self, vocabulary_json: bytes, max_pretokens: int = 700_000):
+    def __init__(self, vocabulary_json: bytes, max_bytes: int = PRETOKEN_BYTES):
         from tokenizers import Tokenizer
 
         spec = json.loads(vocabulary_json)
@@ -60,7 +66,7 @@ class WordEncoder:
         self.final = [self.vocab[letters[b] + self.end] for b in range(256)]
         self.specials = [t["content"] for t in spec["added_tokens"]]
         self.letters_are_plain = not any(s.isalpha() for s in self.specials)
-        self.max_pretokens = max_pretokens
+        self.max_bytes, self.bytes = max_bytes, 0
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
 
@@ -70,8 +76,9 @@ class WordEncoder:
             if len(piece) > 256:  # the pairwise merge loop is quadratic; the library's is not
                 return tuple(self.library.encode(piece, add_special_tokens=False).ids)
             got = self.older.get(piece) or self._merge(piece)
-            if len(self.known) >= self.max_pretokens // 2:
-                self.known, self.older = {}, self.known
+            self.bytes += ENTRY_BYTES + len(piece) + 8 * len(got)
+            if self.bytes > self.max_bytes // 2:
+                self.known, self.older, self.bytes = {}, self.known, 0
             self.known[piece] = got
         return got
 
@@ -111,14 +118,14 @@ class WordEncoder:
 
 
 class _Cache(dict):
-    """Word -> value with misses computed once. The fixed tier stays; of the rest, two generations are kept.
+    """Word -> value with misses computed once. The fixed tier stays; of the rest, two generations are kept within a number of bytes.
 
     A word met again moves from the old generation to the new one; when the new one is full it becomes the old one.
     """
 
-    def __init__(self, encoder: WordEncoder, fixed: dict, max_words: int):
+    def __init__(self, encoder: WordEncoder, fixed: dict, max_bytes: int):
         super().__init__(fixed)
-        self.encoder, self.fixed, self.limit = encoder, fixed, len(fixed) + max_words // 2
+        self.encoder, self.fixed, self.max_bytes, self.bytes = encoder, fixed, max_bytes, 0
         self.old: dict = {}
 
     def __missing__(self, word: str):
@@ -126,8 +133,9 @@ class _Cache(dict):
         if value is None:
             value = self.value(self.encoder.word(word))
         if len(word) <= MAX_CACHED_WORD:
-            if len(self) >= self.limit:
-                self.old = dict(self)
+            self.bytes += ENTRY_BYTES + len(word) + (len(value) if isinstance(value, bytes) else 0)
+            if self.bytes > self.max_bytes // 2:
+                self.old, self.bytes = dict(self), 0
                 self.clear()
                 self.update(self.fixed)
             self[word] = value
@@ -154,16 +162,6 @@ class IdCache(_Cache):
         return b"".join(map(self.__getitem__, words(text)))
 
 
-_ENCODERS: dict[int, WordEncoder] = {}
-_CACHES: dict[tuple, _Cache] = {}
-
-
-def worker_cache(kind: type[_Cache], vocabulary_json: bytes, fixed: dict[str, int] | None = None, key: str = "", max_words: int = 1_000_000) -> _Cache:
+def worker_cache(kind: type[_Cache], vocabulary_json: bytes, fixed: dict[str, int] | None = None, key: str = "", max_bytes: int = WORD_BYTES) -> _Cache:
     """The cache of this Python worker; it outlives single tasks because Spark reuses its workers."""
-    at = (kind.__name__, hash(vocabulary_json), key)
-    if at not in _CACHES:
-        if len(_CACHES) >= 4:  # a new query's fixed tier replaces old ones
-            _CACHES.clear()
-        encoder = _ENCODERS.setdefault(hash(vocabulary_json), WordEncoder(vocabulary_json))
-        _CACHES[at] = kind(encoder, fixed or {}, max_words)
-    return _CACHES[at]
+    return worker_state((kind.__name__, hash(vocabulary_json), key), lambda: kind(WordEncoder(vocabulary_json), fixed or {}, max_bytes))

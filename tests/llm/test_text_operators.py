@@ -44,21 +44,57 @@ def test_secrets(spark):
     bits = ["password", "PassWd", "secret", "token", "api_key", "APIKEY", '"', "'", " ", "  ", ":", "=", "abc", "12345678", "AKIA", "AKIAABCDEFGHIJKL", "f" * 31, "0" * 33, "é", "🙂", "\n", "-", "zz"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 20))) for _ in range(400)] + [None, "", "secret=token: abcdefghijk", "x" * 20000 + " password = 'hunter2hunter2'"] + ["token=aaaaaaaaaa"] * 5
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, findings int")
-    paths, ledger = sl.scan_secrets(df)
-    got = {r.doc_id: r for r in sl.span_digests(paths).collect()}
+    ledger = sl.Ledger(spark)
+    got = {r.doc_id: r for r in sl.span_digests(sl.scan_secrets(df, ledger)).collect()}
     for i, t in enumerate(texts):
         assert got[i].base_sha256 == hashlib.sha256(spans(t).encode()).hexdigest()
         assert got[i].spans == spans(t)
-    assert ledger.count() == len({t or "" for t in texts})
+    assert ledger.rows().count() == len({t or "" for t in texts})
     # only what is new is scanned, and old findings are joined to new paths
     more = spark.createDataFrame([(900, "token=aaaaaaaaaa", 1), (901, "secret: brandnewvalue", 1)], df.schema)
-    assert [r.blob_id for r in sl.scan_unseen(more, ledger).collect()] == [hashlib.sha256(b"secret: brandnewvalue").hexdigest()]
-    again, grown = sl.scan_secrets(more, ledger)
-    assert {r.doc_id: r.spans for r in sl.span_digests(again).collect()} == {900: "assign:0:16", 901: "assign:0:21"}
-    assert grown.count() == ledger.count() + 1
+    assert [r.blob_id for r in sl.scan_unseen(more, ledger.rows()).collect()] == [hashlib.sha256(b"secret: brandnewvalue").hexdigest()]
+    before = ledger.rows().count()
+    assert {r.doc_id: r.spans for r in sl.span_digests(sl.scan_secrets(more, ledger)).collect()} == {900: "assign:0:16", 901: "assign:0:21"}
+    assert ledger.rows().count() == before + 1
     newer = tuple(sl.Rule(r.name, r.pattern, r.group, r.least, 2) if r.name == "hex" else r for r in sl.RULES)
-    assert {tuple(r.rule_versions) for r in sl.scan_unseen(df, ledger, newer).collect()} == {("hex@2",)}
-    assert sl.scan_secrets(df.limit(0))[0].count() == 0
+    assert {tuple(r.rule_versions) for r in sl.scan_unseen(df, ledger.rows(), newer).collect()} == {("hex@2",)}
+    assert sl.scan_secrets(df.limit(0)).count() == 0
+
+
+def test_a_newer_rule_takes_the_place_of_the_older(spark):
+    df = spark.createDataFrame([(1, "a" * 40), (2, "b" * 64), (3, None)], "doc_id long, text string")
+    ledger = sl.Ledger(spark)
+    one = (sl.Rule("hex", "[0-9a-f]{32,}"),)
+    two = (sl.Rule("hex", "[0-9a-f]{64,}", version=2),)
+
+    def found(rules):
+        return {r.doc_id: [x.rule for x in r.findings] for r in sl.scan_secrets(df, ledger, rules).collect()}
+
+    assert found(one) == {1: ["hex@1"], 2: ["hex@1"], 3: []}
+    assert found(two) == {1: [], 2: ["hex@2"], 3: []}
+    assert found(one + two) == {1: ["hex@1"], 2: ["hex@1", "hex@2"], 3: []}
+
+
+def test_each_pair_is_scanned_once(spark):
+    texts = [f"token=abcdefgh{i % 7}{i % 3}" for i in range(40)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ledger, first = sl.Ledger(spark), sl.history(docs)[0]
+    assert 0 < first.count() < docs.count()
+    sl.scan_secrets(sl.history(docs), ledger).count()
+    pairs = [(r.blob_id, tag) for r in ledger.rows().collect() for tag in r.rule_versions]
+    assert len(pairs) == len(set(pairs)) == len({t or "" for t in texts}) * len(sl.RULES)
+    seen = {t or "" for t in [r.text for r in first.collect()]}
+    again = sl.Ledger(spark)
+    again.scan(first)
+    unseen = sl.scan_unseen(docs, again.rows())
+    assert unseen.count() == len({t or "" for t in texts} - seen)
+
+
+def test_secrets_beside_clashing_names(spark):
+    df = spark.createDataFrame([(1, "token=abcdefgh1", "a", "b", "c", "d", 1)], "doc_id long, text string, _blob string, _key string, _found string, blob_id string, n_chars long")
+    kept = sl.scan_secrets(df, keep=("doc_id", "_blob", "_key", "_found", "blob_id")).first()
+    assert kept[:5] == (1, "a", "b", "c", "d") and len(kept.findings) == 1
+    assert tuple(sl.redact(df).first()) == (1, "[secret]", "a", "b", "c", "d", 8)
 
 
 def test_redaction(spark):
