@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saltmarsh.llm.chunk_dedup import remove_repeats
-from saltmarsh.llm.common import stored
+from saltmarsh.llm.common import private, release, stored, tables_made
 from saltmarsh.llm.ppm_language import UNKNOWN, predict_languages, train_with_limit
 from saltmarsh.llm.secret_ledger import redact
 from saltmarsh.llm.simhash_pivots import deduplicate
@@ -25,8 +25,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train_with_limit(docs)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = predict_languages(docs, model, keep=tuple(docs.columns), names=("_lang", "_score"))
-    return found.where((F.col("_lang") != UNKNOWN) & (F.col("_score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    lang, score = private(docs, "_lang", "_score")
+    found = predict_languages(docs, model, keep=tuple(docs.columns), names=(lang, score))
+    return found.where((F.col(lang) != UNKNOWN) & (F.col(score) >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +64,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to documents; each result is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), tables_made()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        release(spark, tables_made() - before - {docs.stored_at})  # nothing reads the stage's own tables and its input any more
     return docs
