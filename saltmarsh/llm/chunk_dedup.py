@@ -6,13 +6,17 @@ every other document it is a repeat (what a document repeats of itself stays). R
 run, and runs of at least ``MIN_WORDS`` words are passages to remove: single chunks shared by chance stay. A passage that
 is one short word over and over has no cuts of its own, so copies of it may be cut at different places and then stay.
 
-Scale: chunk rows are shuffled once by digest. Each batch keeps one document's occurrences of a digest for that shuffle;
+Digests have 128 bits, so that among 10 ** 13 chunks no two unlike ones are expected to share one; bytes are not compared.
+
+Scale: chunk rows are shuffled once by digest, sorted and read as a stream, so that a task holds one row of the digest at
+hand however many documents share it. Each batch keeps one document's occurrences of a digest for that shuffle;
 those in other documents are known repeats already and travel under a key of their own row, so a digest that a third of
-all documents share costs one document's rows a batch. Repeats alone are then gathered by document.
+all documents share costs one document's rows a batch. Repeats alone are then gathered by document, again as a stream of
+which a task holds one document's.
 
 Defined cases: null text is empty; a row without id takes no part and stays whole; rows that repeat an id with the same
 text are one document, and both stay; empty tables give no rows; very long texts are cut like others; other columns of
-the input are kept by ``remove_repeats``.
+the input are kept by ``remove_repeats``, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, ship_package, stored
+from .common import BROADCAST_ROWS, lean, private, ship_package, stored
 
 #: Chunk sizes in bytes: at least, at most; one place in 2 ** CUT_BITS is a cut.
 LEAST, MOST, CUT_BITS = 16, 256, 4
@@ -67,18 +71,18 @@ def cuts(raw: np.ndarray) -> list[int]:
     return out
 
 
-def chunk_text(text: str) -> tuple[list[int], list[int], np.ndarray]:
-    """(digests, ends, words): words is the number of words that begin in each chunk."""
+def chunk_text(text: str) -> tuple[np.ndarray, list[int], np.ndarray]:
+    """(digests, ends, words): a digest is two words, low and high; words is the number of words that begin in each chunk."""
     body = text.encode()
     raw = np.frombuffer(body, np.uint8)
     ends = cuts(raw)
     if not ends:
-        return [], [], np.empty(0, np.int64)
+        return np.empty((0, 2), np.int64), [], np.empty(0, np.int64)
     space = _SPACE[raw]
     begins = np.cumsum(~space & np.r_[True, space[:-1]])
     words = np.diff(np.r_[0, begins[np.array(ends) - 1]])
-    digest = xxhash.xxh3_64_intdigest
-    return [digest(body[a:b]) for a, b in zip([0, *ends], ends)], ends, words
+    digest = xxhash.xxh3_128_digest
+    return np.frombuffer(b"".join([digest(body[a:b]) for a, b in zip([0, *ends], ends)]), np.int64).reshape(-1, 2), ends, words
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") -> DataFrame:
@@ -94,36 +98,38 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 digests, ends, words = chunk_text(t)
                 if ends:
-                    parts.append((np.array(digests, np.uint64).view(np.int64), np.full(len(ends), d, np.int64), np.array([0, *ends[:-1]], np.int64), np.array(ends, np.int64), words.astype(np.int32)))
+                    parts.append((digests[:, 0], digests[:, 1], np.full(len(ends), d, np.int64), np.array([0, *ends[:-1]], np.int64), np.array(ends, np.int64), words.astype(np.int32)))
             if parts:
-                key, doc, begin, end, words = (np.concatenate(c) for c in zip(*parts))
-                order = np.lexsort((begin, doc, key))
-                key, doc, begin, end, words = (c[order] for c in (key, doc, begin, end, words))
-                repeat = _repeats(key, doc)
+                columns = [np.concatenate(c) for c in zip(*parts)]
+                order = np.lexsort((columns[3], columns[2], columns[1], columns[0]))
+                key, more, doc, begin, end, words = (c[order] for c in columns)
+                repeat = _repeats(key, more, doc)[0]
                 mixed = (doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + begin.view(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.where(repeat, mixed, key)), pa.array(doc), pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(words), pa.array(repeat)], names=["key", "doc_id", "begin", "end", "words", "repeat"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.where(repeat, mixed, key)), pa.array(more), pa.array(doc), pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(words), pa.array(repeat)], names=["key", "more", "doc_id", "begin", "end", "words", "repeat"])
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        firsts: list[pa.RecordBatch] = []
+        before = None  # digest and first document of the last row
         for batch in batches:
-            known = batch.column(5)
-            yield batch.filter(known).select([1, 2, 3, 4])
-            firsts.append(batch.filter(pa.array(~known.to_numpy(zero_copy_only=False))))
-        if firsts:
-            rows = pa.Table.from_batches(firsts)
-            key, doc, begin = (rows[i].to_numpy() for i in range(3))
-            order = np.lexsort((begin, doc, key))
-            again = order[_repeats(key[order], doc[order])]
-            if len(again):
-                yield pa.RecordBatch.from_arrays([pa.array(rows[i].to_numpy()[again]) for i in range(1, 5)], names=["doc_id", "begin", "end", "words"])
+            known = batch.column(6).to_numpy(zero_copy_only=False).copy()
+            at = np.flatnonzero(~known)
+            if len(at):
+                known[at], before = _repeats(*(batch.column(i).to_numpy()[at] for i in range(3)), before)
+            yield batch.filter(pa.array(known)).select([2, 3, 4, 5])
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [b for b in batches if b.num_rows]
-        if not parts:
-            return
-        doc, begin, end, words = (c.to_numpy() for c in pa.Table.from_batches(parts).columns)
-        order = np.lexsort((begin, doc))
-        doc, begin, end, words = doc[order], begin[order], end[order], words[order]
+        held: list[np.ndarray] = []  # rows of the last document so far
+        for batch in batches:
+            rows = [c.to_numpy() for c in batch.columns]
+            rows = [np.concatenate(c) for c in zip(held, rows)] if held else rows
+            if batch.num_rows:
+                last = np.searchsorted(rows[0], rows[0][-1])
+                held = [c[last:] for c in rows]
+                if last:
+                    yield joined(*(c[:last] for c in rows))
+        if held:
+            yield joined(*held)
+
+    def joined(doc: np.ndarray, begin: np.ndarray, end: np.ndarray, words: np.ndarray) -> pa.RecordBatch:
         head = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (begin[1:] > end[:-1])])
         total = np.add.reduceat(words, head)
         last = np.r_[head[1:], len(doc)] - 1
@@ -132,20 +138,26 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text
         at = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.empty(0, int)
         spans = pa.StructArray.from_arrays([pa.array(begin, pa.int32()), pa.array(end, pa.int32())], names=["begin", "end"])
         lists = pa.ListArray.from_arrays(pa.array(np.r_[at, len(doc)].astype(np.int32)), spans)
-        yield pa.RecordBatch.from_arrays([pa.array(doc[at]), lists, pa.array(np.add.reduceat(total, at) if len(at) else total, pa.int64())], names=["doc_id", "spans", "words"])
+        return pa.RecordBatch.from_arrays([pa.array(doc[at]), lists, pa.array(np.add.reduceat(total, at) if len(at) else total, pa.int64())], names=["doc_id", "spans", "words"])
 
     rows = docs.where(F.col("doc_id").isNotNull() & F.col(text).isNotNull()).select(F.col("doc_id").cast("long"), F.col(text))
-    chunks = rows.mapInArrow(chunked, "key long, doc_id long, begin int, end int, words int, repeat boolean")
-    repeats = chunks.repartition("key").mapInArrow(marked, "doc_id long, begin int, end int, words int")
-    return repeats.repartition("doc_id").mapInArrow(runs, "doc_id long, spans array<struct<begin:int,end:int>>, words long")
+    chunks = rows.mapInArrow(lean(chunked), "key long, more long, doc_id long, begin int, end int, words int, repeat boolean")
+    repeats = chunks.repartition("key").sortWithinPartitions("key", "more", "doc_id").mapInArrow(lean(marked), "doc_id long, begin int, end int, words int")
+    return repeats.repartition("doc_id").sortWithinPartitions("doc_id", "begin", "end").mapInArrow(lean(runs), "doc_id long, spans array<struct<begin:int,end:int>>, words long")
 
 
-def _repeats(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Of rows sorted by (key, doc, begin): which are in another document than the first of their key."""
+def _repeats(key: np.ndarray, more: np.ndarray, doc: np.ndarray, before: tuple[int, int, int] | None = None) -> tuple[np.ndarray, tuple[int, int, int] | None]:
+    """Of rows sorted by (key, more, doc): which are in another document than the first of their digest, and what to go on from.
+
+    before is the digest and its first document where the rows before these end.
+    """
     if not len(key):
-        return np.empty(0, bool)
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    return doc != doc[np.repeat(first, np.diff(np.r_[first, len(key)]))]
+        return np.empty(0, bool), before
+    first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (more[1:] != more[:-1])])
+    owner = doc[first]
+    if before is not None and before[:2] == (key[0], more[0]):
+        owner[0] = before[2]
+    return doc != np.repeat(owner, np.diff(np.r_[first, len(key)])), (int(key[-1]), int(more[-1]), int(owner[-1]))
 
 
 def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
@@ -166,11 +178,12 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") -> DataFrame:
     """docs with repeated passages cut out of all but the first document that holds them; n_chars follows where there is such a column."""
-    found = stored(repeated_runs(docs, min_words, text), "chunk-runs").select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
+    key, held, hit = private(docs, "_id", "_spans", "_cut")
+    found = stored(repeated_runs(docs, min_words, text), "chunk-runs").select(F.col("doc_id").alias(key), F.col("spans").alias(held))
     # few spans in all are broadcast, so that the texts stay where they are; more of them meet the texts in one shuffle
-    few = found.select(F.explode("_spans")).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    few = found.select(F.explode(held)).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     columns = docs.columns
-    joined = docs.join(F.broadcast(found) if few else found, F.col("doc_id") == F.col("_id"), "left")
+    joined = docs.join(F.broadcast(found) if few else found, F.col("doc_id") == F.col(key), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,10 +197,10 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "tex
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
             yield batch.select([*range(len(columns)), len(columns) + 1])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _cut boolean"
-    done = joined.select(*columns, "_spans", F.col("_spans").isNotNull().alias("_cut")).mapInArrow(cut, schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", {hit} boolean"
+    done = joined.select(*columns, held, F.col(held).isNotNull().alias(hit)).mapInArrow(lean(cut), schema)
     if "n_chars" in columns:
-        done = done.withColumn("n_chars", F.when(F.col("_cut"), F.char_length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        done = done.withColumn("n_chars", F.when(F.col(hit), F.char_length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return done.select(*columns)
 
 

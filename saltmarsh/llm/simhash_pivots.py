@@ -1,23 +1,29 @@
-"""SimHash fingerprints, and links between near ones through pivot distance tables.
+"""SimHash fingerprints, and links between near ones with pivot distance tables.
 
-A fingerprint x has a table of Hamming distances to reference fingerprints. References that have one bit each show that
-bit: d(x, 0) + 1 - d(x, e) is 2 where x has the bit of e, else 0. Fingerprints within r bits can differ in the
-coordinates of at most r such references, so among more disjoint groups of references some must agree in full. Equal
-coordinates in a choice of groups make the candidates of a bucket; by the triangle inequality a pair whose distances to
-any further reference differ by more than r is discarded; the rest are compared bit by bit.
+A fingerprint x has a table of Hamming distances to reference fingerprints. By the triangle inequality a pair whose
+distances to any reference differ by more than r is discarded; the survivors are compared bit by bit.
 
-``link_fingerprints`` (64 bits, r = 3) is exact: six groups of references, of which at least three must agree, so twenty
-choices. A bucket yields links of a spanning forest only, never all its pairs: pairs already joined are not compared.
+What meets at all is decided by banding, said plainly: distances to random references spread too little to index
+anything (a window of 3 around a distance keeps 46 % of random pairs of 64 bits). References of a single bit e show that bit,
+d(x, 0) + 1 - d(x, e) being 2 or 0, so bands are groups of such references, and their equal coordinates are join keys.
+
+``link_fingerprints`` (64 bits, r = 3) is exact: six bands, of which at least three must agree, so twenty choices. A
+bucket yields links of a spanning forest only, never all its pairs. A bucket of many members is split again by the bits
+that vary in it, in r + 1 groups of which one must agree, until the parts are small or one tree.
 
 ``near_duplicates`` serves similarity of word shingles: wide fingerprints of distinct shingles, whose distance measures
-the angle between the sets, find the candidates, and the sets themselves decide. Fingerprints meet by keys from random groups of references: as many as find a pair of the stated similarity with the stated
-probability. Key length follows the logarithm of the number of fingerprints, so buckets stay small at any size.
+the angle between the sets, find the candidates, and the sets themselves decide. Fingerprints meet by keys of randomly
+chosen bits: as many keys as find a pair of the stated similarity with the stated probability. Key length follows the
+logarithm of the number of fingerprints, and the number of keys follows the key length, so buckets stay small and the
+probability stays the same at any size.
 
-Equal fingerprints are folded before anything is compared. Links and labels stay in tables.
+Scale: equal fingerprints are folded before anything is compared. Partitions follow the number of rows. Keys that very many
+fingerprints share are found on a sample of one fingerprint in 64; their members are dealt to slots, and each pair of
+slots meets in a task of its own, so no task holds more than two slots. Links and labels stay in tables.
 
 Defined cases: null text is empty; an empty text's fingerprint is zero and links like any other; a row without id has a
 fingerprint, no links and a null component; rows of one id belong together; an empty table gives no rows; other columns
-of the input are not read, and ``deduplicate`` keeps them.
+of the input are not read, and ``deduplicate`` keeps them, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,15 +38,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, ship_package, stored
+from .common import bounded_broadcast, lean, private, release, ship_package, stored
 from .components import components
 
 SEED = 42
 GROUPS, AGREEING = 6, 3
 #: References besides the groups, used to discard pairs.
 FURTHER = 8
-#: Members of a bucket that others meet in the first of two rounds, least first (near_duplicates).
+#: Members of a bucket that others meet in the first of two rounds, least first; the second compares all that is left (near_duplicates).
 CENTERS = 16
+#: Buckets of more members are split by further bits before they are compared (link_fingerprints).
+DENSE = 256
+#: Members of a slot of a hot key: of 64-bit fingerprints, of wide ones in the second round.
+SLOT, WIDE_SLOT = 65_536, 8_192
+#: One fingerprint in so many is looked at to find hot keys; rows of keys that a task takes.
+SAMPLED, TASK_ROWS, WIDE_ROWS = 64, 1_000_000, 200_000
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _BLOCK = 1 << 15
 #: Documents in each of the two sides of a block whose shingle sets are compared in one place.
@@ -96,7 +108,7 @@ def fingerprints(docs: DataFrame, shingle: int, bits: int = 64, text: str = "tex
             fps = [int(f.view(np.int64)[0]) for f in made] if bits == 64 else [f.tobytes() for f in made]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, kind)], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col(text)).mapInArrow(run, f"doc_id long, fp {'long' if bits == 64 else 'binary'}")
+    return docs.select(F.col("doc_id").cast("long"), F.col(text)).mapInArrow(lean(run), f"doc_id long, fp {'long' if bits == 64 else 'binary'}")
 
 
 def references(n: int, words: int = 1) -> np.ndarray:
@@ -110,11 +122,7 @@ def distances(fps: np.ndarray, refs: np.ndarray) -> np.ndarray:
 
 
 def group_keys(fps: np.ndarray) -> np.ndarray:
-    """Keys of 64-bit fingerprints, a column a choice of agreeing groups.
-
-    The coordinates relative to the zero reference of the single-bit references in the chosen groups are the
-    fingerprint's own bits there, so the key is the choice and those bits.
-    """
+    """Keys of 64-bit fingerprints, a column a choice of agreeing bands: the choice and the fingerprint's bits there."""
     edges = np.linspace(0, 64, GROUPS + 1).astype(int)
     masks = [sum(1 << i for i in range(a, b)) for a, b in itertools.pairwise(edges)]
     chosen = [sum(masks[g] for g in c) for c in itertools.combinations(range(GROUPS), AGREEING)]
@@ -132,8 +140,15 @@ class _Forest:
     def __init__(self, n: int):
         self.root = np.arange(n)
 
+    def roots(self, at: np.ndarray) -> np.ndarray:
+        r = self.root[at]
+        while ((up := self.root[r]) != r).any():
+            r = up
+        self.root[at] = r
+        return r
+
     def join(self, a: np.ndarray, b: np.ndarray) -> list[int]:
-        """Positions in (a, b) that joined two trees; roots are settled after."""
+        """Places in (a, b) of pairs that joined two trees."""
         made, root = [], self.root
         for k, (i, j) in enumerate(zip(a.tolist(), b.tolist())):
             while root[i] != i:
@@ -143,40 +158,105 @@ class _Forest:
             if i != j:
                 root[max(i, j)] = min(i, j)
                 made.append(k)
-        while (up := root[root]).tobytes() != root.tobytes():
-            root = up
-        self.root = root
         return made
 
 
+def runs_of(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal keys begins in sorted keys, and its length."""
+    head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
+    return head, np.diff(np.r_[head, len(key)])
+
+
+def dense_links(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Positions (a, b) of a spanning forest of near pairs among many distinct 64-bit fingerprints."""
+    table, forest, made = distances(fps[:, None], references(FURTHER)), _Forest(len(fps)), []
+    todo = [np.arange(len(fps))]
+    while todo:
+        at = todo.pop()
+        roots = forest.roots(at)
+        if (roots == roots[0]).all():
+            continue
+        varying = int(np.bitwise_or.reduce(fps[at] ^ fps[at[0]]))
+        bits = [i for i in range(64) if varying >> i & 1]
+        if len(at) > DENSE and len(bits) > radius:
+            for part in np.array_split(np.array(bits), radius + 1):
+                key = fps[at] & np.uint64(sum(1 << int(i) for i in part))
+                order = np.argsort(key, kind="stable")
+                head, size = runs_of(key[order])
+                todo += [at[order[h : h + n]] for h, n in zip(head.tolist(), size.tolist()) if n > 1]
+            continue
+        for i in range(len(at) - 1):
+            later = at[i + 1 :]
+            later = later[forest.roots(later) != forest.roots(at[i : i + 1])]
+            later = later[np.abs(table[later] - table[at[i]]).max(axis=1, initial=0) <= radius]
+            later = later[np.bitwise_count(fps[later] ^ fps[at[i]]) <= radius]
+            one = np.full(len(later), at[i])
+            made += [(int(at[i]), int(later[k])) for k in forest.join(one, later)]
+    return made
+
+
 def bucket_links(key: np.ndarray, fps: np.ndarray, node: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links of a spanning forest among near fingerprints of equal key."""
     order = np.argsort(key, kind="stable")
     key, fps, node = key[order], fps[order], node[order]
-    same = np.zeros(len(key), bool)
-    same[:-1] = key[1:] == key[:-1]
-    member = same | np.r_[False, same[:-1]]
-    key, fps, node = key[member], fps[member], node[member]
+    head, size = runs_of(key)
+    out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for h, n in zip(head[size > DENSE].tolist(), size[size > DENSE].tolist()):
+        if links := dense_links(fps[h : h + n], radius):
+            out_a.append(node[h : h + n][[x for x, _ in links]])
+            out_b.append(node[h : h + n][[y for _, y in links]])
+    small = np.repeat((size > 1) & (size <= DENSE), size)
+    key, fps, node = key[small], fps[small], node[small]
     table, forest = distances(fps[:, None], references(FURTHER)), _Forest(len(key))
-    out_a, out_b = [], []
     left, step = np.arange(len(key)), 0
     while len(left):
         step += 1
         left = left[left + step < len(key)]
         left = left[key[left] == key[left + step]]
-        for part in np.array_split(left, max(1, len(left) // 500_000)):
-            a = part[forest.root[part] != forest.root[part + step]]
-            b = a + step
-            near = np.abs(table[a] - table[b]).max(axis=1, initial=0) <= radius
-            a, b = a[near], b[near]
-            near = np.bitwise_count(fps[a] ^ fps[b]) <= radius
-            a, b = a[near], b[near]
-            if len(a):
-                made = forest.join(a, b)
-                out_a.append(node[a[made]])
-                out_b.append(node[b[made]])
-    none = np.empty(0, np.int64)
-    return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
+        a = left[forest.roots(left) != forest.roots(left + step)]
+        b = a + step
+        near = np.abs(table[a] - table[b]).max(axis=1, initial=0) <= radius
+        a, b = a[near], b[near]
+        near = np.bitwise_count(fps[a] ^ fps[b]) <= radius
+        a, b = a[near], b[near]
+        if len(a):
+            made = forest.join(a, b)
+            out_a.append(node[a[made]])
+            out_b.append(node[b[made]])
+    return np.concatenate(out_a), np.concatenate(out_b)
+
+
+def hot_keys(rows: DataFrame, members: int) -> DataFrame | None:
+    """(hot, slots) for the keys of rows (key, node, ...) that more than some members share, as far as a sample of nodes tells."""
+    sample = rows.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0)
+    slots = F.ceil(F.col("n") * SAMPLED / members).cast("int")
+    found = stored(sample.groupBy(F.col("key").alias("hot")).agg(F.count("*").alias("n")).where(F.col("n") * SAMPLED > members).select("hot", slots.alias("slots")), "simhash-hot")
+    return None if found.isEmpty() else found
+
+
+def placed(rows: DataFrame, hot: DataFrame | None, pairs: bool) -> DataFrame:
+    """rows (key, node, ...) with their place: 0, and for hot keys a slot (from 1), or each pair of slots that the row's own is in."""
+    if hot is None:
+        return rows.withColumn("place", F.lit(0).cast("long"))
+    slots = F.col("slots").cast("long")
+    own = F.pmod(F.xxhash64("node", F.lit(1)), slots)
+    place = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), slots - 1), lambda j: F.least(own, j) * slots + F.greatest(own, j))) if pairs else own + 1
+    met = rows.join(bounded_broadcast(hot), F.col("key") == F.col("hot"), "left")
+    cold = met.where("slots is null").select(*rows.columns, F.lit(0).cast("long").alias("place"))
+    return cold.unionByName(met.where("slots is not null").select(*rows.columns, place.alias("place")))
+
+
+def dealt(rows: DataFrame, n: int, task_rows: int = TASK_ROWS) -> DataFrame:
+    """About n rows (key, place, ...) dealt by both to as many tasks as that takes."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(parts, -(-n // task_rows)), "key", "place")
+
+
+def one_key(key: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Both in one value: places other than 0 are rare."""
+    if place.any():
+        return np.unique(np.stack([key, place], axis=1), axis=0, return_inverse=True)[1].ravel()
+    return key
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
@@ -185,7 +265,7 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
     return [np.concatenate(c) for c in zip(*parts)]
 
 
-def link_fingerprints(nodes: DataFrame, radius: int = 3) -> DataFrame:
+def link_fingerprints(nodes: DataFrame, radius: int = 3, slot: int = SLOT) -> DataFrame:
     """Links (a, b) that join all nodes (node, fp: distinct longs) within ``radius`` bits, directly or over others."""
     if radius > GROUPS - AGREEING:
         raise ValueError("more bits need more groups")
@@ -199,10 +279,14 @@ def link_fingerprints(nodes: DataFrame, radius: int = 3) -> DataFrame:
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if columns := _whole(batches):
-            a, b = bucket_links(columns[0], columns[1].view(np.uint64), columns[2], radius)
+            key, fp, node, place = columns
+            a, b = bucket_links(one_key(key, place), fp.view(np.uint64), node, radius)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return nodes.select("node", "fp").mapInArrow(keyed, "key long, fp long, node long").repartition("key").mapInArrow(linked, "a long, b long")
+    n = nodes.count()
+    keys = nodes.select("node", "fp").mapInArrow(lean(keyed), "key long, fp long, node long")
+    hot = hot_keys(keys, slot) if n > slot else None  # fewer nodes cannot fill a slot
+    return dealt(placed(keys, hot, pairs=True), n * math.comb(GROUPS, AGREEING)).mapInArrow(lean(linked), "a long, b long")
 
 
 def _assign(fps: DataFrame, folded: DataFrame, links: DataFrame) -> DataFrame:
@@ -298,18 +382,19 @@ def jaccard_links(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: f
                     made.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], pa.int64()) for i in range(2)], names=["a", "b"])
 
-    return rows.mapInArrow(linked, "a long, b long")
+    return rows.mapInArrow(lean(linked), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bits: int = 512, recall: float = 0.98, text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bits: int = 512, recall: float = 0.98, text: str = "text", slot: int = WIDE_SLOT) -> DataFrame:
     """(doc_id, fp, component_id): links between documents whose sets of distinct shingles are alike, Jaccard ``similarity`` or more.
 
-    A pair at exactly that similarity meets in some bucket with probability ``recall``, and all pairs that meet are compared
-    or joined already. The first round is quick: each member meets the ``CENTERS`` least ones of its bucket up to the first
-    that is near by 64 bits, then the one before it; links that pass give groups. The second compares all members
-    of a bucket that are not of one group yet, so its pairs are few where the first has joined a bucket of copies.
-    Candidates pass up to the expected distance of all bits plus 3 standard errors; then their shingle sets are compared,
-    so no link is below ``similarity``.
+    A pair at exactly that similarity meets in some bucket with probability ``recall``, whatever the number of documents,
+    and all pairs that meet are compared or joined already. The first round is quick: each member meets the ``CENTERS``
+    least ones of its bucket up to the first that is near by 64 bits, then the one before it; links whose shingle sets
+    are alike give groups. The second compares in full all members of a bucket that are not of one group yet, so its pairs
+    are few where the first has joined a bucket of copies. Candidates pass up to the expected distance of all bits plus 3
+    standard errors; then their shingle sets are compared, so no link is below ``similarity``. Groups are made of chains of
+    links: two members of one need not be alike.
     """
     fps = stored(fingerprints(docs, shingle, bits, text, distinct=True), "simhash-wide")
     folded = _folded(fps)
@@ -335,7 +420,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not (columns := _whole(batches)):
             return
-        key, node, head = columns
+        key, node, head, place = columns
+        key = one_key(key, place)
         order = np.lexsort((node, key))
         key, node, head = key[order], node[order], head[order].view(np.uint64)
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
@@ -354,44 +440,61 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
         near(at - 1, at)
         found = np.unique(np.concatenate(pairs), axis=0)
         yield pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.int64()), pa.array(found[:, 0]), pa.array(found[:, 1])], names=["key", "a", "b"])
-        more = np.bincount(start, minlength=len(key))[start] > 2
-        yield pa.RecordBatch.from_arrays([pa.array(key[more]), pa.array(node[more]), pa.nulls(int(more.sum()), pa.int64())], names=["key", "a", "b"])
+        more = (np.bincount(start, minlength=len(key))[start] > 2) | (place[order] > 0)
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0][order][more]), pa.array(node[more]), pa.nulls(int(more.sum()), pa.int64())], names=["key", "a", "b"])
+
+    def wide(column: pa.Array) -> np.ndarray:
+        column = column.cast(pa.binary(bits // 8))
+        return np.frombuffer(column.buffers()[1], np.uint64)[column.offset * words :][: len(column) * words].reshape(-1, words)
 
     def remaining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not (parts := [b for b in batches if b.num_rows]):
+        parts = [([c.to_numpy() for c in (b.column(0), b.column(1), b.column(2), b.column(4))], wide(b.column(3))) for b in batches if b.num_rows]
+        if not parts:
             return
-        rows = pa.Table.from_batches(parts)
-        order = np.argsort(rows[0].to_numpy(), kind="stable")
-        key, node, label = (rows[i].to_numpy()[order] for i in range(3))
-        fps = np.frombuffer(b"".join(rows[3].to_pylist()), np.uint64).reshape(-1, words)[order]
+        key, node, label, place = (np.concatenate(c) for c in zip(*[p[0] for p in parts]))
+        key, fps = one_key(key, place), np.concatenate([p[1] for p in parts])
+        order = np.argsort(key, kind="stable")
+        key, node, label, fps = key[order], node[order], label[order], fps[order]
         for a, b in unjoined_pairs(key, label, fps, radius, loose):
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[a], node[b])), pa.array(np.maximum(node[a], node[b]))], names=["a", "b"])
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         refs = references(FURTHER, words)
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, words) for i in (2, 3))
+            x, y = wide(batch.column(2)), wide(batch.column(3))
             near = np.abs(distances(x, refs) - distances(y, refs)).max(axis=1, initial=0) <= radius
             near &= np.bitwise_count(x ^ y).sum(axis=1) <= radius
             kept = batch.filter(pa.array(near))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
-    keys = folded.select("node", "fp").mapInArrow(keyed, "key long, node long, head long")
-    met = stored(keys.repartition("key").mapInArrow(candidates, "key long, a long, b long"), "simhash-met")
+    spark = docs.sparkSession
+    keys = folded.select("node", "fp").mapInArrow(lean(keyed), "key long, node long, head long")
+    hot = hot_keys(keys, slot) if n > slot else None  # fewer nodes cannot fill a slot
+    met = stored(dealt(placed(keys, hot, pairs=False), n * tables).mapInArrow(lean(candidates), "key long, a long, b long"), "simhash-met")
     pairs = stored(met.where("key is null").select("a", "b").distinct(), "simhash-candidates")
     side = folded.select(F.col("node").alias("_n"), F.col("fp").alias("_fp"))
     both = pairs.join(side.withColumnRenamed("_fp", "fp_a"), F.col("a") == F.col("_n")).drop("_n").join(side.withColumnRenamed("_fp", "fp_b"), F.col("b") == F.col("_n")).select("a", "b", "fp_a", "fp_b")
-    near = stored(both.mapInArrow(verified, "a long, b long"), "simhash-near")
+    near = stored(both.mapInArrow(lean(verified), "a long, b long"), "simhash-near")
+    release(spark, [pairs])
     links = stored(jaccard_links(near, docs, shingle, similarity, text), "simhash-first")
-    label = components(links).select(F.col("node").alias("_l"), "component")
+    first = components(links)
+    label = first.select(F.col("node").alias("_l"), "component")
     named = side.join(label, F.col("_n") == F.col("_l"), "left").select("_n", F.coalesce("component", "_n").alias("label"), "_fp")
     rest = met.where("key is not null").join(named, F.col("a") == F.col("_n")).select("key", F.col("a").alias("node"), "label", "_fp")
-    later = rest.repartition("key").mapInArrow(remaining, "a long, b long").distinct().join(near, ["a", "b"], "left_anti")
-    return _assign(fps, folded, links.unionByName(jaccard_links(stored(later, "simhash-later"), docs, shingle, similarity, text)))
+    left = met.where("key is not null").count()
+    later = dealt(placed(rest, hot, pairs=True), left, WIDE_ROWS).mapInArrow(lean(remaining), "a long, b long").distinct().join(near, ["a", "b"], "left_anti")
+    later = stored(later, "simhash-later")
+    release(spark, [met])
+    return _assign(fps, folded, links.unionByName(jaccard_links(later, docs, shingle, similarity, text)))
 
 
 def deduplicate(docs: DataFrame, **settings) -> DataFrame:
-    """docs without near duplicates: of each group the least id stays, with all columns; rows without id stay."""
+    """docs without near duplicates: of each group the least id stays, with all columns; rows without id stay.
+
+    A group is held together by links, so a text that goes is like some member of its group, and need not be like the one
+    that stays.
+    """
     groups = near_duplicates(docs, **settings)
-    gone = stored(groups.where("component_id <> doc_id").select("doc_id").distinct().withColumnRenamed("doc_id", "_gone"), "simhash-gone")
-    return docs.join(bounded_broadcast(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    (name,) = private(docs, "_gone")
+    gone = stored(groups.where("component_id <> doc_id").select("doc_id").distinct().toDF(name), "simhash-gone")
+    return docs.join(bounded_broadcast(gone), F.col("doc_id") == F.col(name), "left_anti")

@@ -87,6 +87,65 @@ def test_dense_bucket_yields_a_forest():
     assert len({find(i) for i in root}) == 40
 
 
+def components_of(n, a, b):
+    root = list(range(n))
+    for x, y in zip(a, b):
+        x, y = root[x], root[y]
+        root = [min(x, y) if r in (x, y) else r for r in root]
+    return root
+
+
+def test_a_crowded_bucket_is_split_without_loss():
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 64, dtype=np.uint64)
+    low = rng.integers(0, 1 << 22, 1500, dtype=np.uint64)
+    fps = np.unique(np.r_[base ^ low, base ^ low[:300] ^ (np.uint64(1) << np.uint64(30))])
+    near = np.bitwise_count(fps[:, None] ^ fps[None]) <= 3
+    i, j = np.nonzero(np.triu(near, 1))
+    links = sh.dense_links(fps, 3)
+    assert all(near[x, y] for x, y in links)
+    want = components_of(len(fps), i.tolist(), j.tolist())
+    assert 2 < len(set(want)) < len(fps) and components_of(len(fps), *zip(*links)) == want
+
+
+def test_hot_keys_are_dealt_to_slots(spark):
+    """With slots of a few members, links are those of whole buckets."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 64, dtype=np.uint64)
+    fps = np.unique(base ^ rng.integers(0, 1 << 12, 900, dtype=np.uint64)).view(np.int64).tolist()
+    nodes = spark.createDataFrame([(i, f) for i, f in enumerate(fps)], "node long, fp long")
+    keys = nodes.selectExpr("1L as key", "node")
+    assert sh.hot_keys(keys, 50).first().slots > 3
+    spread = sh.placed(keys, sh.hot_keys(keys, 50), pairs=True).groupBy("place").agg({"node": "collect_set"}).collect()
+    met = {(x, y) for r in spread for x in r[1] for y in r[1]}
+    assert len(met) == len(fps) ** 2 and max(len(r[1]) for r in spread) < len(fps) / 2
+    whole, split = ({(r.node, r.component) for r in components(sh.link_fingerprints(nodes, 3, slot)).collect()} for slot in (10**6, 100))
+    assert whole == split and len(whole) > 500
+    rows = list(enumerate(template(400, 40)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in sh.near_duplicates(docs, slot=64).collect()}
+    assert sum(got[400 + k] == got[k * 7919 % 400] for k in range(40)) >= 39
+
+
+@pytest.mark.parametrize("shared", [0, 200, 300])
+def test_pairs_beside_a_shared_template(spark, shared):
+    """400 texts of one template, each with 100 words of its own: 200 pairs alike to 0.8 or more are found, and none below 0.7 linked."""
+    rng = random.Random(shared)
+    frame_, texts = [f"t{i}" for i in range(shared)], []
+    for d in range(200):
+        own = [f"o{d}x{i}" for i in range(100)]
+        other = list(own)
+        other[rng.randrange(100)] = "changed"
+        texts += [" ".join(frame_ + own), " ".join(frame_ + other)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.component_id for r in sh.near_duplicates(docs).orderBy("doc_id").collect()]
+    assert all(jaccard(texts[2 * d], texts[2 * d + 1]) >= 0.8 for d in range(200))
+    unlike = jaccard(texts[0], texts[2])
+    found = sum(got[2 * d] == got[2 * d + 1] for d in range(200))
+    assert unlike < 0.7 + 0.1 * (shared == 300) and found >= 190
+    assert len(set(got)) >= 200  # texts of two pairs are never linked
+
+
 def test_group_keys_miss_no_pair():
     rng = random.Random(5)
     for _ in range(300):
@@ -211,7 +270,7 @@ def brute_runs(rows):
     where = defaultdict(set)
     for d, t in rows:
         digests, ends, words = ck.chunk_text(t or "")
-        for k, a, b, w in zip(digests, [0, *ends], ends, words.tolist()):
+        for k, a, b, w in zip(map(bytes, digests), [0, *ends], ends, words.tolist()):
             where[k].add((d, a, b, w))
     again = defaultdict(list)
     for places in where.values():
@@ -290,3 +349,16 @@ def test_ties_and_odd_vectors(spark):
     assert dict(got) == {0: [(1, 10, 1.0), (2, 20, 1.0), (3, 30, 0.0), (4, 40, -1.0)], 20: [(1, 0, 1.0), (2, 10, 1.0), (3, 30, 0.0), (4, 40, -1.0)], 40: [(1, 30, 0.0), (2, 0, -1.0), (3, 10, -1.0), (4, 20, -1.0)]}
     assert pg.nearest_neighbours(df.limit(0)).count() == 0
     assert pg.nearest_neighbours(vectors(spark, np.ones((3000, 3)))).where("rank = 1 and query_id > 0 and vec_id <> 0").count() == 0
+
+
+def test_stages_beside_clashing_names(spark):
+    text = " ".join(vocabulary(120))
+    names = ["_gone", "_id", "_spans", "_cut", "_fp", "_n", "key", "node", "spans", "words", "begin", "place"]
+    schema = "doc_id long, text string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    rows = [(1, text, len(text), *names), (2, text + " tail", len(text) + 5, *names), (3, None, None, *[None] * len(names)), (None, text, 9, *names)]
+    df = spark.createDataFrame(rows, schema)
+    kept = {r.doc_id: r for r in sh.deduplicate(df).collect()}
+    assert set(kept) == {1, 3, None} and tuple(kept[1])[3:] == tuple(names)
+    cut = {r.doc_id: r for r in ck.remove_repeats(df).collect()}
+    assert cut[1].text == text and len(cut[2].text) < 60 and cut[2].n_chars == len(cut[2].text) and tuple(cut[2])[3:] == tuple(names)
+    assert cut[3].text is None and cut[None].text == text
