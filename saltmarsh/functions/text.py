@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,9 +26,11 @@ def _fold_pairs() -> tuple[str, str]:
 
 
 FOLD_FROM, FOLD_TO = _fold_pairs()
-# What a UTF-8 byte read as Windows-1252 leaves in a text, and HTML's five named entities.
-MOJIBAKE_MARKS = ("Ã", "Â", "�")
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+# What UTF-8 read as a legacy code page leaves in a text, controls besides.
+MOJIBAKE_MARKS = "[ÃÂâð�\\x80-\\x9f]"
+#: HTML's named entities of one character, by name, as one JSON object.
+_ENTITIES = json.dumps({k[:-1]: v for k, v in html5.items() if k.endswith(";") and len(v) == 1})
+_ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);|[^&]+|&"
 
 
 def let(c: Column, body: Callable[[Column], Column]) -> Column:
@@ -35,10 +39,17 @@ def let(c: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """HTML entities of common use; the ampersand last so that nothing is unescaped twice."""
-    for name, char in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+    """HTML entities, named or numbered, that end in a semicolon; each once, and what is no entity stays."""
+    names = F.from_json(F.lit(_ENTITIES), "map<string,string>")  # constant
+
+    def one(piece: Column) -> Column:
+        body = F.substring(piece, 2, 64)  # from its second character on
+        code = F.when(body.rlike("^#[0-9]"), F.regexp_extract(body, "[0-9]+", 0).try_cast("int")).when(body.rlike("^#[xX]"), F.conv(F.regexp_extract(body, "^#.([0-9a-fA-F]+)", 1), 16, 10).try_cast("int"))
+        char = F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        known = F.try_element_at(names, F.regexp_replace(body, ";$", ""))
+        return F.when(piece.startswith("&") & piece.endswith(";"), F.coalesce(char, known, piece)).otherwise(piece)
+
+    return F.when(c.contains("&"), F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_ENTITY), F.lit(0)), one), "")).otherwise(c)
 
 
 def casefold(c: Column) -> Column:
@@ -77,7 +88,7 @@ def attribute_key(c: Column) -> Column:
 
 
 def mojibake_score(c: Column) -> Column:
-    return sum((F.char_length(c) - F.char_length(F.replace(c, F.lit(m), F.lit(""))) for m in MOJIBAKE_MARKS), F.lit(0))
+    return F.regexp_count(c, F.lit(MOJIBAKE_MARKS))
 
 
 def _cp1252_specials() -> tuple[str, str]:
@@ -93,11 +104,12 @@ def _cp1252_specials() -> tuple[str, str]:
 
 
 _CP_FROM, _CP_TO = _cp1252_specials()
-_ONLY_BYTES = "^[\\x00-\\xff" + "".join(f"\\x{{{ord(c):x}}}" for c in _CP_FROM) + "]*$"
+#: What is one byte a character in Latin-1, or in Windows-1252.
+_ONLY_BYTES = "^(?:[\\x00-\\xff]*|[\\x00-\\x7f\\xa0-\\xff" + "".join(f"\\x{{{ord(c):x}}}" for c in _CP_FROM) + "]*)$"
 
 
 def repair_mojibake(c: Column, rounds: int = 3) -> Column:
-    """UTF-8 that was read as Windows-1252, read again; a round counts only if fewer marks remain."""
+    """UTF-8 that was read as Latin-1 or Windows-1252, read again; a round counts only if fewer marks remain."""
 
     def once(x: Column) -> Column:
         raw = F.encode(F.translate(x, _CP_FROM, _CP_TO), "ISO-8859-1")
@@ -108,7 +120,7 @@ def repair_mojibake(c: Column, rounds: int = 3) -> Column:
         out = x
         for _ in range(rounds):
             out = let(out, once)
-        return F.when(x.rlike("[ÃÂ�]"), out).otherwise(x)
+        return F.when(x.rlike(MOJIBAKE_MARKS), out).otherwise(x)
 
     return let(c, all_rounds)
 

@@ -14,27 +14,41 @@ STATUSES = ("pass", "reconstruct", "quarantine")
 OCR_ENGINES = ("tesseract", "paddleocr", "ocr")
 
 
+_WORD = r"[\p{L}\p{N}_]"
+# The letters of the catalogue's languages, small and great.
+_SMALL, _GREAT = "a-záéíóúñü", "A-ZÁÉÍÓÚÑÜ"
+
+
 def _collapsed(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " "))
 
 
+def _token(words: str) -> str:
+    return rf"(?<!{_WORD})(?:{words})(?!{_WORD})"
+
+
 def noise_tokens(text: Column, tokens: tuple[str, ...] = NOISE) -> Column:
     """Sorted noise tokens that stand in the text as whole words."""
     low = F.lower(text)
-    return F.array_compact(F.array(*[F.when(low.rlike(r"(?U)(?<!\w)" + re.escape(t) + r"(?!\w)"), F.lit(t)) for t in sorted(tokens)]))
+    each = F.array_compact(F.array(*[F.when(low.rlike(_token(re.escape(t))), F.lit(t)) for t in sorted(tokens)]))
+    return F.when(low.rlike(_token("|".join(map(re.escape, tokens)))), each).otherwise(F.array().cast("array<string>"))
 
 
 def flags(raw: Column, engine: Column | None = None, reconstructed: Column | None = None, min_chars: int = MIN_CHARS, tokens: tuple[str, ...] = NOISE) -> Column:
     """Names of the defects found, in order."""
-    t = _collapsed(raw)
+    return _flags(raw, _collapsed(raw), F.lower(_collapsed(raw)), engine, reconstructed, min_chars, tokens)
+
+
+def _flags(raw: Column, t: Column, low: Column, engine: Column | None = None, reconstructed: Column | None = None, min_chars: int = MIN_CHARS, tokens: tuple[str, ...] = NOISE) -> Column:
+    """t: the text with single spaces; low: that in small letters. Patterns look at each place of the text once."""
     size = F.char_length(t)
     found = [
         F.when(size == 0, "empty").when(size < min_chars, "too_short"),
         F.when(t.rlike("[ÃÂ�]"), "mojibake"),
-        F.when(F.size(noise_tokens(t, tokens)) > 0, "ocr_noise_tokens"),
-        F.when(t.rlike(r"(?iU)\b(\w+)(?:\s+\1)+\b"), "repeated_words"),
-        F.when(t.rlike(r"(?U)\w-\s+\p{L}"), "split_word"),
-        F.when(t.rlike(r"\p{Ll}+\p{Lu}\p{Ll}+"), "mixed_case_word"),
+        F.when(low.rlike(_token("|".join(map(re.escape, sorted(tokens, key=len, reverse=True))))), "ocr_noise_tokens"),
+        F.when(low.rlike(rf"(?<!{_WORD})({_WORD}++) \1(?!{_WORD})"), "repeated_words"),
+        F.when(low.rlike(rf"{_WORD}- [a-záéíóúñ]"), "split_word"),
+        F.when(t.rlike(rf"(?<!{_WORD})[{_SMALL}]++[{_GREAT}][{_SMALL}]++(?!{_WORD})"), "mixed_case_word"),
         F.when((size >= min_chars) & ~t.rlike("[.!?]") & ~F.coalesce(raw, F.lit("")).contains("\n"), "no_sentence_structure"),
     ]
     if engine is not None:
@@ -53,7 +67,10 @@ def score(f: Column) -> Column:
 
 
 def assess(df: DataFrame, text: str, **options) -> DataFrame:
-    return df.withColumn("flags", flags(F.col(text), **options)).withColumn("status", status(F.col("flags"))).withColumn("score", score(F.col("flags")))
+    """df with flags, status and score; what they are made of is bound once, in columns that go again."""
+    bound = df.withColumn("_collapsed", _collapsed(F.col(text))).withColumn("_low", F.lower("_collapsed"))
+    found = bound.withColumn("flags", _flags(F.col(text), F.col("_collapsed"), F.col("_low"), **options)).drop("_collapsed", "_low")
+    return found.withColumn("status", status(F.col("flags"))).withColumn("score", score(F.col("flags")))
 
 
 def status_counts(assessed: DataFrame) -> DataFrame:

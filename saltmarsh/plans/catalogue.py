@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import parse, presentation, titles
@@ -41,6 +41,8 @@ def query(sql: str | None):
 # ---- scalar functions
 
 _KEY = "regexp_replace(replace(lower(strip_accents({0})), 'ß', 'ss'), '[^a-z0-9]+', '', 'g')"
+#: What ends a word, in SQL patterns (which have no look-around).
+_W, _NW = "[\\p{L}\\p{N}_]", "[^\\p{L}\\p{N}_]"
 _FOLD = "trim(regexp_replace(replace(lower(strip_accents({0})), 'ß', 'ss'), '[^a-z0-9]+', ' ', 'g'))"
 
 
@@ -149,31 +151,102 @@ def attribute_histogram(t):
     return sizes.join(F.broadcast(most))  # one row
 
 
-@query("""SELECT p_partkey, CASE WHEN p_size % 3 = 2 THEN NULL ELSE CAST(p_size AS VARCHAR) END AS quantity, CASE p_size % 3 WHEN 0 THEN 'g' WHEN 1 THEN '' END AS unit FROM part""")
+_SIZED = "p_name || CASE p_size % 7 WHEN 0 THEN ' ' || p_size || ',0 GRS' WHEN 1 THEN ' x ' || p_size WHEN 2 THEN ' suelto' WHEN 3 THEN ' ' || p_size || ' grs.' WHEN 4 THEN ' ' || p_size || '.50lt ' WHEN 5 THEN ' ' || p_size || ' cajas' ELSE ' ' || p_size || ' Unidades' END"
+
+
+@query(f"""WITH n AS (SELECT p_partkey, regexp_extract(rtrim(lower({_SIZED})), '([0-9]+(?:[.,][0-9]+)?)\\s*(kg|kgs|g|gr|grs|ml|lt|l|oz|u|ud|uds|unidad|unidades)?$', ['q', 'u']) AS m FROM part)
+SELECT p_partkey, CASE WHEN m.q <> '' THEN CASE WHEN regexp_matches(m.q, '[.,]') THEN regexp_replace(rtrim(replace(m.q, ',', '.'), '0'), '\\.$', '') ELSE m.q END END AS quantity,
+  CASE WHEN m.q <> '' THEN CASE WHEN m.u IN ('g', 'gr', 'grs') THEN 'g' WHEN m.u IN ('kg', 'kgs') THEN 'kg' WHEN m.u IN ('l', 'lt') THEN 'l' WHEN m.u LIKE 'u%' THEN 'u' ELSE m.u END END AS unit FROM n""")
 def presentation_signature(t):
-    """F-20: quantity and unit at the end of a name."""
-    k = F.pmod("p_size", F.lit(3))
-    said = F.concat("p_name", F.when(k == 0, F.concat(F.lit(" "), "p_size", F.lit(",0 GRS."))).when(k == 1, F.concat(F.lit(" x "), "p_size")).otherwise(F.lit(" suelto")))
-    s = presentation.signature(said)
-    return t("part").select("p_partkey", s["quantity"].alias("quantity"), s["unit"].alias("unit"))
+    """F-20: quantity and unit at the end of a name; a point after the unit, or a word that is no unit, means none."""
+    size = F.col("p_size").cast("string")
+    tails = (F.concat(F.lit(" "), size, F.lit(",0 GRS")), F.concat(F.lit(" x "), size), F.lit(" suelto"), F.concat(F.lit(" "), size, F.lit(" grs.")), F.concat(F.lit(" "), size, F.lit(".50lt ")), F.concat(F.lit(" "), size, F.lit(" cajas")), F.concat(F.lit(" "), size, F.lit(" Unidades")))
+    said = F.concat("p_name", F.element_at(F.array(*tails), (F.col("p_size") % 7 + 1).cast("int")))
+    named = t("part").select("p_partkey", presentation.signature(said).alias("s"))
+    return named.select("p_partkey", F.col("s.quantity").alias("quantity"), F.col("s.unit").alias("unit"))
+
+
+@query("""SELECT p_partkey, CASE p_size % 6 WHEN 0 THEN 'v' || p_size WHEN 1 THEN 'p' || p_size WHEN 2 THEN NULL WHEN 3 THEN 't' || p_size WHEN 4 THEN NULL ELSE 's' || p_size END AS presentation,
+  CASE p_size % 6 WHEN 0 THEN 'kg' WHEN 1 THEN 'frascos' WHEN 2 THEN '' WHEN 3 THEN 'u' WHEN 4 THEN 'l' ELSE 'oz' END AS unit FROM part""")
+def presentation_attribute(t):
+    """F-20, F-21: the attribute that tells a size, by the key of its name; units by theirs, unknown ones as they are."""
+    k = (F.col("p_size") % 6 + 1).cast("int")
+    names = F.element_at(F.array(*map(F.lit, ("Volumen", "PRESENTATION", "contenido", "Tamaño", "medida", "size"))), k)
+    values = F.concat(F.element_at(F.array(*map(F.lit, "vpctms")), k), F.col("p_size").cast("string"))
+    said = F.element_at(F.array(*map(F.lit, ("KGS", "Frascos", "", "Unidad", "Lt", "oz"))), k)
+    return t("part").select("p_partkey", presentation.from_attributes(F.create_map(F.lit("color"), F.lit("rojo"), names, values)).alias("presentation"), presentation.unit(said).alias("unit"))
+
+
+_FRAGMENT = "text || ' Crema ' || doc_id || ' Bs facial , ' || doc_id || ',5 grs y Bs ' || doc_id || ' o ' || doc_id || '.25bs. ; ' || doc_id || ' ml- '"
 
 
-@query("SELECT p_partkey, 'Crema de noche, nutritiva' AS fragment FROM part")
+@query(f"""WITH a AS (SELECT doc_id, replace({_FRAGMENT}, chr(160), ' ') AS t FROM documents),
+b AS (SELECT doc_id, regexp_replace(t, '(?i)(^|{_NW})[0-9]+(?:[.,][0-9]+)?\\s*(?:bs|b\\.s)($|{_NW})', '\\1 \\2', 'g') AS t FROM a),
+c AS (SELECT doc_id, regexp_replace(t, '(?i)(^|{_NW})[0-9]+(?:[.,][0-9]+)?\\s*(?:ml|grs?|kg|lt|l)($|{_NW})', '\\1 \\2', 'g') AS t FROM b)
+SELECT doc_id, trim(regexp_replace(regexp_replace(t, '\\s+([,.!?;:])', '\\1', 'g'), '\\s+', ' ', 'g'), ' -') AS fragment FROM c""")
 def clean_fragment(t):
-    """F-19: prices and sizes out of description fragments."""
-    return t("part").select("p_partkey", presentation.clean_fragment(F.concat(F.lit("Crema  de noche Bs. "), F.col("p_size"), F.lit(",50 , nutritiva "), F.col("p_size"), F.lit(" ml"))).alias("fragment"))
+    """F-19: prices (the currency after the number) and sizes out of description fragments; a currency before a number stays."""
+    d = F.col("doc_id").cast("string")
+    said = F.concat("text", F.lit(" Crema "), d, F.lit(" Bs facial , "), d, F.lit(",5 grs y Bs "), d, F.lit(" o "), d, F.lit(".25bs. ; "), d, F.lit(" ml- "))
+    return t("documents").select("doc_id", presentation.clean_fragment(said).alias("fragment"))
+
+
+_CORRECTED = ", ".join(f"'{k}': '{v}'" for k, v in titles.CORRECTIONS.items())
+_PROTECTED = ", ".join("'{}': '{}'".format(x.lower().replace("'", "''"), x.replace("'", "''")) for x in titles.PROTECTED)
+_SMALL_WORDS = ", ".join(f"'{w}'" for w in sorted(titles.STOPWORDS))
+
+
+def _spelled_sql(q: str, first: str) -> str:
+    """A title's word, or part of one, by the stated tables."""
+    key = f"regexp_replace(lower(strip_accents({q})), '[^a-z0-9]+', '', 'g')"
+    return f"""CASE WHEN MAP {{{_CORRECTED}}}[{key}] IS NOT NULL THEN MAP {{{_CORRECTED}}}[{key}] WHEN MAP {{{_PROTECTED}}}[lower({q})] IS NOT NULL THEN MAP {{{_PROTECTED}}}[lower({q})]
+  WHEN {q} IN ('&', '+', '/', 'P/') THEN {q} WHEN NOT {first} AND {key} IN ({_SMALL_WORDS}) THEN {key}
+  WHEN {q} = upper({q}) OR {q} = lower({q}) OR {q}[1] = upper({q}[1]) THEN upper({q}[1]) || lower({q}[2:]) ELSE {q} END"""
+
+
+_TITLED = "' - ' || p_name || ' | ' || p_type || ' N º ' || p_size || ' -acido / aHA''s ADN-HIALURONICO mcCoy/EL & ' || upper(p_name) || ' CON locion a-b  exos+ ' || p_brand || ' -'"
 
 
-@query("""SELECT p_partkey, upper(p_name[1]) || p_name[2:] AS lowered FROM (SELECT p_partkey, lower(split_part(p_name, ' ', 1)) AS p_name FROM part)""")
+@query(f"""WITH t AS (SELECT p_partkey, trim(regexp_replace(replace({_TITLED}, '|', ' '), '\\s+', ' ', 'g'), ' -') AS x FROM part),
+w AS (SELECT p_partkey, unnest(string_split(regexp_replace(x, '(?i)(^|{_NW})N\\s*[º°o]?\\s*([0-9]+)($|{_NW})', '\\1N°\\2\\3', 'g'), ' ')) AS word, generate_subscripts(string_split(regexp_replace(x, '(?i)(^|{_NW})N\\s*[º°o]?\\s*([0-9]+)($|{_NW})', '\\1N°\\2\\3', 'g'), ' '), 1) AS k FROM t),
+h AS (SELECT p_partkey, k, word, unnest(CASE WHEN starts_with(word, '-') THEN [word] ELSE string_split(word, '-') END) AS part, generate_subscripts(CASE WHEN starts_with(word, '-') THEN [word] ELSE string_split(word, '-') END, 1) AS i FROM w),
+s AS (SELECT p_partkey, k, i, unnest(CASE WHEN part = '/' THEN [part] ELSE string_split(part, '/') END) AS piece, generate_subscripts(CASE WHEN part = '/' THEN [part] ELSE string_split(part, '/') END, 1) AS j FROM h),
+p AS (SELECT p_partkey, k, i, string_agg({_spelled_sql('piece', '(k = 1 AND i = 1 AND j = 1)')}, '/' ORDER BY j) AS part FROM s GROUP BY ALL),
+words AS (SELECT p_partkey, k, string_agg(part, '-' ORDER BY i) AS word FROM p GROUP BY ALL)
+SELECT p_partkey, string_agg(word, ' ' ORDER BY k) AS title FROM words GROUP BY p_partkey""")
 def title_case(t):
-    """F-17, F-22: titles of product names (one word each here, so that SQL can follow)."""
-    return t("part").select("p_partkey", titles.title_case(F.upper(F.split("p_name", " ")[0])).alias("lowered"))
+    """F-17, F-22: titles of names that mix cases, marks, numbers, small words, compounds and entities."""
+    c = F.col
+    said = F.concat(F.lit(" - "), c("p_name"), F.lit(" | "), c("p_type"), F.lit(" N º "), c("p_size").cast("string"), F.lit(" -acido / aHA&#39;s ADN-HIALURONICO mcCoy/EL &amp; "), F.upper("p_name"), F.lit(" CON locion a-b  exos+ "), c("p_brand"), F.lit(" -"))
+    return t("part").select("p_partkey", titles.title_case(said).alias("title"))
 
 
-@query(None)
+def _without_sql(t: str, pattern: str) -> str:
+    return f"regexp_replace(regexp_replace({t}, '(?i)(^|{_NW})(?:{pattern})($|{_NW})', '\\1 \\2', 'g'), '(?i)(^|{_NW})(?:{pattern})($|{_NW})', '\\1 \\2', 'g')"
+
+
+_DESCRIBED = "text || chr(13) || chr(10) || 'vaya.' || chr(10) || ' ;- ' || chr(10) || 'guardado  guardar al FRÍO. absorVer a a la piel' || chr(10) || ' ' || chr(10) || 'VITAMINA E: AyUda a cuidar ono la piel. OCROJOJO; PRECIOS. Activos : ' || coalesce(lang, 'n') || 'Aa9 éL. ácido ' || chr(10) || chr(10) || 'TODO EN GRANDE!  sí' || chr(10) || 'aceite oil free.'"
+_OPENS = "|".join(sorted(titles.HEADINGS, key=len, reverse=True))
+
+
+@query(f"""WITH a AS (SELECT doc_id, regexp_replace(replace(replace({_DESCRIBED}, chr(160), ' '), 'ﬂ', 'fl'), '[ \\t]+', ' ', 'g') AS t FROM documents),
+b AS (SELECT doc_id, regexp_replace(regexp_replace(t, '\\r\\n?', chr(10), 'g'), '(?im)^\\s*(?:vaya|wyy|dy vena|sede lea paca)\\s*[.!,:;]?\\s*$', '', 'g') AS t FROM a),
+c AS (SELECT doc_id, regexp_replace(regexp_replace(t, '(?i)(^|{_NW})ocrojojo[,:;.!]?\\s*', '\\1 ', 'g'), '(?i)(^|{_NW})aono[,:;.!]?\\s*', '\\1 ', 'g') AS t FROM b),
+d AS (SELECT doc_id, {_without_sql(_without_sql(_without_sql(_without_sql('t', 'oil free'), 'free free'), 'ono'), 'precios')} AS t FROM c),
+e AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(t, '(?i)(^|{_NW})a\\s+a\\s+la\\s+piel($|{_NW})', '\\1a la piel\\2', 'g'), '(?i)(^|{_NW})absorver($|{_NW})', '\\1absorber\\2', 'g'), '(?im)^\\s*guardado\\s+(guardar)($|{_NW})', 'Guardado: \\1\\2', 'g') AS t FROM d),
+f AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(t, '(?im)^\\s*(?:almacenamiento|guardado)\\s*:\\s*$', '', 'g'), '(?im)^\\s*[.\\-,:;]+\\s*$', '', 'g'), '(?i)((?:{_OPENS})\\s*:)', chr(10) || chr(10) || '\\1', 'g') AS t FROM e),
+p AS (SELECT doc_id, unnest(string_split_regex(t, '\\n\\s*\\n+')) AS p, generate_subscripts(string_split_regex(t, '\\n\\s*\\n+'), 1) AS k FROM f),
+q AS (SELECT doc_id, k, CASE WHEN p = upper(p) AND p <> lower(p) AND length(p) > 2 THEN lower(p) ELSE p END AS p FROM (SELECT doc_id, k, trim(regexp_replace(p, '\\s+', ' ', 'g')) AS p FROM p) WHERE p <> ''),
+l AS (SELECT doc_id, k, p, CASE WHEN regexp_matches(p, '^[^:]{{2,}}:') AND upper(regexp_extract(p, '^[^:]+')) = regexp_extract(p, '^[^:]+') AND lower(regexp_extract(p, '^[^:]+')) <> regexp_extract(p, '^[^:]+') THEN length(regexp_extract(p, '^[^:]+')) ELSE 0 END AS n FROM q),
+r AS (SELECT doc_id, k, regexp_extract_all(lower(p[1:n]) || p[n + 1:], '{_W}+|{_NW}+') AS w FROM l),
+z AS (SELECT doc_id, k, list_transform(w, lambda x, i: CASE WHEN (i = 1 OR regexp_matches(w[i - 1], '[.!?]\\s+$')) AND regexp_matches(x, '^[a-záéíóúñ]') THEN upper(x[1]) || (CASE WHEN length(x) >= 3 AND regexp_matches(x, '{_W}') AND x <> upper(x) AND regexp_matches(x[2:], '\\p{{Lu}}') THEN lower(x[2:]) ELSE x[2:] END)
+  WHEN length(x) >= 3 AND regexp_matches(x, '{_W}') AND x <> upper(x) AND regexp_matches(x[2:], '\\p{{Lu}}') THEN upper(x[1]) || lower(x[2:]) ELSE x END) AS w FROM r)
+SELECT doc_id, string_agg(array_to_string(w, ''), chr(10) || chr(10) ORDER BY k) AS description FROM z GROUP BY doc_id""")
 def description_format(t):
-    """F-18: paragraphs and sentence case."""
-    return t("documents").select("doc_id", titles.format_description(F.col("text")).alias("description"))
+    """F-18: whole texts with what scanning leaves in them: badges, orphan lines, shouted labels, mixed words, section names."""
+    lines = ("vaya.", " ;- ", "guardado  guardar al FRÍO. absorVer a a la piel", " ", "VITAMINA E: AyUda a cuidar ono la piel. OCROJOJO; PRECIOS. Activos : ")
+    said = F.concat("text", F.lit("\r\n" + "\n".join(lines)), F.coalesce("lang", F.lit("n")), F.lit("Aa9 éL. ácido \n\nTODO EN GRANDE!  sí\naceite oil free."))
+    return t("documents").select("doc_id", titles.format_description(said).alias("description"))
 
 
 @query("SELECT p_partkey, p_brand || '-' || lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') AS sku, p_brand || '-' || lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') || '-V' || lpad(CAST(p_size AS VARCHAR), 2, '0') AS variant_sku FROM (SELECT p_partkey, p_size, upper(replace(replace(p_brand, '#', ''), ' ', '')) AS p_brand FROM part)")
@@ -286,15 +359,27 @@ def referential_checks(t):
 
 # ---- descriptions
 
-_W = "[\\p{L}\\p{N}_]"
-_NOISE_SQL = " OR ".join(f"regexp_matches(lower(c), '(^|[^\\p{{L}}\\p{{N}}_]){x}($|[^\\p{{L}}\\p{{N}}_])')" for x in (y.replace("+", "\\+") for y in quality.NOISE))
+_NOISE_SQL = "|".join(x.replace("+", "\\+") for x in quality.NOISE)
 _QUALITY = f"""q AS (SELECT *, list_filter([
-  CASE WHEN length(c) = 0 THEN 'empty' WHEN length(c) < 40 THEN 'too_short' END, CASE WHEN regexp_matches(c, '[ÃÂ�]') THEN 'mojibake' END, CASE WHEN {_NOISE_SQL} THEN 'ocr_noise_tokens' END,
+  CASE WHEN length(c) = 0 THEN 'empty' WHEN length(c) < 40 THEN 'too_short' END, CASE WHEN regexp_matches(c, '[ÃÂ�]') THEN 'mojibake' END,
+  CASE WHEN regexp_matches(lower(c), '(^|{_NW})({_NOISE_SQL})($|{_NW})') THEN 'ocr_noise_tokens' END,
   CASE WHEN list_bool_or(list_transform(range(1, len(w)), lambda i: regexp_extract(lower(w[i]), '{_W}+$') <> '' AND regexp_extract(lower(w[i]), '{_W}+$') = regexp_extract(lower(w[i+1]), '^{_W}+'))) THEN 'repeated_words' END,
-  CASE WHEN regexp_matches(c, '{_W}-\\s+\\p{{L}}') THEN 'split_word' END, CASE WHEN regexp_matches(c, '\\p{{Ll}}+\\p{{Lu}}\\p{{Ll}}+') THEN 'mixed_case_word' END,
+  CASE WHEN regexp_matches(lower(c), '{_W}-\\s+[a-záéíóúñ]') THEN 'split_word' END,
+  CASE WHEN regexp_matches(c, '(^|{_NW})[a-záéíóúñü]+[A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+($|{_NW})') THEN 'mixed_case_word' END,
   CASE WHEN length(c) >= 40 AND NOT regexp_matches(c, '[.!?]') AND NOT contains(text, chr(10)) THEN 'no_sentence_structure' END], lambda x: x IS NOT NULL) AS f
-  FROM (SELECT *, string_split(c, ' ') AS w FROM (SELECT doc_id, source, text, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS c FROM documents))),
+  FROM (SELECT *, string_split(c, ' ') AS w FROM (SELECT *, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS c FROM {{source}}))),
 s AS (SELECT *, CASE WHEN len(f) = 0 THEN 'pass' WHEN list_contains(f, 'empty') OR list_contains(f, 'mojibake') THEN 'quarantine' ELSE 'reconstruct' END AS status, greatest(0, 100 - 18 * len(f)) AS score FROM q)"""
+_MIXED_DOCS = "(SELECT doc_id, source, CASE doc_id % 5 WHEN 0 THEN text || ' El equipo LaserLab es nuevo.' WHEN 1 THEN text || ' cuiDado facial' WHEN 2 THEN text || ' hidra- tante' WHEN 3 THEN text || ' FREE  free' ELSE text END AS text FROM documents)"
+_DAMAGED, _QUALITY = (_QUALITY.replace("{source}", x) for x in (_MIXED_DOCS, "documents"))
+
+
+@query(f"WITH {_DAMAGED} SELECT doc_id, array_to_string(f, ',') AS flags, status, CAST(score AS INTEGER) AS score FROM s")
+def description_defects(t):
+    """F-25: texts with one defect or look-alike more: a product's name inside which capitals are sound, a word of mixed case, a split word, noise."""
+    tails = (" El equipo LaserLab es nuevo.", " cuiDado facial", " hidra- tante", " FREE  free", "")
+    tail = F.element_at(F.array(*map(F.lit, tails)), (F.pmod("doc_id", F.lit(5)) + 1).cast("int"))
+    docs = t("documents").withColumn("text", F.concat("text", tail))
+    return quality.assess(docs, "text").select("doc_id", F.array_join("flags", ",").alias("flags"), "status", F.col("score").cast("int").alias("score"))
 
 
 @query(f"WITH {_QUALITY} SELECT doc_id, array_to_string(f, ',') AS flags, status, CAST(score AS INTEGER) AS score FROM s")
@@ -711,14 +796,61 @@ def jsonl_projection(t):
     return t("part").select("p_partkey", json_line({"sku": F.col("p_partkey").cast("string"), "brand": F.col("p_brand"), "price": F.col("p_retailprice").cast("decimal(18,2)")}).alias("line"))
 
 
-@query(None)
+_PAGES = """SELECT 'hoja-' || (p_partkey // 2) AS source_file, CAST(1 + p_partkey % 2 AS INTEGER) AS nth, 'P-' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS sku,
+  'Crema ' || array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS name,
+  CASE WHEN p_size % 7 = 0 THEN 'Breve.' ELSE 'Mascarilla facial que hidrata y mejora la luminosidad, paso ' || p_size || '.' END AS description,
+  regexp_replace(rtrim(CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR), '0'), '\\.$', '') AS price, CASE WHEN p_size % 2 = 0 THEN 'variable' ELSE 'simple' END AS kind,
+  p_size % 5 = 0 AS low, p_size % 7 = 0 AS short, p_size FROM part"""
+
+
+def _pages(t) -> DataFrame:
+    """Two products a page, one under the other, as blocks with boxes."""
+    c = F.col
+    size = c("p_size").cast("string")
+    said = (
+        (10, 25, F.concat(F.lit("Código: P-"), F.lpad(c("p_partkey").cast("string"), 6, "0"))),
+        (30, 62, F.concat(F.lit("CREMA "), F.upper("p_name"))),
+        (70, 85, F.lit("Descripción")),
+        (90, 105, F.when(c("p_size") % 7 == 0, "breve.").otherwise(F.concat(F.lit("Mascarilla facial que hidrata y mejora\nla luminosidad, paso "), size, F.lit(".")))),
+        (120, 135, F.concat(F.lit("Precio: Bs "), c("p_retailprice").cast("decimal(18,2)").cast("string"))),
+        (150, 165, F.when(c("p_size") % 2 == 0, F.concat(F.lit("Presentaciones: 500 ml y "), size, F.lit(" grs"))).otherwise("Presentación: 500 ml")),
+        (170, 185, F.lit("Modo de uso: aplicar sobre la piel limpia.")),
+    )
+    down = (F.pmod("p_partkey", F.lit(2)) * 400).cast("double")
+    blocks_ = F.array(*[F.struct(F.format_string(f"%d-{i}", c("p_partkey")).alias("block_id"), x.alias("text"), F.array(F.lit(10.0), down + top, F.lit(400.0), down + bottom).alias("bbox")) for i, (top, bottom, x) in enumerate(said)])
+    page = F.concat(F.lit("hoja-"), F.floor(c("p_partkey") / 2).cast("string"))
+    confidence = F.when(c("p_size") % 5 == 0, 0.4).otherwise(0.9).alias("confidence")
+    return t("part").select(page.alias("source_file"), F.lit(1).alias("page_number"), F.lit(1000.0).alias("width"), confidence, F.explode(blocks_).alias("b")).select("source_file", "page_number", "width", "confidence", "b.*")
+
+
+@query(f"""SELECT source_file, CAST(row_number() OVER (PARTITION BY source_file ORDER BY nth) AS INTEGER) AS card, sku, name, description, price, kind,
+  array_to_string(list_filter([CASE WHEN low THEN 'low_confidence' END, CASE WHEN short THEN 'description_quality' END], lambda x: x IS NOT NULL), ',') AS issues, CAST(7 AS INTEGER) AS n_blocks FROM ({_PAGES})""")
 def document_cards(t):
-    """C-03, C-04, C-15, W-06, W-10, W-11: lines of pages to product cards with names, prices and sizes."""
-    from ..operators.cards import cards
+    """C-03, C-15, W-06, W-11, F-22, P-12, V-08, V-09: blocks of pages to product cards with name, description, price, kind and issues."""
+    from ..operators import cards
+
+    found = cards.with_issues(cards.cards(cards.lines_of(_pages(t))), gate=True)
+    return found.select("source_file", "card", "sku", "name", "description", "price", "kind", F.array_join("issues", ",").alias("issues"), F.size("block_ids").alias("n_blocks"))
+
+
+@query(f"""SELECT source_file, sku AS sku_producto, unnest(['500 ml', p_size || ' grs']) AS presentation, CAST(100 * card + unnest([1, 2]) AS INTEGER) AS row_number
+FROM (SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY nth) AS card FROM ({_PAGES})) WHERE kind = 'variable'""")
+def card_variants(t):
+    """C-15, A-05: a row a size of the cards that name several."""
+    from ..operators import cards
+
+    found = cards.variants(cards.cards(cards.lines_of(_pages(t))))
+    return found.select("source_file", "sku_producto", F.col("atributos")["presentacion"].alias("presentation"), "row_number")
+
+
+@query(f"SELECT DISTINCT source_file, 'no_product_cards_detected' AS issue FROM ({_PAGES}) WHERE source_file NOT IN (SELECT source_file FROM ({_PAGES}) WHERE NOT short)")
+def files_without_cards(t):
+    """V-10: files in which no card was found (products with a short description have no legible block here)."""
+    from ..operators import cards
 
-    lines = t("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "text")).where("trim(text) <> ''")
-    placed = lines.select(F.col("doc_id").cast("string").alias("source_file"), F.lit(1).alias("page_number"), F.lit(100.0).alias("width"), F.concat(F.lit("b"), "i").alias("block_id"), "text", F.lit(0.0).alias("x0"), (F.col("i") * 30).cast("double").alias("y0"), F.lit(90.0).alias("x1"), (F.col("i") * 30 + 20).cast("double").alias("y1"), F.lit(0.9).alias("confidence"))
-    return cards(placed).select("source_file", "card", "name", "price", "kind", F.size("block_ids").alias("n_blocks"))
+    legible = F.first(F.when(F.col("text") == "breve.", F.lit(True)), ignorenulls=True).over(Window.partitionBy(F.substring_index("block_id", "-", 1))).isNull()
+    seen = _pages(t).withColumn("ok", legible).withColumn("text", F.when(F.col("ok"), F.col("text")).otherwise(" "))
+    return cards.nothing_found(seen, cards.cards(cards.lines_of(seen)))
 
 
 @query("SELECT time_bucket(INTERVAL '10 minutes', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from saltmarsh.functions import parse, presentation, text, titles
+from saltmarsh.operators import quality
 
 
 def column(spark, values, build):
@@ -67,11 +68,38 @@ def test_number_text(spark):
 
 
 def test_presentations(spark):
-    got = column(spark, ["Crema 250 GRS", "Crema 1,5 kg", "Crema x 3", "Crema", "500ml."], presentation.signature)
-    assert [(g.quantity, g.unit) if g else None for g in got] == [("250", "g"), ("1.5", "kg"), ("3", ""), None, ("500", "ml")]
+    got = column(spark, ["Crema 250 GRS", "Crema 1,5 kg", "Crema x 3", "Crema", "500ml.", "50 grs.", "12 Unidades"], presentation.signature)
+    assert [(g.quantity, g.unit) if g else None for g in got] == [("250", "g"), ("1.5", "kg"), ("3", ""), None, None, None, ("12", "u")]
+    assert column(spark, ["KGS", "Frascos", None], presentation.unit) == ["kg", "frascos", ""]
+    kept = column(spark, ["Crema 50 Bs facial", "Bs 50 y 20 ml , fin", "a&nbsp;b&amp;c"], presentation.clean_fragment)
+    assert kept == ["Crema facial", "Bs 50 y, fin", "a b&c"]
+    df = spark.sql("SELECT map('color', 'x', 'Volumen', '50 ml') AS a, map('presentation', '1 l') AS b, map('contenido', '1') AS c")
+    assert tuple(df.select(*[presentation.from_attributes(F.col(c)) for c in "abc"]).first()) == ("50 ml", "1 l", None)
+
+
+def test_entities(spark):
+    assert column(spark, ["a &amp; b &lt;c&gt; &eacute; &#233;&#xe9; &amp;lt; & &x; AT&T;", "none"], text.unescape) == ["a & b <c> é éé &lt; & &x; AT&T;", "none"]
 
 
 def test_titles():
-    assert titles.title_text("ACIDO HIALURONICO CON ADN nº 3") == "Ácido Hialurónico con ADN N° 3"
-    assert titles.title_text(None) is None
-    assert titles.description_text("hola , mundo..  otra frase\n\nfin") == "Hola, mundo. Otra frase\n\nFin"
+    assert titles.title_text("therapy n°3 acido hialuronico") == "Therapy N°3 Ácido Hialurónico"
+    assert titles.title_text("blend AHA's tca 20%") == "Blend AHA's TCA 20%"
+    assert titles.title_text("- CREMA|N 12 -acido EXOS+ mcCoy de la-piel") == "Crema N°12 Ácido EXOS+ mcCoy de la-Piel"
+    assert titles.title_text("cafÃ© &amp; te") == "Café & Te"
+    assert titles.title_text(None) is None and titles.title_text("") == ""
+
+
+def test_descriptions():
+    assert titles.description_text("texto inicial. segundo punto. Activos: vitamina C.") == "Texto inicial. Segundo punto.\n\nActivos: vitamina C."
+    assert titles.description_text("VITAMINA E: AyUda a cuidar la piel.") == "Vitamina e: Ayuda a cuidar la piel."
+    assert titles.description_text("Texto inicial. OCROJOJO. PRECIOS\n\nODO TIPO DE PIEL.\n\nTodo tipo de piel.") == "Texto inicial.\n\nTodo tipo de piel."
+    assert titles.description_text("Guardado guardar en frío") == "Guardado: guardar en frío"
+    assert titles.description_text(None) is None
+
+
+def test_look_alikes_of_defects(spark):
+    sound = "El equipo LaserLab trabaja bien. Nada que corregir aquí."
+    cases = [(sound, []), (sound + " hidra- tante", ["split_word"]), (sound + " hidra- ξ", []), (sound + " cuiDado", ["mixed_case_word"]), (sound + " La la.", ["repeated_words"]), (sound + " reescribir", []), (sound + " ree", ["ocr_noise_tokens"])]
+    got = quality.assess(spark.createDataFrame([(t,) for t, _ in cases], "t string"), "t").collect()
+    assert [r.flags for r in got] == [f for _, f in cases]
+    assert got[0].status == "pass" and got[1].status == "reconstruct"

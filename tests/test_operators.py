@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,29 +107,100 @@ def test_quality(spark):
     assert got[4][1] == "quarantine" and "mojibake" in got[5][0]
 
 
-def _lines(*texts, gap=5.0):
-    out, y = [], 0.0
-    for i, t in enumerate(texts):
-        if t is None:
-            y += 60
-            continue
-        out.append({"text": t, "x0": 0.0, "y0": y, "x1": 50.0, "y1": y + 20, "block_id": f"b{i}", "confidence": 0.9, "width": 100.0})
-        y += 20 + gap
-    return out
+def _line(block_id, text, box, confidence=1.0):
+    return [cards.Line(x, block_id, box, confidence) for x in text.split("\n")]
+
+
+def _cards(*blocks_, **options):
+    found = cards.split_cards([x for b in blocks_ for x in _line(*b)], **options)
+    return [cards.read_card(c, i + 1) for i, c in enumerate(found)]
 
 
 def test_two_cards():
-    lines = _lines("Código: PR-001", "Máscara Facial", "Precio: Bs 50", "Presentaciones: 250grs y 500grs", None, "Código: PR-002", "Tónico", "Precio: 30")
-    found = [cards.read_card(c, i + 1) for i, c in enumerate(cards.split_cards(lines))]
-    assert [(c["sku"], c["name"], c["price"], c["kind"]) for c in found] == [("PR-001", "Máscara Facial", "50", "variable"), ("PR-002", "Tónico", "30", "simple")]
-    assert found[0]["presentations"] == ["250grs", "500grs"] and not found[0]["issues"]
-    low = cards.read_card([x | {"confidence": 0.4} for x in lines[:3]], 1)
-    assert low["issues"] == ["low_confidence"]
+    a, b = _cards(
+        ("b1", "Código: PR-001", (10, 10, 300, 25)),
+        ("b2", "Crema hidratante", (10, 30, 300, 45)),
+        ("b3", "Precio: Bs 89,90", (10, 50, 300, 65)),
+        ("b4", "variante: color=rojo;talla=M", (10, 70, 300, 85)),
+        ("b5", "Código: PR-002", (10, 160, 300, 175)),
+        ("b6", "Protector solar", (10, 180, 300, 195)),
+        ("b7", "Precio: 125.50", (10, 200, 300, 215)),
+    )
+    assert (a["sku"], a["kind"], a["price"], a["block_ids"]) == ("PR-001", "variable", "89.9", ["b1", "b2", "b3", "b4"])
+    assert [v["attributes"] for v in a["variants"]] == [{"color": "rojo", "talla": "M"}]
+    assert (b["sku"], b["kind"], b["price"]) == ("PR-002", "simple", "125.5")
+
+
+def test_a_sheet_with_sizes():
+    (c,) = _cards(
+        ("b1", "Hidratación inteligente y profunda.", (10, 10, 300, 20), 0.95),
+        ("b2", "Máscara\nHidratante", (10, 30, 300, 70), 0.95),
+        ("b3", "Presentaciones: 250grs y 500grs", (10, 80, 300, 95), 0.95),
+    )
+    assert c["name"] == "Máscara Hidratante" and c["kind"] == "variable"
+    assert [v["attributes"] for v in c["variants"]] == [{"presentacion": "250grs"}, {"presentacion": "500grs"}]
+
+
+def test_name_and_description_apart():
+    (c,) = _cards(
+        ("b1", "MÁSCARA DE LIMÓN", (10, 10, 400, 40)),
+        ("b2", "Descripción", (10, 60, 300, 75)),
+        ("b3", "Mascarilla facial que hidrata y mejora la luminosidad.", (10, 80, 500, 100)),
+        ("b4", "Presentaciones: 50 ml y 100 ml", (10, 120, 350, 135)),
+        ("b5", "Modo de uso: Aplicar sobre la piel limpia.", (10, 150, 400, 165)),
+    )
+    assert (c["name"], c["description"]) == ("Máscara de Limón", "Mascarilla facial que hidrata y mejora la luminosidad.")
+    assert json.loads(c["name_evidence"])["block_ids"] == ["b1"] and json.loads(c["description_evidence"])["block_ids"] == ["b3"]
+
+
+def test_parallel_columns():
+    (c,) = _cards(
+        ("title", "Aceite de Limpieza", (100, 10, 450, 40)),
+        ("left1", "Nuestro aceite limpia, suaviza y protege la piel.", (70, 90, 500, 112)),
+        ("left2", "¿Por qué elegirlo?", (70, 140, 400, 162)),
+        ("left3", "Contiene aceites cuidadosamente seleccionados.", (70, 170, 500, 192)),
+        ("right1", "¿Cómo se utiliza?", (560, 95, 900, 117)),
+        ("right2", "Aplica la cantidad necesaria sobre el rostro seco.", (560, 130, 980, 152)),
+        ("right3", "Retira con abundante agua templada.", (560, 165, 900, 187)),
+        ("badge", "FRAGANCE FREE", (70, 220, 300, 238)),
+        gap=90.0,
+    )
+    text = c["description"]
+    assert text.index("Nuestro") < text.index("¿Cómo") and "FRAGANCE" not in text and "\n\n" in text
+
+
+def test_callouts_below():
+    found = _cards(
+        ("title", "Máscara Iluminadora", (320, 110, 520, 180)),
+        ("body", "Descripción principal legible.", (75, 330, 300, 345)),
+        ("w", "ADVERTENCIAS:", (75, 700, 150, 715)),
+        ("wt", "Uso externo.", (75, 725, 150, 740)),
+        ("s", "SENSIBILIDAD:", (210, 700, 300, 715)),
+        ("st", "Suspender si irrita.", (210, 725, 320, 740)),
+        ("p", "PROTECCIÓN SOLAR:", (345, 700, 450, 715)),
+        ("pt", "Usar protector.", (345, 725, 460, 740)),
+        ("g", "GUARDADO:", (480, 700, 550, 715)),
+        ("gt", "Lugar fresco.", (480, 725, 570, 740)),
+    )
+    assert len(found) == 1
+    text = found[0]["description"]
+    at = [text.index(x) for x in ("Uso externo", "Suspender", "Usar protector", "Lugar fresco")]
+    assert at == sorted(at) and "Usar protector Suspender" not in text
+
+
+def test_titles_go_on_from_the_line_above():
+    lines = [x for b in (("a", "BOOSTER", (10, 10, 200, 40)), ("b", "VITAMINA FORTE", (10, 50, 300, 80)), ("c", "texto corrido, nada más", (10, 200, 300, 212))) for x in _line(*b)]
+    assert cards._goes_on(lines, 1) and not cards._goes_on(lines, 2)
+    assert cards.name_text("serum n°3 ADN de la-piel") == "Serum N°3 ADN de la-Piel"
+    assert cards.select_name([]) == (None, -1, -1)
 
 
 def test_cards_of_pages(spark):
-    rows = [("f", 1, x["width"], x["block_id"], x["text"], x["x0"], x["y0"], x["x1"], x["y1"], x["confidence"]) for x in _lines("Código: A-1", "Crema Azul", "Precio: 9")]
-    df = spark.createDataFrame(rows, "source_file string, page_number int, width double, block_id string, text string, x0 double, y0 double, x1 double, y1 double, confidence double")
-    (c,) = cards.cards(df).collect()
-    assert (c.sku, c.name, c.price, c.block_ids) == ("A-1", "Crema Azul", "9", ["b0", "b1", "b2"])
-    assert cards.cards(df.limit(0)).count() == 0
+    rows = [("f", 1, 1000.0, "b0", "Código: A-123", [0.0, 0.0, 50.0, 20.0], 0.4), ("f", 1, 1000.0, "b1", "Crema\nAzul", [0.0, 25.0, 50.0, 60.0], 0.4), ("f", 1, 1000.0, "b2", "Precio: 9", [0.0, 65.0, 50.0, 80.0], None), ("g", 1, None, "b0", " ", None, None)]
+    blocks_ = spark.createDataFrame(rows, "source_file string, page_number int, width double, block_id string, text string, bbox array<double>, confidence double")
+    lines = cards.lines_of(blocks_)
+    found = cards.with_issues(cards.cards(lines))
+    (c,) = found.collect()
+    assert (c.sku, c.name, c.price, c.block_ids, c.issues) == ("A-123", "Crema Azul", "9", ["b0", "b1", "b2"], ["low_confidence"])
+    assert cards.cards(lines.limit(0)).count() == 0
+    assert [r.source_file for r in cards.nothing_found(blocks_, found).collect()] == ["g"]
