@@ -31,4 +31,6 @@ def components(links: DataFrame) -> DataFrame:
         release(spark, [now, low])
         now = after
     release(spark, [both])
-    return now.select("node", F.col("next").alias("component"))
+    out = now.select("node", F.col("next").alias("component"))
+    out.stored_at = now.stored_at
+    return out

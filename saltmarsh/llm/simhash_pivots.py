@@ -55,8 +55,8 @@ SLOT, WIDE_SLOT = 65_536, 8_192
 SAMPLED, TASK_ROWS, WIDE_ROWS = 64, 1_000_000, 200_000
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _BLOCK = 1 << 15
-#: Documents in each of the two sides of a block whose shingle sets are compared in one place.
-SIDE, LEAST_SIDES = 4000, 8
+#: Hashes of a cluster's shingle sets that one place holds (twice, where two slots of a cluster meet): 16 MB.
+GROUP_HASHES = 2_000_000
 
 
 def shingle_hashes(text: str, size: int) -> np.ndarray:
@@ -97,18 +97,22 @@ def simhash(hashes: np.ndarray, bits: int = 64) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int, bits: int = 64, text: str = "text", distinct: bool = False) -> DataFrame:
-    """(doc_id, fp): fp is a long of 64 bits, or binary where there are more; of each text's distinct shingles if asked for."""
+    """(doc_id, fp, size): fp is a long of 64 bits, or binary where there are more; size is the number of shingles, of distinct ones if asked for."""
     ship_package(docs.sparkSession)
     hashes = distinct_hashes if distinct else shingle_hashes
     kind = pa.int64() if bits == 64 else pa.binary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [simhash(hashes(t or "", shingle), bits) for t in batch.column(1).to_pylist()]
-            fps = [int(f.view(np.int64)[0]) for f in made] if bits == 64 else [f.tobytes() for f in made]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, kind)], names=["doc_id", "fp"])
+            fps, sizes = [], []
+            for t in batch.column(1).to_pylist():
+                found = hashes(t or "", shingle)
+                fp = simhash(found, bits)
+                fps.append(int(fp.view(np.int64)[0]) if bits == 64 else fp.tobytes())
+                sizes.append(len(found))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, kind), pa.array(sizes, pa.int32())], names=["doc_id", "fp", "size"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col(text)).mapInArrow(lean(run), f"doc_id long, fp {'long' if bits == 64 else 'binary'}")
+    return docs.select(F.col("doc_id").cast("long"), F.col(text)).mapInArrow(lean(run), f"doc_id long, fp {'long' if bits == 64 else 'binary'}, size int")
 
 
 def references(n: int, words: int = 1) -> np.ndarray:
@@ -302,14 +306,14 @@ def _assign(fps: DataFrame, folded: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _folded(fps: DataFrame) -> DataFrame:
-    """One node a distinct fingerprint: its least document."""
-    return stored(fps.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-nodes")
+    """One node a distinct fingerprint: its least document, and the most shingles of any."""
+    return stored(fps.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("node"), F.max("size").alias("size")), "simhash-nodes")
 
 
 def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3, text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id): links of at most ``radius`` bits between 64-bit fingerprints, all of them."""
-    fps = stored(fingerprints(docs, shingle, 64, text), "simhash")
-    folded = _folded(fps)
+    fps = stored(fingerprints(docs, shingle, 64, text).drop("size"), "simhash")
+    folded = _folded(fps.withColumn("size", F.lit(0)))
     return _assign(fps, folded, link_fingerprints(folded, radius))
 
 
@@ -318,83 +322,99 @@ def angle(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def unjoined_pairs(key: np.ndarray, label: np.ndarray, fps: np.ndarray, radius: int, loose: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All positions (a, b) of equal key, other label and at most ``radius`` bits between them (``loose`` in the first 64).
+def joining_pairs(key: np.ndarray, label: np.ndarray, fps: np.ndarray, radius: int, loose: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions (a, b) of equal key and at most ``radius`` bits between them (``loose`` in the first 64) that join all labels which such pairs join.
 
-    Rows are sorted by key; fps has a row of words each.
+    All pairs of a key whose labels are not joined yet are compared; a pair that joins nothing new is not told. Rows are
+    sorted by key; fps has a row of words each.
     """
     if not len(key):
         return
-    head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    head, size = runs_of(key)
     mixed = np.minimum.reduceat(label, head) != np.maximum.reduceat(label, head)
-    left, step = np.flatnonzero(np.repeat(mixed, np.diff(np.r_[head, len(key)]))), 0
+    label = np.unique(label, return_inverse=True)[1].ravel()
+    forest = _Forest(int(label.max()) + 1)
+    left, step = np.flatnonzero(np.repeat(mixed, size)), 0
     while len(left):
         step += 1
         left = left[left + step < len(key)]
         left = left[key[left] == key[left + step]]
         for part in np.array_split(left, max(1, len(left) // 500_000)):
-            a = part[label[part] != label[part + step]]
+            a = part[forest.roots(label[part]) != forest.roots(label[part + step])]
             a = a[np.bitwise_count(fps[a, 0] ^ fps[a + step, 0]) <= loose]
             a = a[np.bitwise_count(fps[a] ^ fps[a + step]).sum(axis=1) <= radius]
             if len(a):
+                a = a[forest.join(label[a], label[a + step])]
                 yield a, a + step
 
 
-def jaccard_links(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float, text: str = "text") -> DataFrame:
-    """Links (a, b) among pairs (a, b) of ids whose sets of distinct shingles are alike: Jaccard at or above ``similarity``.
+def alike_links(members: DataFrame, docs: DataFrame, shingle: int, similarity: float, radius: int, bits: int, text: str = "text", hashes: int = GROUP_HASHES) -> DataFrame:
+    """Links (a, b) that join the members of each cluster whose sets of distinct shingles are alike: Jaccard ``similarity`` or more.
 
-    A pair that links found before in the same place join already is not compared. Ids are dealt to sides and a pair to the
-    block of its two sides, so a text travels once a block that needs it, however many pairs it is in.
+    members: (node, cluster, fp, size). All pairs of a cluster within ``radius`` bits that links have not joined yet are
+    compared by their sets, in the place where the cluster's texts are; no pair is ever a row. A cluster whose sets hold more
+    than ``hashes`` hashes in all is dealt to slots, and each pair of slots meets in a task of its own.
     """
     ship_package(docs.sparkSession)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sides = max(LEAST_SIDES, math.ceil(ends.count() / SIDE))
-    side_a, side_b = (F.pmod(F.xxhash64(c), F.lit(sides)) for c in ("a", "b"))
-    placed = pairs.select((F.least(side_a, side_b) * sides + F.greatest(side_a, side_b)).alias("block"), "a", "b")
-    needed = placed.select(F.explode(F.array("a", "b")).alias("node"), "block").groupBy("node").agg(F.collect_set("block").alias("blocks"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("a"), F.coalesce(text, F.lit("")).alias("body")).join(bounded_broadcast(stored(needed, "simhash-needed")), F.col("a") == F.col("node"))
-    texts = texts.select(F.explode("blocks").alias("block"), "a", F.lit(None).cast("long").alias("b"), "body")
-    rows = texts.unionByName(placed.withColumn("body", F.lit(None).cast("string"))).repartition("block").sortWithinPartitions("block", F.col("b").isNotNull())
+    words = bits // 64
+    sizes = members.groupBy(F.col("cluster").alias("_c")).agg(F.ceil(F.sum(F.col("size") + 1) / hashes).alias("slots"), F.count("*").alias("_n")).where("_n > 1")
+    slots = F.col("slots")
+    own = F.pmod(F.xxhash64("node", F.lit(2)), slots)
+    places = F.transform(F.sequence(F.lit(0).cast("long"), slots - 1), lambda j: F.least(own, j) * slots + F.greatest(own, j))
+    put = members.join(sizes, F.col("cluster") == F.col("_c")).select("node", "cluster", "fp", own.alias("own"), places.alias("places"))
+    put = stored(put, "simhash-members")
+    bodies = docs.select(F.col("doc_id").cast("long").alias("_d"), F.coalesce(text, F.lit("")).alias("body"))
+    rows = bodies.join(bounded_broadcast(put), F.col("_d") == F.col("node")).select("cluster", F.explode("places").alias("place"), "own", "node", "fp", "body")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, sets, root = None, {}, {}
-
-        def find(x: int) -> int:
-            while (up := root.setdefault(x, x)) != x:
-                root[x] = x = root.setdefault(up, up)
-            return x
-
-        def alike(x: np.ndarray, y: np.ndarray) -> bool:
-            if min(len(x), len(y)) < similarity * max(len(x), len(y)) - 1e-9:
-                return False
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            return both > 0 and both >= similarity * (len(x) + len(y) - both) - 1e-9
-
+        now, held = None, []  # one cluster's place at a time
         for batch in batches:
-            made: list[tuple[int, int]] = []
-            for block, a, b, body in zip(*(c.to_pylist() for c in batch.columns)):
-                if block != now:
-                    now, sets, root = block, {}, {}
-                if b is None:
-                    sets.setdefault(a, {})[xxhash.xxh3_128_digest(body)] = distinct_hashes(body, shingle)
-                elif (i := find(a)) != (j := find(b)) and any(alike(x, y) for x in sets[a].values() for y in sets[b].values()):
-                    root[max(i, j)] = min(i, j)
-                    made.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], pa.int64()) for i in range(2)], names=["a", "b"])
-
-    return rows.mapInArrow(lean(linked), "a long, b long")
+            for cluster, place, own_, node, fp, body in zip(*(c.to_pylist() for c in batch.columns)):
+                if (cluster, place) != now:
+                    if len(held) > 1:
+                        yield links(held)
+                    now, held = (cluster, place), []
+                held.append((node, own_, fp, distinct_hashes(body, shingle)))
+        if len(held) > 1:
+            yield links(held)
+
+    def alike(x: np.ndarray, y: np.ndarray) -> bool:
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return both > 0 and both >= similarity * (len(x) + len(y) - both) - 1e-9
+
+    def links(held: list[tuple]) -> pa.RecordBatch:
+        held.sort(key=lambda h: h[0])
+        node, own_ = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.int64)
+        fps = np.frombuffer(b"".join(h[2] for h in held), np.uint64).reshape(-1, words)
+        size, sets = np.array([len(h[3]) for h in held]), [h[3] for h in held]
+        across = len(set(own_.tolist())) > 1  # pairs of one slot meet where it is alone
+        forest, made = _Forest(len(held)), []
+        for i in range(len(held) - 1):
+            j = np.arange(i + 1, len(held))
+            if across:
+                j = j[own_[j] != own_[i]]
+            j = j[(node[j] != node[i]) & (np.minimum(size[j], size[i]) >= similarity * np.maximum(size[j], size[i]) - 1e-9)]
+            j = j[forest.roots(j) != forest.roots(np.array([i]))]
+            j = j[np.bitwise_count(fps[j] ^ fps[i]).sum(axis=1) <= radius]
+            for k in j.tolist():
+                if forest.roots(np.array([k]))[0] != forest.roots(np.array([i]))[0] and alike(sets[i], sets[k]):
+                    forest.join(np.array([i]), np.array([k]))
+                    made.append((i, k))
+        return pa.RecordBatch.from_arrays([pa.array([node[m[x]] for m in made], pa.int64()) for x in range(2)], names=["a", "b"])
+
+    return rows.repartition("cluster", "place").sortWithinPartitions("cluster", "place").mapInArrow(lean(linked), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bits: int = 512, recall: float = 0.98, text: str = "text", slot: int = WIDE_SLOT) -> DataFrame:
     """(doc_id, fp, component_id): links between documents whose sets of distinct shingles are alike, Jaccard ``similarity`` or more.
 
-    A pair at exactly that similarity meets in some bucket with probability ``recall``, whatever the number of documents,
-    and all pairs that meet are compared or joined already. The first round is quick: each member meets the ``CENTERS``
-    least ones of its bucket up to the first that is near by 64 bits, then the one before it; links whose shingle sets
-    are alike give groups. The second compares in full all members of a bucket that are not of one group yet, so its pairs
-    are few where the first has joined a bucket of copies. Candidates pass up to the expected distance of all bits plus 3
-    standard errors; then their shingle sets are compared, so no link is below ``similarity``. Groups are made of chains of
-    links: two members of one need not be alike.
+    A pair at exactly that similarity meets in some bucket with probability ``recall``, whatever the number of documents.
+    Clusters are made of all pairs that meet and are within a radius, the expected distance of all bits plus 3 standard
+    errors: a first, quick round compares each member with the ``CENTERS`` least ones of its bucket up to the first that is
+    near by 64 bits and with the one before it; a second compares in full all members of a bucket that are not of one
+    cluster yet. Both tell what joins clusters only, so their rows follow the members, never the pairs. Inside a cluster the
+    sets of shingles decide, so no link is below ``similarity``. Groups are made of chains of links: two members of one need
+    not be alike.
     """
     fps = stored(fingerprints(docs, shingle, bits, text, distinct=True), "simhash-wide")
     folded = _folded(fps)
@@ -455,7 +475,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
         key, fps = one_key(key, place), np.concatenate([p[1] for p in parts])
         order = np.argsort(key, kind="stable")
         key, node, label, fps = key[order], node[order], label[order], fps[order]
-        for a, b in unjoined_pairs(key, label, fps, radius, loose):
+        for a, b in joining_pairs(key, label, fps, radius, loose):
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[a], node[b])), pa.array(np.maximum(node[a], node[b]))], names=["a", "b"])
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -476,16 +496,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     both = pairs.join(side.withColumnRenamed("_fp", "fp_a"), F.col("a") == F.col("_n")).drop("_n").join(side.withColumnRenamed("_fp", "fp_b"), F.col("b") == F.col("_n")).select("a", "b", "fp_a", "fp_b")
     near = stored(both.mapInArrow(lean(verified), "a long, b long"), "simhash-near")
     release(spark, [pairs])
-    links = stored(jaccard_links(near, docs, shingle, similarity, text), "simhash-first")
-    first = components(links)
-    label = first.select(F.col("node").alias("_l"), "component")
-    named = side.join(label, F.col("_n") == F.col("_l"), "left").select("_n", F.coalesce("component", "_n").alias("label"), "_fp")
-    rest = met.where("key is not null").join(named, F.col("a") == F.col("_n")).select("key", F.col("a").alias("node"), "label", "_fp")
+    first = components(near)
+    rest = met.where("key is not null").join(_labelled(side, first), F.col("a") == F.col("_n")).select("key", F.col("a").alias("node"), "label", "_fp")
     left = met.where("key is not null").count()
-    later = dealt(placed(rest, hot, pairs=True), left, WIDE_ROWS).mapInArrow(lean(remaining), "a long, b long").distinct().join(near, ["a", "b"], "left_anti")
-    later = stored(later, "simhash-later")
-    release(spark, [met])
-    return _assign(fps, folded, links.unionByName(jaccard_links(later, docs, shingle, similarity, text)))
+    later = stored(dealt(placed(rest, hot, pairs=True), left, WIDE_ROWS).mapInArrow(lean(remaining), "a long, b long"), "simhash-later")
+    release(spark, [met, first])
+    clusters = components(near.unionByName(later))
+    members = folded.join(clusters.withColumnRenamed("node", "_m"), F.col("node") == F.col("_m")).select("node", F.col("component").alias("cluster"), "fp", "size")
+    links = stored(alike_links(members, docs, shingle, similarity, radius, bits, text), "simhash-alike")
+    release(spark, [near, later, clusters])
+    return _assign(fps, folded, links)
+
+
+def _labelled(side: DataFrame, found: DataFrame) -> DataFrame:
+    """side (_n, _fp) with the component of each node as label; a node that is in none is its own."""
+    label = found.select(F.col("node").alias("_l"), "component")
+    return side.join(label, F.col("_n") == F.col("_l"), "left").select("_n", F.coalesce("component", "_n").alias("label"), "_fp")
 
 
 def deduplicate(docs: DataFrame, **settings) -> DataFrame:

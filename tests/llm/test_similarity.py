@@ -216,14 +216,15 @@ def test_unlike_texts_of_a_template_stay(spark):
     assert max(jaccard(texts[i], texts[j]) for i in range(100) for j in range(i)) < 0.8
 
 
-def test_links_are_of_alike_sets(spark):
+@pytest.mark.parametrize("hashes", [10**6, 900])
+def test_links_are_of_alike_sets(spark, hashes):
     texts = corpus() + template(20, 20)
     ids = [i for i, t in enumerate(texts) if t and t.strip()]
-    pairs = [(i, j) for i in ids for j in ids if i < j]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {(r.a, r.b) for r in sh.jaccard_links(spark.createDataFrame(pairs, "a long, b long"), docs, 5, 0.8).collect()}
-    alike = {(i, j) for i, j in pairs if jaccard(texts[i], texts[j]) >= 0.8}
-    assert got <= alike and len(alike) > 30
+    docs = spark.createDataFrame([(i, texts[i]) for i in ids], "doc_id long, text string")
+    members = sh.fingerprints(docs, 5, 512, distinct=True).selectExpr("doc_id as node", "0L as cluster", "fp", "size")
+    got = {(r.a, r.b) for r in sh.alike_links(members, docs, 5, 0.8, 512, 512, hashes=hashes).collect()}
+    alike = {(i, j) for i in ids for j in ids if i < j and jaccard(texts[i], texts[j]) >= 0.8}
+    assert got <= alike and 30 < len(got) < len(alike) + 1
     root = {i: i for i in ids}
     for i, j in sorted(got):
         root = {k: root[i] if r == root[j] else r for k, r in root.items()}
@@ -243,9 +244,11 @@ def test_a_bucket_is_compared_in_full():
     key, label = np.repeat([1, 2], [150, 150]), np.arange(300)
     key[100:] = 2
     label[250:] = label[150:200]
-    found = [(int(x), int(y)) for a, b in sh.unjoined_pairs(key, label, fps, 8, 1) for x, y in zip(a, b)]
+    found = [(int(x), int(y)) for a, b in sh.joining_pairs(key, label, fps, 8, 1) for x, y in zip(a, b)]
     assert sorted(found) == [(i, i + 100) for i in range(100, 150)]
-    assert not list(sh.unjoined_pairs(key[:0], label[:0], fps[:0], 8, 1))
+    assert not list(sh.joining_pairs(key[:0], label[:0], fps[:0], 8, 1))
+    same = np.repeat(fps[:1], 40, axis=0)  # all pairs are near: a tree is told
+    assert sum(len(a) for a, _ in sh.joining_pairs(np.zeros(40, int), np.arange(40), same, 8, 8)) == 39
 
 
 def test_gear_hash_is_the_recurrence():
