@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -39,16 +39,31 @@ def tagged(parts: dict[str, DataFrame], tag: str = "entity") -> DataFrame:
     return append(*[df.withColumn(tag, F.lit(name)) for name, df in parts.items()])
 
 
+def running_totals(sizes: DataFrame, order: list[Column], n: str, name: str, parts: int = 512) -> DataFrame:
+    """sizes with the sum of ``n`` over the rows before each, in an order that tells all rows apart.
+
+    Rows are dealt to ranges by bounds from a sample of about ``parts`` rows, which also are all that one task ever sorts
+    of the ranges' totals; no task sorts the table.
+    """
+    keyed = sizes.withColumn("_rt_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
+    every = max(1, keyed.count() // parts)
+    sample = keyed.where(F.pmod(F.xxhash64("_rt_key"), F.lit(every)) == 0).agg(F.array_sort(F.collect_list("_rt_key")).alias("_rt_bounds"))
+    ranged = keyed.join(F.broadcast(sample)).withColumn("_rt_part", F.size(F.filter("_rt_bounds", lambda b: b < F.col("_rt_key")))).drop("_rt_bounds")
+    totals = ranged.groupBy(F.col("_rt_part").alias("_rt_p")).agg(F.sum(n).alias("_rt_sum"))
+    earlier = totals.withColumn("_rt_base", F.coalesce(F.sum("_rt_sum").over(Window.orderBy("_rt_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_rt_sum")
+    inside = F.coalesce(F.sum(n).over(Window.partitionBy("_rt_part").orderBy("_rt_key").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return ranged.withColumn(name, inside).join(F.broadcast(earlier), F.col("_rt_part") == F.col("_rt_p")).withColumn(name, F.col(name) + F.col("_rt_base")).drop("_rt_key", "_rt_part", "_rt_p", "_rt_base")
+
+
 def rebased(df: DataFrame, path: str, row: str, name: str = "row_number") -> DataFrame:
     """Rows numbered from 2 over all sources in order of folded path and own row, without one task sorting them all.
 
     Sources are counted first; a row's number is its rank in its source plus the rows of the sources before it.
     """
     sizes = df.groupBy(F.col(path).alias("_rb_path")).agg(F.count("*").alias("_rb_n"))
-    before = F.coalesce(F.sum("_rb_n").over(Window.orderBy(F.lower("_rb_path"), "_rb_path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.withColumn("_rb_before", before).drop("_rb_n")
+    offsets = running_totals(sizes, [F.lower("_rb_path"), F.col("_rb_path")], "_rb_n", "_rb_before").drop("_rb_n")
     ranked = df.withColumn("_rb_rank", F.row_number().over(Window.partitionBy(path).orderBy(row)))
-    return ranked.join(offsets, F.col(path) == F.col("_rb_path")).withColumn(name, (F.col("_rb_rank") + F.col("_rb_before") + 1).cast("long")).drop("_rb_rank", "_rb_path", "_rb_before")
+    return ranked.join(offsets, F.col(path).eqNullSafe(F.col("_rb_path"))).withColumn(name, (F.col("_rb_rank") + F.col("_rb_before") + 1).cast("long")).drop("_rb_rank", "_rb_path", "_rb_before")
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:

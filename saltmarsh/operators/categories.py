@@ -28,18 +28,45 @@ def complete(key: Column, existing: Column, brand: Column, overrides: dict[str,
     return F.struct(F.coalesce(*[c for _, c in steps]).alias("category"), method.alias("method"))
 
 
-def by_reference(items: DataFrame, references: DataFrame, item: str = "name_key") -> DataFrame:
+#: References that are packed into one broadcast row; more of them meet the items by parts of their texts.
+PACKED = 2_000
+
+
+def by_reference(items: DataFrame, references: DataFrame, item: str = "name_key", packed: int = PACKED) -> DataFrame:
     """items with the category of the best reference (ref_key, category): equal scores 3, one inside the other 2.
 
-    Several categories at the best score give none. The reference list is a profile: one row of it, an array, is
-    broadcast if Spark finds it small; no pair of rows is ever built.
+    Several categories at the best score give none. The reference list is a profile: while it has few rows they are one
+    broadcast row, an array. A longer list meets the distinct item texts by the first three characters of the shorter text,
+    which stand somewhere in the longer one, so neither way pairs all rows.
     """
-    packed = references.where(F.col("ref_key") != "").agg(F.collect_set(F.struct("ref_key", "category")).alias("_refs"))
-    scored = F.transform("_refs", lambda r: F.struct(F.when(r["ref_key"] == F.col(item), 3).when(F.col(item).contains(r["ref_key"]) | r["ref_key"].contains(F.col(item)), 2).otherwise(0).alias("score"), r["category"].alias("category")))
-    joined = items.where(F.col(item) != "").join(F.broadcast(packed)).withColumn("_scored", scored)
-    best = F.array_max(F.transform("_scored", lambda s: s["score"]))
-    top = F.array_distinct(F.transform(F.filter("_scored", lambda s: s["score"] == best), lambda s: s["category"]))
-    return joined.withColumn("category_score", F.coalesce(best, F.lit(0))).withColumn("category", F.when((F.col("category_score") > 0) & (F.size(top) == 1), top[0])).drop("_refs", "_scored")
+    refs = references.where(F.coalesce("ref_key", F.lit("")) != "").select("ref_key", "category").distinct()
+    whole = items.where(F.col(item) != "")
+    if refs.limit(packed + 1).count() <= packed:
+        row = refs.agg(F.collect_set(F.struct("ref_key", "category")).alias("_refs"))
+        scored = F.transform("_refs", lambda r: F.struct(F.when(r["ref_key"] == F.col(item), 3).when(F.col(item).contains(r["ref_key"]) | r["ref_key"].contains(F.col(item)), 2).otherwise(0).alias("score"), r["category"].alias("category")))
+        joined = whole.join(F.broadcast(row)).withColumn("_scored", scored)
+        best = F.array_max(F.transform("_scored", lambda s: s["score"]))
+        top = F.array_distinct(F.transform(F.filter("_scored", lambda s: s["score"] == best), lambda s: s["category"]))
+        return joined.withColumn("category_score", F.coalesce(best, F.lit(0))).withColumn("category", F.when((F.col("category_score") > 0) & (F.size(top) == 1), top[0])).drop("_refs", "_scored")
+    texts = whole.select(F.col(item).alias("_t")).distinct()
+    pairs = None
+    for short, long in (("ref_key", "_t"), ("_t", "ref_key")):
+        a, b = (refs, texts) if short == "ref_key" else (texts, refs)
+        heads = a.withColumn("_g", F.substring(short, 1, 3))
+        grams = b.withColumn("_g", F.explode(_grams(F.col(long))))
+        met = heads.join(grams, "_g").where(F.col(long).contains(F.col(short))).select("_t", "ref_key", "category")
+        pairs = met if pairs is None else pairs.unionByName(met)
+    scores = pairs.select("_t", "category", F.when(F.col("_t") == F.col("ref_key"), 3).otherwise(2).alias("_s"))
+    best = scores.groupBy("_t", "_s").agg(F.min("category").alias("_least"), F.max("category").alias("_most")).groupBy("_t").agg(F.max(F.struct("_s", "_least", "_most")).alias("_b"))
+    chosen = best.select("_t", F.col("_b._s").alias("category_score"), F.when(F.col("_b._least") == F.col("_b._most"), F.col("_b._least")).alias("category"))
+    return whole.join(chosen, F.col(item) == F.col("_t"), "left").withColumn("category_score", F.coalesce("category_score", F.lit(0))).drop("_t")
+
+
+def _grams(c: Column) -> Column:
+    """All parts of one to three characters (a text of fewer than three is looked for as a whole)."""
+    n = F.char_length(c)
+    parts = [F.when(n >= size, F.transform(F.sequence(F.lit(1), n - size + 1), lambda i, size=size: F.substr(c, i, F.lit(size)))).otherwise(F.array().cast("array<string>")) for size in (1, 2, 3)]
+    return F.array_distinct(F.concat(*parts))
 
 
 def brand_by_prefix(path: Column, prefixes: dict[str, list[str]], order: list[str], default: str) -> Column:

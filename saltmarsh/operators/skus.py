@@ -53,19 +53,23 @@ def well_formed(sku: Column, variant: bool = False) -> Column:
     return sku.rlike(r"^[A-Z0-9]+-[0-9]{4}-V[0-9]{2}$" if variant else r"^[A-Z0-9]+-[0-9]{4}$")
 
 
-def assign(products: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(products with sku, state grown): products (identity_key, prefix, _pos, sku or null); state (identity_key, sku).
+def assign(rows: DataFrame, state: DataFrame, variant: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows with sku, state grown): rows (identity_key, prefix, _pos, sku or null); state (identity_key, sku).
 
-    A known identity keeps its SKU; a present SKU that the state contradicts, or a repeated identity, is an error row in
-    ``conflict``. Only the state's numbers count as used.
+    The prefix is a brand's, or for variants their product's sku. A known identity keeps its SKU; a present SKU that the
+    state contradicts, a repeated identity, or a repeated SKU, is an error row in ``conflict``. Only the state's numbers count as used.
     """
-    known = products.join(state.select(F.col("identity_key").alias("_ik"), F.col("sku").alias("_known")), F.col("identity_key") == F.col("_ik"), "left").drop("_ik")
+    known = rows.join(state.select(F.col("identity_key").alias("_ik"), F.col("sku").alias("_known")), F.col("identity_key") == F.col("_ik"), "left").drop("_ik")
     repeated = F.count("*").over(Window.partitionBy("identity_key")) > 1
     present = F.nullif(F.trim("sku"), F.lit(""))
     conflict = F.when(repeated, "repeated_identity").when(present.isNotNull() & F.col("_known").isNotNull() & (present != F.col("_known")), "sku_contradicts_state")
     known = known.withColumn("conflict", conflict).withColumn("_have", F.coalesce("_known", present))
-    used = state.select(F.regexp_extract("sku", "^([A-Z0-9]+)-", 1).alias("prefix"), F.regexp_extract("sku", "-([0-9]{4})$", 1).try_cast("int").alias("number")).where("number is not null")
-    fresh = allocate(known.where("_have is null"), used, "prefix", "_pos").withColumn("_have", product_sku(F.col("prefix"), F.col("number"))).drop("number")
+    head, tail = ("^(.+)-V[0-9]{2}$", "-V([0-9]{2})$") if variant else ("^([A-Z0-9]+)-[0-9]{4}$", "-([0-9]{4})$")
+    used = state.select(F.regexp_extract("sku", head, 1).alias("prefix"), F.regexp_extract("sku", tail, 1).try_cast("int").alias("number")).where("number is not null")
+    named = variant_sku if variant else product_sku
+    fresh = allocate(known.where("_have is null"), used, "prefix", "_pos").withColumn("_have", named(F.col("prefix"), F.col("number"))).drop("number")
     done = known.where("_have is not null").unionByName(fresh).withColumn("sku", F.col("_have")).drop("_have", "_known")
+    again = F.count("*").over(Window.partitionBy("sku")) > 1
+    done = done.withColumn("conflict", F.coalesce("conflict", F.when(again, "repeated_sku")))
     grown = state.select("identity_key", "sku").unionByName(done.where("conflict is null").select("identity_key", "sku")).distinct()
     return done, grown

@@ -779,23 +779,6 @@ def markdown_projection(t):
     return lines.groupBy("doc_id").agg(F.concat(F.lit("# "), F.first("source"), F.lit("\n"), body).alias("markdown"))
 
 
-@query("SELECT p_partkey, '<tr><td>' || replace(replace(replace(p_brand, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</td><td>' || replace(replace(replace(p_name || ' <' || p_size || '>', '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</td></tr>' AS html FROM part")
-def review_html(t):
-    """K-12, J-18: rows of the review page, escaped."""
-    from ..sinks import html_escape
-
-    row = F.concat(F.lit("<tr><td>"), html_escape(F.col("p_brand")), F.lit("</td><td>"), html_escape(F.concat("p_name", F.lit(" <"), "p_size", F.lit(">"))), F.lit("</td></tr>"))
-    return t("part").select("p_partkey", row.alias("html"))
-
-
-@query("""SELECT p_partkey, '{"brand":"' || p_brand || '","price":"' || CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) || '","sku":"' || p_partkey || '"}' AS line FROM part""")
-def jsonl_projection(t):
-    """K-01, K-02, K-08: a record as a JSON line with sorted keys and decimals as text."""
-    from ..sinks import json_line
-
-    return t("part").select("p_partkey", json_line({"sku": F.col("p_partkey").cast("string"), "brand": F.col("p_brand"), "price": F.col("p_retailprice").cast("decimal(18,2)")}).alias("line"))
-
-
 _PAGES = """SELECT 'hoja-' || (p_partkey // 2) AS source_file, CAST(1 + p_partkey % 2 AS INTEGER) AS nth, 'P-' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS sku,
   'Crema ' || array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS name,
   CASE WHEN p_size % 7 = 0 THEN 'Breve.' ELSE 'Mascarilla facial que hidrata y mejora la luminosidad, paso ' || p_size || '.' END AS description,
