@@ -446,11 +446,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
         key, node, head = key[order], node[order], head[order].view(np.uint64)
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         start = np.repeat(start, np.diff(np.r_[start, len(key)]))
+        size = np.bincount(start, minlength=len(key))[start]
         pairs = []
 
         def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             ok = np.bitwise_count(head[a] ^ head[b]) <= loose
-            pairs.append(np.stack([node[a[ok]], node[b[ok]]], axis=1))
+            pairs.append(np.stack([node[a[ok]], node[b[ok]], size[b[ok]] == 2], axis=1))
             return ok
 
         at = np.flatnonzero(start != np.arange(len(key)))
@@ -459,9 +460,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
             at = at[~near(start[at] + c, at)]
         near(at - 1, at)
         found = np.unique(np.concatenate(pairs), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.int64()), pa.array(found[:, 0]), pa.array(found[:, 1])], names=["key", "a", "b"])
-        more = (np.bincount(start, minlength=len(key))[start] > 2) | (place[order] > 0)
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0][order][more]), pa.array(node[more]), pa.nulls(int(more.sum()), pa.int64())], names=["key", "a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.int64()), pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(found[:, 2] == 1)], names=["key", "a", "b", "alone"])
+        more = (size > 2) | (place[order] > 0)
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0][order][more]), pa.array(node[more]), pa.nulls(int(more.sum()), pa.int64()), pa.nulls(int(more.sum()), pa.bool_())], names=["key", "a", "b", "alone"])
 
     def wide(column: pa.Array) -> np.ndarray:
         column = column.cast(pa.binary(bits // 8))
@@ -485,16 +486,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
             near = np.abs(distances(x, refs) - distances(y, refs)).max(axis=1, initial=0) <= radius
             near &= np.bitwise_count(x ^ y).sum(axis=1) <= radius
             kept = batch.filter(pa.array(near))
-            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), kept.column(4)], names=["a", "b", "alone"])
 
     spark = docs.sparkSession
     keys = folded.select("node", "fp").mapInArrow(lean(keyed), "key long, node long, head long")
     hot = hot_keys(keys, slot) if n > slot else None  # fewer nodes cannot fill a slot
-    met = stored(dealt(placed(keys, hot, pairs=False), n * tables).mapInArrow(lean(candidates), "key long, a long, b long"), "simhash-met")
-    pairs = stored(met.where("key is null").select("a", "b").distinct(), "simhash-candidates")
+    met = stored(dealt(placed(keys, hot, pairs=False), n * tables).mapInArrow(lean(candidates), "key long, a long, b long, alone boolean"), "simhash-met")
+    pairs = stored(met.where("key is null").groupBy("a", "b").agg(F.max("alone").alias("alone")), "simhash-candidates")
     side = folded.select(F.col("node").alias("_n"), F.col("fp").alias("_fp"))
-    both = pairs.join(side.withColumnRenamed("_fp", "fp_a"), F.col("a") == F.col("_n")).drop("_n").join(side.withColumnRenamed("_fp", "fp_b"), F.col("b") == F.col("_n")).select("a", "b", "fp_a", "fp_b")
-    near = stored(both.mapInArrow(lean(verified), "a long, b long"), "simhash-near")
+    both = pairs.join(side.withColumnRenamed("_fp", "fp_a"), F.col("a") == F.col("_n")).drop("_n").join(side.withColumnRenamed("_fp", "fp_b"), F.col("b") == F.col("_n")).select("a", "b", "fp_a", "fp_b", "alone")
+    checked = stored(both.mapInArrow(lean(verified), "a long, b long, alone boolean"), "simhash-checked")
+    # of members that meet in larger buckets one link each is enough here: what it leaves apart, the second round joins
+    near = stored(checked.where("alone").select("a", "b").unionByName(checked.where("not alone").groupBy("b").agg(F.min("a").alias("a")).select("a", "b")), "simhash-near")
     release(spark, [pairs])
     first = components(near)
     rest = met.where("key is not null").join(_labelled(side, first), F.col("a") == F.col("_n")).select("key", F.col("a").alias("node"), "label", "_fp")
