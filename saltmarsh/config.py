@@ -29,6 +29,24 @@ def mapping_profile(path: str) -> MappingProfile:
     return MappingProfile(str(data["entity"]), {str(k): str(v) for k, v in data["columns"].items()}, dict(data.get("defaults") or {}), data.get("sheet"))
 
 
+def batch_rules(path: str):
+    """Exceptions of a source from a file: lists of file names."""
+    import yaml
+
+    from .operators.flows import BatchRules
+
+    data = yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
+    if not isinstance(data, dict):
+        raise ValueError("batch rules are an object")
+    lists = {}
+    for key in ("category_files", "keep_bottom_only", "excluded_files"):
+        names = data.get(key) or []
+        if not isinstance(names, list) or not all(isinstance(n, str) for n in names):
+            raise ValueError(f"{key} is a list of file names")
+        lists[key] = tuple(n.strip() for n in names if n.strip())
+    return BatchRules(str(data.get("source", "")), **lists)
+
+
 def load_dotenv(path: str, environment: dict[str, str] | None = None) -> dict[str, str]:
     """KEY=value lines; what the environment already has is never replaced."""
     environment = os.environ if environment is None else environment

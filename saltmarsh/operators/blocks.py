@@ -23,9 +23,9 @@ def ocr_lines(words: DataFrame, keys: list[str], index: str = "word_no", text: s
 
 def ocr_json_items(payload: Column) -> Column:
     """The array of struct(text, score, box) of an OCR engine's JSON, in its newer shape (an object of lists)."""
-    shape = "struct<res:struct<rec_texts:array<string>,rec_scores:array<double>,rec_boxes:array<array<double>>,dt_polys:array<array<array<double>>>>>"
+    shape = "struct<res:struct<rec_texts:array<string>,rec_scores:array<double>,rec_boxes:array<array<double>>,rec_polys:array<array<array<double>>>,dt_polys:array<array<array<double>>>>>"
     res = F.from_json(payload, shape)["res"]
-    boxes = F.coalesce(res["rec_boxes"], F.transform(res["dt_polys"], polygon_box))
+    boxes = F.coalesce(res["rec_boxes"], F.transform(res["rec_polys"], polygon_box), F.transform(res["dt_polys"], polygon_box))
     items = F.arrays_zip(res["rec_texts"].alias("text"), res["rec_scores"].alias("score"), boxes.alias("box"))
     return F.transform(items, lambda i: F.struct(i["text"].alias("text"), F.when(i["score"] > 1, i["score"] / 100).otherwise(i["score"]).alias("score"), i["box"].alias("box")))
 
@@ -86,6 +86,36 @@ def carry_forward(df: DataFrame, keys: list[str], order: list[str], label: Colum
     return df.withColumn(name, F.last(label, ignorenulls=True).over(w))
 
 
+def markdown(block_rows: DataFrame, files: DataFrame) -> DataFrame:
+    """(source_file, markdown): every document as Markdown, each line under a comment with its evidence.
+
+    block_rows: source_file, page_number, width, height, block_id, bbox, confidence, method, units, text; files: source_file,
+    document_type, engine. Pages and blocks come in their own order, blocks by ``position`` on their page.
+    """
+    from ..functions.parse import number_text
+    from ..functions.text import clean_text, json_string
+    from ..sinks import html_escape
+
+    def plain(c: Column) -> Column:
+        return number_text(c.cast("decimal(20,6)"))
+
+    def shown(c: Column) -> Column:  # as JSON numbers of a float
+        return F.regexp_replace(c.cast("string"), r"^(-?[0-9]+)$", "$1.0")
+
+    lines = block_rows.select("*", F.posexplode(F.split("text", r"\r\n|[\n\r]")).alias("_n", "_raw")).withColumn("_line", clean_text(F.col("_raw"))).where("_line <> ''")
+    box = F.when(F.size("bbox") == 4, F.concat(F.lit("["), F.array_join(F.transform("bbox", shown), ","), F.lit("]"))).otherwise("null")
+    told = F.concat(F.lit('{"block_id":'), json_string(F.col("block_id")), F.lit(',"bbox":'), box, F.lit(',"confidence":'), F.coalesce(shown(F.col("confidence")), F.lit("null")), F.lit(',"method":'), json_string(F.col("method")), F.lit(',"units":'), json_string(F.col("units")), F.lit("}"))
+    said = F.concat(F.lit("<!-- "), told, F.lit(" -->\n- "), F.col("_line"))
+    page = lines.groupBy("source_file", "page_number").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "_n", said.alias("s")))), lambda x: x["s"]), "\n").alias("_body"))
+    sizes = block_rows.groupBy(F.col("source_file").alias("_f"), F.col("page_number").alias("_p")).agg(F.max("width").alias("_w"), F.max("height").alias("_h"))
+    whole = sizes.join(page, (F.col("_f") == F.col("source_file")) & (F.col("_p") == F.col("page_number")), "left")
+    part = F.concat(F.lit("## Pagina "), F.col("_p").cast("string"), F.lit("\n\n_Dimensiones: "), plain(F.col("_w")), F.lit(" x "), plain(F.col("_h")), F.lit("_\n\n"), F.coalesce(F.concat("_body", F.lit("\n")), F.lit("")))
+    pages = whole.groupBy("_f").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_p", part.alias("s")))), lambda x: x["s"]), "\n").alias("_pages"), F.count("*").alias("_n"))
+    head = F.concat(F.lit("# Documento: "), html_escape(F.col("source_file")), F.lit("\n\n- Tipo: `"), html_escape(F.col("document_type")), F.lit("`\n- Motor: `"), html_escape(F.col("engine")), F.lit("`\n- Paginas: "), F.coalesce("_n", F.lit(0)).cast("string"), F.lit("\n\n"))
+    out = files.join(pages, F.col("source_file") == F.col("_f"), "left")
+    return out.select("source_file", F.concat(F.regexp_replace(F.concat(head, F.coalesce("_pages", F.lit(""))), r"\s+$", ""), F.lit("\n")).alias("markdown"))
+
+
 def paragraphs(df: DataFrame, keys: list[str], order: str = "top", text: str = "text") -> DataFrame:
     """Lines (top, bottom) joined to paragraphs: a gap above max(12, 1.45 x the median height) parts them."""
     heights = df.groupBy(*keys).agg(F.median(F.col("bottom") - F.col("top")).alias("_h"))

@@ -65,8 +65,11 @@ def by_reference(items: DataFrame, references: DataFrame, item: str = "name_key"
 def _grams(c: Column) -> Column:
     """All parts of one to three characters (a text of fewer than three is looked for as a whole)."""
     n = F.char_length(c)
-    parts = [F.when(n >= size, F.transform(F.sequence(F.lit(1), n - size + 1), lambda i, size=size: F.substr(c, i, F.lit(size)))).otherwise(F.array().cast("array<string>")) for size in (1, 2, 3)]
-    return F.array_distinct(F.concat(*parts))
+
+    def of(size: int) -> Column:
+        return F.when(n >= size, F.transform(F.sequence(F.lit(1), n - size + 1), lambda i: F.substr(c, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.concat(*map(of, (1, 2, 3))))
 
 
 def brand_by_prefix(path: Column, prefixes: dict[str, list[str]], order: list[str], default: str) -> Column:

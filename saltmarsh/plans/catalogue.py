@@ -76,12 +76,11 @@ def clean_text(t):
     return t("documents").select("doc_id", fold.clean_text(F.col("text")).alias("cleaned"))
 
 
-@query("SELECT doc_id, text AS repaired, n_chars FROM documents WHERE regexp_matches(text, '[ßäöüéèêçñóí]') AND NOT regexp_matches(text, '[^\\x00-\\xff]')")
+@query("SELECT doc_id, text AS repaired, n_chars FROM documents")
 def repair_mojibake(t):
     """F-15: texts damaged by a wrong decoding, repaired; the SQL gives the undamaged texts."""
-    docs = t("documents").where(F.col("text").rlike("[ßäöüéèêçñóí]") & ~F.col("text").rlike("[^\\x00-\\xff]"))
     damaged = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
-    return docs.select("doc_id", fold.repair_mojibake(damaged).alias("repaired"), "n_chars")
+    return t("documents").select("doc_id", fold.repair_mojibake(damaged).alias("repaired"), "n_chars")
 
 
 _FORMS = "CASE p_partkey % 4 WHEN 0 THEN 'Bs ' || replace(CAST(v AS VARCHAR), '.', ',') WHEN 1 THEN '$' || CAST(v AS VARCHAR) WHEN 2 THEN '1.' || CAST(p_size + 100 AS VARCHAR) || ',50' ELSE 'n/a ' || p_size END"
@@ -125,11 +124,14 @@ def number_text(t):
     return t("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", parse.number_text(F.col("l_extendedprice").cast("decimal(18,2)")).alias("said"))
 
 
-@query("""SELECT event_id, '{"n": "' || CAST(json_extract_string(props, '$.' || json_keys(props)[1]) AS VARCHAR) || '"}' AS attributes, CAST(NULL AS VARCHAR) AS error FROM events""")
+@query("""WITH e AS (SELECT event_id, event_type, props, json_keys(props)[1] AS k FROM events)
+SELECT event_id, CASE WHEN event_id % 5 = 4 THEN NULL ELSE '{"' || least(regexp_replace(lower(k), '[^a-z0-9]+', '_', 'g'), 'tipo_de_evento') || '": "' || CASE WHEN regexp_replace(lower(k), '[^a-z0-9]+', '_', 'g') < 'tipo_de_evento' THEN json_extract_string(props, '$.' || k) ELSE event_type END || '", "' || greatest(regexp_replace(lower(k), '[^a-z0-9]+', '_', 'g'), 'tipo_de_evento') || '": "' || CASE WHEN regexp_replace(lower(k), '[^a-z0-9]+', '_', 'g') < 'tipo_de_evento' THEN event_type ELSE json_extract_string(props, '$.' || k) END || '"}' END AS attributes,
+  CASE WHEN event_id % 5 = 4 THEN 'duplicate key' END AS error FROM e""")
 def attributes_parse(t):
-    """F-12: attributes given as JSON, their keys normalised."""
-    m = F.map_from_arrays(F.transform(F.map_keys("got.value"), lambda k: F.lit("n")), F.map_values("got.value"))
-    return t("events").select("event_id", parse.attributes(F.col("props")).alias("got")).select("event_id", fold.canonical_json(m).alias("attributes"), F.col("got.error").alias("error"))
+    """F-06, F-12: attributes given as JSON, their keys folded; two spellings of one key are an error."""
+    more = F.when(F.col("event_id") % 5 == 4, ', "TIPO de evento": "x"').otherwise("")
+    said = F.concat(F.expr("substring(props, 1, length(props) - 1)"), F.lit(', "Tipo (de) Evénto ": "'), "event_type", F.lit('"'), more, F.lit("}"))
+    return t("events").select("event_id", parse.attributes(said).alias("got")).select("event_id", fold.canonical_json(F.col("got.value")).alias("attributes"), F.col("got.error").alias("error"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN NULL WHEN l_linenumber % 3 = 1 THEN '{"linea": "' || l_linestatus || '", "retorno": "' || l_returnflag || '"}' END AS attributes,
@@ -257,13 +259,14 @@ def sku_format(t):
     return t("part").select("p_partkey", sku.alias("sku"), skus.variant_sku(sku, F.col("p_size")).alias("variant_sku"))
 
 
-@query("SELECT sha256(string_agg(source || chr(0) || h || chr(10), '' ORDER BY source)) AS digest, count(*) AS n_files FROM (SELECT source, sha256(string_agg(text, '' ORDER BY doc_id)) AS h FROM documents WHERE source IS NOT NULL GROUP BY source)")
+@query("SELECT folder, sha256(string_agg(path || chr(0) || sha256(coalesce(text, '')) || chr(10), '' ORDER BY path)) AS digest, count(*) AS n_files FROM (SELECT coalesce(source, 'sin') || '/' || (doc_id // 1000) AS folder, lpad(CAST(doc_id AS VARCHAR), 12, '0') || '.txt' AS path, text FROM documents) GROUP BY folder")
 def directory_digest(t):
-    """K-13, K-14, F-30: a digest over the ordered paths and digests of files (a source's texts as one file)."""
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda x: x["text"]), "")
-    files = t("documents").where("source is not null").groupBy("source").agg(F.sha2(text, 256).alias("h"))
-    line = F.transform(F.array_sort(F.collect_list(F.struct("source", "h"))), lambda x: F.concat(x["source"], F.lit("\0"), x["h"], F.lit("\n")))
-    return files.agg(F.sha2(F.array_join(line, ""), 256).alias("digest"), F.count("*").alias("n_files"))
+    """K-13, K-14, F-30: a digest over the ordered paths and digests of each folder's files."""
+    from ..runs import directory_digests
+
+    folder = F.concat(F.coalesce("source", F.lit("sin")), F.lit("/"), F.floor(F.col("doc_id") / 1000).cast("string"))
+    files = t("documents").select(folder.alias("folder"), F.concat(F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit(".txt")).alias("path"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
+    return directory_digests(files)
 
 
 # ---- validation
@@ -519,7 +522,7 @@ b AS (SELECT *, max(score) OVER (PARTITION BY p_partkey) AS best FROM s)"""
 
 @query(f"WITH {_REF} SELECT p_partkey, CAST(max(best) AS INTEGER) AS category_score, CASE WHEN max(best) > 0 AND count(DISTINCT category) FILTER (WHERE score = best) = 1 THEN min(category) FILTER (WHERE score = best) END AS category FROM b GROUP BY p_partkey")
 def category_reference(t):
-    """J-08, U-06, C-16: the best reference by equality or containment, if its category is the only one."""
+    """J-08, U-06: the best reference by equality or containment, if its category is the only one."""
     refs = t("part").select(fold.match_key(F.split("p_name", " ")[0]).alias("ref_key"), F.concat(F.lit("cat "), (F.ascii("p_name") % 3)).alias("category")).distinct()
     items = t("part").select("p_partkey", fold.match_key(F.col("p_name")).alias("name_key"))
     return categories.by_reference(items, refs).select("p_partkey", F.col("category_score").cast("int").alias("category_score"), "category")
@@ -527,7 +530,7 @@ def category_reference(t):
 
 @query("SELECT doc_id, CASE WHEN starts_with(lower(source), 'src1') THEN 'uno' WHEN starts_with(lower(source), 'src2') OR starts_with(lower(source), 'src3') THEN 'dos' ELSE 'otra' END AS brand FROM documents")
 def brand_prefix(t):
-    """J-10, P-09: the first brand of which the file name has a prefix."""
+    """J-10: the first brand of which the file name has a prefix."""
     return t("documents").select("doc_id", categories.brand_by_prefix(F.col("source"), {"uno": ["SRC1"], "dos": ["src2", "src3", "src1"]}, ["uno", "dos"], "otra").alias("brand"))
 
 
@@ -564,7 +567,7 @@ def keep_or_na(t):
 
 @query("SELECT p_partkey, row_number() OVER (ORDER BY CASE p_brand WHEN 'Brand#33' THEN 1 WHEN 'Brand#11' THEN 2 ELSE 3 END, regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g'), p_partkey) AS place, CASE p_brand WHEN 'Brand#33' THEN 1 WHEN 'Brand#11' THEN 2 ELSE 3 END AS brand_rank FROM part")
 def order_products(t):
-    """O-01 to O-05: catalogue order, as places that a sink sorts by; no task sorts the whole table."""
+    """O-01, O-05: catalogue order, as places that a sink sorts by; no task sorts the whole table."""
     rows = t("part").select("p_partkey", F.col("p_brand").alias("brand"), fold.match_key(F.col("p_name")).alias("name_key"), F.col("p_partkey").alias("_pos"))
     ranked = rows.withColumn("brand_rank", F.when(F.col("brand") == "Brand#33", 1).when(F.col("brand") == "Brand#11", 2).otherwise(3))
     keyed = ranked.withColumn("_path", F.concat_ws("|", F.col("brand_rank").cast("string"), "name_key")).withColumnRenamed("_pos", "_row")
@@ -764,19 +767,27 @@ def ocr_json_flatten(t):
     return items.select("p_partkey", F.col("i.box")[0].alias("x0"), F.col("i.box")[2].alias("x1"), F.col("i.score").alias("score"))
 
 
-@query("SELECT page_id, length(regexp_replace(html, '<[^>]*>', '', 'g')) AS n_text, len(regexp_extract_all(html, '<[a-zA-Z]')) AS n_tags FROM pages")
-def html_blocks(t):
-    """S-15 on web pages: text and tags."""
-    return t("pages").select("page_id", F.char_length(F.regexp_replace("html", "<[^>]*>", "")).cast("long").alias("n_text"), F.size(F.regexp_extract_all("html", F.lit("(<[a-zA-Z])"))).cast("long").alias("n_tags"))
+@query("""WITH b AS (SELECT conv_id, turn, text, CASE WHEN turn % 3 = 2 THEN NULL ELSE turn % 3 END AS y FROM conversations)
+SELECT CAST(conv_id AS VARCHAR) AS source_file, turn, CAST(10 * y AS DOUBLE) AS y0, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY y, turn) AS INTEGER) AS place FROM b WHERE y IS NOT NULL""")
+def extraction_blocks(t):
+    """S-15, O-03: extraction records to blocks in reading order; a block whose box is no box is left out."""
+    box = F.when(F.col("turn") % 3 == 2, F.lit("[1, 2]")).otherwise(F.concat(F.lit("[1.0, "), (F.col("turn") % 3 * 10).cast("string"), F.lit(", 9, 9.5]")))
+    block = F.struct(F.lpad(F.col("turn").cast("string"), 6, "0").alias("block_id"), F.col("turn"), box.alias("bbox"))
+    pages = t("conversations").groupBy("conv_id").agg(F.collect_list(block).alias("blocks"))
+    records = pages.select(F.col("conv_id").cast("string").alias("source_file"), F.array(F.struct(F.lit(1).alias("page_number"), F.lit(100.0).alias("width"), F.lit(200.0).alias("height"), F.col("blocks"))).alias("pages"))
+    return blocks.explode_blocks(records).select("source_file", "turn", F.col("bbox")[1].alias("y0"), F.col("_order").alias("place"))
 
 
-@query("""WITH l AS (SELECT doc_id, source, unnest(range(0, len(s))) AS n, unnest(s) AS line FROM (SELECT doc_id, source, string_split(text, chr(10)) AS s FROM documents WHERE lang IS NOT NULL)) SELECT doc_id, '# ' || any_value(source) || chr(10) || string_agg('<!-- line ' || n || ' -->' || chr(10) || '- ' || trim(regexp_replace(line, '\\s+', ' ', 'g')), chr(10) ORDER BY n) AS markdown FROM l GROUP BY doc_id""")
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents),
+c AS (SELECT doc_id, n, trim(regexp_replace(line, '\\s+', ' ', 'g')) AS line FROM l),
+p AS (SELECT doc_id, string_agg('<!-- {"block_id":"b' || doc_id || '","bbox":[1.0,2.5,3.0,4.0],"confidence":0.5,"method":"native","units":"points"} -->' || chr(10) || '- ' || line, chr(10) ORDER BY n) AS body FROM c WHERE line <> '' GROUP BY doc_id)
+SELECT CAST(d.doc_id AS VARCHAR) || '&' AS source_file, rtrim('# Documento: ' || d.doc_id || '&amp;' || chr(10) || chr(10) || '- Tipo: `' || coalesce(lang, 'N/A') || '`' || chr(10) || '- Motor: `prueba`' || chr(10) || '- Paginas: 1' || chr(10) || chr(10) || '## Pagina 1' || chr(10) || chr(10) || '_Dimensiones: 612 x 792.5_' || chr(10) || chr(10) || coalesce(body, ''), chr(10)) || chr(10) AS markdown FROM documents d LEFT JOIN p USING (doc_id)""")
 def markdown_projection(t):
     """K-11: a document as Markdown, every line under a comment with its evidence."""
-    lines = t("documents").where("lang is not null").select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("n", "line"))
-    one = F.concat(F.lit("<!-- line "), F.col("n").cast("string"), F.lit(" -->\n- "), fold.clean_text(F.col("line")))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", one.alias("said")))), lambda x: x["said"]), "\n")
-    return lines.groupBy("doc_id").agg(F.concat(F.lit("# "), F.first("source"), F.lit("\n"), body).alias("markdown"))
+    file = F.concat(F.col("doc_id").cast("string"), F.lit("&")).alias("source_file")
+    rows = t("documents").select(file, F.lit(1).alias("page_number"), F.lit(612.0).alias("width"), F.lit(792.5).alias("height"), F.lit(1).alias("position"), F.concat(F.lit("b"), F.col("doc_id").cast("string")).alias("block_id"), F.array(F.lit(1.0), F.lit(2.5), F.lit(3.0), F.lit(4.0)).alias("bbox"), F.lit(0.5).alias("confidence"), F.lit("native").alias("method"), F.lit("points").alias("units"), F.coalesce("text", F.lit("")).alias("text"))
+    files = t("documents").select(file, F.coalesce("lang", F.lit("N/A")).alias("document_type"), F.lit("prueba").alias("engine"))
+    return blocks.markdown(rows, files)
 
 
 _PAGES = """SELECT 'hoja-' || (p_partkey // 2) AS source_file, CAST(1 + p_partkey % 2 AS INTEGER) AS nth, 'P-' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS sku,

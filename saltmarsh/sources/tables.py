@@ -12,11 +12,13 @@ import re
 import zipfile
 from collections import Counter
 from collections.abc import Callable, Iterator
+from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Delimiters in order of preference, and suffixes of each kind of table.
 DELIMITERS = (",", ";", "\t", "|")
@@ -68,19 +70,59 @@ def _column(reference: str) -> int:
     return n - 1
 
 
+# Built-in number formats that show dates or times.
+_DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
+_DATE_LETTERS = re.compile(r'[dmyhs]', re.I)
+_NOT_LETTERS = re.compile(r'"[^"]*"|\\.|\[[^\]]*\]')
+
+
+def _date_styles(z: zipfile.ZipFile) -> set[int]:
+    """Cell styles that show a number as a date."""
+    if "xl/styles.xml" not in z.namelist():
+        return set()
+    root = ElementTree.fromstring(z.read("xl/styles.xml"))
+    own = {int(f.get("numFmtId")) for f in root.iter(f"{_MAIN}numFmt") if _DATE_LETTERS.search(_NOT_LETTERS.sub("", f.get("formatCode", "")))}
+    styles = root.find(f"{_MAIN}cellXfs")
+    return {i for i, x in enumerate(styles if styles is not None else ()) if int(x.get("numFmtId", 0)) in _DATE_FORMATS | own}
+
+
+def _serial_date(value: str, from_1904: bool) -> str:
+    """A day number as a date, with the time if there is one; days count from 1904, or from 1900 with a 29 February."""
+    days = float(value) + (1462 if from_1904 else 0)
+    at = datetime(1899, 12, 30 if days >= 60 else 31) + timedelta(days=days)
+    at = at.replace(microsecond=0) + timedelta(seconds=round(at.microsecond / 1e6))
+    return at.date().isoformat() if at.time() == datetime.min.time() else at.isoformat(sep=" ")
+
+
 def parse_sheet(raw: bytes, sheet: str | None = None) -> list[list[str | None]]:
-    """The named sheet, or the first; shared and inline strings, cached values of formulas, booleans as TRUE and FALSE."""
+    """The named sheet, or the active one; cached values of formulas, booleans as TRUE and FALSE, dates as such."""
     with zipfile.ZipFile(io.BytesIO(raw)) as z:
         shared = []
         if "xl/sharedStrings.xml" in z.namelist():
             shared = ["".join(t.text or "" for t in s.iter(f"{_MAIN}t")) for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))]
+        dates = _date_styles(z)
         book = ElementTree.fromstring(z.read("xl/workbook.xml"))
+        setting, view = book.find(f"{_MAIN}workbookPr"), next(book.iter(f"{_MAIN}workbookView"), None)
+        from_1904 = setting is not None and setting.get("date1904") in ("1", "true")
         targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
         named = {s.get("name"): targets[s.get(_RELATION)] for s in book.iter(f"{_MAIN}sheet")}
         if sheet is not None and sheet not in named:
             raise ValueError(f"no sheet {sheet!r}")
-        target = named[sheet] if sheet is not None else next(iter(named.values()))
+        target = named[sheet] if sheet is not None else list(named.values())[int(view.get("activeTab", 0)) if view is not None else 0]
         root = ElementTree.fromstring(z.read(target.lstrip("/") if target.startswith("/") else f"xl/{target}"))
+
+    def text(c: ElementTree.Element) -> str | None:
+        value, kind = c.findtext(f"{_MAIN}v"), c.get("t")
+        if kind == "inlineStr":
+            return "".join(t.text or "" for t in c.iter(f"{_MAIN}t"))
+        if value is None or kind in ("str", "e"):
+            return value
+        if kind == "s":
+            return shared[int(value)]
+        if kind == "b":
+            return "TRUE" if value == "1" else "FALSE"
+        return _serial_date(value, from_1904) if int(c.get("s", -1)) in dates else value
+
     rows: list[list[str | None]] = []
     for row in root.iter(f"{_MAIN}row"):
         while len(rows) < int(row.get("r", len(rows) + 1)) - 1:
@@ -89,15 +131,7 @@ def parse_sheet(raw: bytes, sheet: str | None = None) -> list[list[str | None]]:
         for c in row.iter(f"{_MAIN}c"):
             at = _column(c.get("r")) if c.get("r") else len(cells)
             cells += [None] * (at + 1 - len(cells))
-            value = c.findtext(f"{_MAIN}v")
-            kind = c.get("t")
-            if kind == "s":
-                value = shared[int(value)]
-            elif kind == "inlineStr":
-                value = "".join(t.text or "" for t in c.iter(f"{_MAIN}t"))
-            elif kind == "b":
-                value = "TRUE" if value == "1" else "FALSE"
-            cells[at] = value
+            cells[at] = text(c)
         rows.append(cells)
     return rows
 
@@ -129,19 +163,45 @@ def parser(path: str, sheet: str | None = None) -> Callable[[bytes], list[list[s
     raise ValueError(f"unsupported file: {path}")
 
 
+#: Rows that one batch of a file's records has.
+BATCH_ROWS = 10_000
+
+
 def scan(spark: SparkSession, path: str, sheet: str | None = None, recursive: bool = False) -> DataFrame:
-    """(source_file, row_number, cells) of every record but the first of each file, and that one as row 1."""
+    """(source_file, row_number, cells) of every record but the first of each file, and that one as row 1.
+
+    Recursively, files of other suffixes are passed over, and a folder without any table is an error.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path).select("path", "content")
+    if recursive:
+        files = files.where(F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1)).isin(*DELIMITED, *SHEETS, *DOCUMENTS))
+        if files.limit(1).count() == 0:
+            raise ValueError(f"no tables under {path}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows = parser(name, sheet)(raw)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows), pa.string()), pa.array(range(1, len(rows) + 1), pa.int64()), pa.array(rows, pa.list_(pa.string()))], names=["source_file", "row_number", "cells"])
+                for at in range(0, len(rows), BATCH_ROWS):
+                    part = rows[at : at + BATCH_ROWS]
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(part), pa.string()), pa.array(range(at + 1, at + len(part) + 1), pa.int64()), pa.array(part, pa.list_(pa.string()))], names=["source_file", "row_number", "cells"])
 
     return files.mapInArrow(run, "source_file string, row_number long, cells array<string>")
 
 
+def read_evidence(spark: SparkSession, path: str | None, schema: str, expected: int) -> DataFrame:
+    """Evidence by position (``_pos`` from 0): one record a row of a table; without a path, as many empty ones; another number is an error."""
+    if path is None:
+        return spark.range(expected).select(F.col("id").alias("_pos"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema).fields])
+    files = spark.read.format("binaryFile").load(path)
+    lines = files.select(F.posexplode(F.filter(F.split(F.decode("content", "UTF-8"), "\\r?\\n"), lambda x: x.rlike(r"^\s*\{"))).alias("_pos", "line"))
+    records = lines.select(F.col("_pos").cast("long").alias("_pos"), F.from_json("line", schema).alias("r")).where("r is not null").select("_pos", "r.*")
+    n = records.count()
+    if n != expected:
+        raise ValueError(f"{expected} rows against {n} records of evidence")
+    return records
+
+
 def read_table(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
     """One file as columns named by its first record, with source_file and row_number; rows are cut or filled to the header."""
     rows = scan(spark, path, sheet)

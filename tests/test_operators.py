@@ -1,9 +1,10 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from saltmarsh.operators import align, blocks, cards, categories, mapping, prices, quality, skus
+from saltmarsh.operators import align, blocks, cards, categories, flows, mapping, prices, quality, skus
 from saltmarsh.operators.validation import validate
 
 
@@ -204,3 +205,30 @@ def test_cards_of_pages(spark):
     assert (c.sku, c.name, c.price, c.block_ids, c.issues) == ("A-123", "Crema Azul", "9", ["b0", "b1", "b2"], ["low_confidence"])
     assert cards.cards(lines.limit(0)).count() == 0
     assert [r.source_file for r in cards.nothing_found(blocks_, found).collect()] == ["g"]
+
+
+def test_orders(spark):
+    v = spark.createDataFrame([("B", "2", None), ("A", None, {"k": "2"}), ("A", None, {"k": "1"}), (None, "9", None)], "sku_producto string, sku_variante string, atributos map<string,string>")
+    assert [(r.sku_producto, r.atributos) for r in flows.order_variants(v).collect()] == [(None, None), ("A", {"k": "1"}), ("A", {"k": "2"}), ("B", None)]
+    products = spark.createDataFrame([(2, "rouse", "Zeta", "d"), (3, "Libra", "beta", None), (4, "Libra", "Alfa", "x")], "row_number int, marca string, nombre string, descripcion string")
+    told = spark.createDataFrame([(2, "pass", []), (4, "reconstruct", ["too_short", "mojibake"])], "row_number int, status string, flags array<string>")
+    got = flows.review(products, told).collect()
+    assert [(r.nombre, r.status, r.flags) for r in got] == [("Alfa", "reconstruct", "too_short, mojibake"), ("beta", "sin_evaluar", ""), ("Zeta", "pass", "")]
+
+
+def test_numbers_go_on_over_ranges(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "B", "b", "c/d", "É"]) + str(rng.randrange(60)), i) for i in range(900)] + [(None, 1), (None, 2)]
+    got = align.rebased(spark.createDataFrame(rows, "path string, row int"), "path", "row").collect()
+    order = sorted(rows, key=lambda r: (r[0] is not None, (r[0] or "").lower(), r[0] or "", r[1]))
+    assert [(r.path, r.row) for r in sorted(got, key=lambda r: r.row_number)] == order
+    assert sorted(r.row_number for r in got) == list(range(2, 2 + len(rows)))
+
+
+def test_long_reference_lists_give_the_same(spark):
+    rng = random.Random(4)
+    items = [(i, "".join(rng.choice("abc") for _ in range(rng.randint(1, 6)))) for i in range(150)] + [(999, "")]
+    refs = [("".join(rng.choice("abc") for _ in range(rng.randint(1, 7))), rng.choice("XYZ")) for _ in range(60)] + [("", "X"), (None, "Y")]
+    a, b = spark.createDataFrame(items, "i int, name_key string"), spark.createDataFrame(refs, "ref_key string, category string")
+    got = [sorted((r.i, r.category_score, r.category or "") for r in categories.by_reference(a, b, packed=n).select("i", "category_score", "category").collect()) for n in (1000, 5)]
+    assert got[0] == got[1] and len(got[0]) == 150 and len({c for _, _, c in got[0]}) > 2
