@@ -6,7 +6,7 @@ every other document it is a repeat (what a document repeats of itself stays). R
 run, and runs of at least ``MIN_WORDS`` words are passages to remove: single chunks shared by chance stay. A passage that
 is one short word over and over has no cuts of its own, so copies of it may be cut at different places and then stay.
 
-Digests have 128 bits, so that among 10 ** 13 chunks no two unlike ones are expected to share one; bytes are not compared.
+Digests have 96 bits, so that among 10 ** 13 chunks no two unlike ones are expected to share one; bytes are not compared.
 
 Scale: chunk rows are shuffled once by digest, sorted and read as a stream, so that a task holds one row of the digest at
 hand however many documents share it. Each batch keeps one document's occurrences of a digest for that shuffle;
@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_ROWS, lean, private, ship_package, stored
 
 #: Chunk sizes in bytes: at least, at most; one place in 2 ** CUT_BITS is a cut.
-LEAST, MOST, CUT_BITS = 16, 256, 4
+LEAST, MOST, CUT_BITS = 16, 128, 3
 #: A run of repeats of at least so many words is removed; the ends of a repeated passage lose up to a chunk each.
-MIN_WORDS = 24
+MIN_WORDS = 36
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 GEAR = np.random.default_rng(20240501).integers(0, 1 << 16, 256).astype(np.uint16)
@@ -72,7 +72,7 @@ def cuts(raw: np.ndarray) -> list[int]:
 
 
 def chunk_text(text: str) -> tuple[np.ndarray, list[int], np.ndarray]:
-    """(digests, ends, words): a digest is two words, low and high; words is the number of words that begin in each chunk."""
+    """(digests, ends, words): a digest is two numbers, of 64 and 32 bits; words is the number of words that begin in each chunk."""
     body = text.encode()
     raw = np.frombuffer(body, np.uint8)
     ends = cuts(raw)
@@ -82,7 +82,9 @@ def chunk_text(text: str) -> tuple[np.ndarray, list[int], np.ndarray]:
     begins = np.cumsum(~space & np.r_[True, space[:-1]])
     words = np.diff(np.r_[0, begins[np.array(ends) - 1]])
     digest = xxhash.xxh3_128_digest
-    return np.frombuffer(b"".join([digest(body[a:b]) for a, b in zip([0, *ends], ends)]), np.int64).reshape(-1, 2), ends, words
+    made = np.frombuffer(b"".join([digest(body[a:b]) for a, b in zip([0, *ends], ends)]), np.int64).reshape(-1, 2).copy()
+    made[:, 1] >>= 32
+    return made, ends, words
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") -> DataFrame:
@@ -105,7 +107,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text
                 key, more, doc, begin, end, words = (c[order] for c in columns)
                 repeat = _repeats(key, more, doc)[0]
                 mixed = (doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + begin.view(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.where(repeat, mixed, key)), pa.array(more), pa.array(doc), pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(words), pa.array(repeat)], names=["key", "more", "doc_id", "begin", "end", "words", "repeat"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.where(repeat, mixed, key)), pa.array(more.astype(np.int32)), pa.array(doc), pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(words), pa.array(repeat)], names=["key", "more", "doc_id", "begin", "end", "words", "repeat"])
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None  # digest and first document of the last row
@@ -141,7 +143,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text
         return pa.RecordBatch.from_arrays([pa.array(doc[at]), lists, pa.array(np.add.reduceat(total, at) if len(at) else total, pa.int64())], names=["doc_id", "spans", "words"])
 
     rows = docs.where(F.col("doc_id").isNotNull() & F.col(text).isNotNull()).select(F.col("doc_id").cast("long"), F.col(text))
-    chunks = rows.mapInArrow(lean(chunked), "key long, more long, doc_id long, begin int, end int, words int, repeat boolean")
+    chunks = rows.mapInArrow(lean(chunked), "key long, more int, doc_id long, begin int, end int, words int, repeat boolean")
     repeats = chunks.repartition("key").sortWithinPartitions("key", "more", "doc_id").mapInArrow(lean(marked), "doc_id long, begin int, end int, words int")
     return repeats.repartition("doc_id").sortWithinPartitions("doc_id", "begin", "end").mapInArrow(lean(runs), "doc_id long, spans array<struct<begin:int,end:int>>, words long")
 

@@ -9,8 +9,9 @@ Inner product becomes distance by one more coordinate, the root of (greatest squ
 there. Equal vectors are one point of the graph with all their ids, so ties are found whole.
 
 Scale: indexing is linear (a shard's cost is fixed). A query visits every shard, as the method says, so searching all
-queries against all rows grows with their product over the shard size. The query set travels in blocks, one copy a
-shard; no task holds more than a shard and a block.
+queries against all rows grows with their product over the shard size. The query set travels in blocks, one copy a group of
+shards that together take ``GROUP_BYTES``, and a group gives its k best of each query, so neither the copies nor the
+finds follow the number of shards. A task holds a group and a block.
 
 Defined cases: vectors that are null, empty, zero, of another length than most, or hold null or non-finite components
 take no part, as queries or candidates; rows that repeat an id are one candidate (their best score counts), and one
@@ -28,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship_package, stored
+from .common import lean, ship_package, stored
 
 #: Rows of a shard, edges of a point, search width while building and while querying, and pruning's relaxation.
 SHARD, DEGREE, BUILD_BEAM, QUERY_BEAM, ALPHA = 5_000, 32, 64, 96, 1.2
 QUERY_BLOCK = 1_024
+#: Bytes of the shards that one task searches together.
+GROUP_BYTES = 48 << 20
 _ROWS = 256  # searched or pruned at once
 
 
@@ -194,11 +197,25 @@ def build_index(rows: DataFrame, shard: int = SHARD) -> tuple[DataFrame, int]:
             body = Shard(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([pickle.dumps(body, protocol=5)], pa.binary())], names=["shard_id", "body"])
 
-    return stored(rows.repartition(shards).mapInArrow(build, "shard_id int, body binary"), "graph-index"), shards
+    return stored(rows.repartition(shards).mapInArrow(lean(build), "shard_id int, body binary"), "graph-index"), shards
 
 
-def search_index(index: DataFrame, shards: int, queries: DataFrame, k: int = 20, beam: int = QUERY_BEAM) -> DataFrame:
+def best_of(query_id: np.ndarray, vec_id: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Places of each query's k best, ties to smaller ids; of an id that comes twice its best score."""
+    order = np.lexsort((-score, vec_id, query_id))
+    order = order[np.r_[True, (query_id[order][1:] != query_id[order][:-1]) | (vec_id[order][1:] != vec_id[order][:-1])]] if len(order) else order
+    order = order[np.lexsort((vec_id[order], -score[order], query_id[order]))]
+    head = np.flatnonzero(np.r_[True, query_id[order][1:] != query_id[order][:-1]]) if len(order) else order
+    rank = np.arange(len(order)) - np.repeat(head, np.diff(np.r_[head, len(order)]))
+    return order[rank < k]
+
+
+def search_index(index: DataFrame, shards: int, queries: DataFrame, k: int = 20, beam: int = QUERY_BEAM, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's k best over all shards."""
+    largest = index.agg(F.max(F.octet_length("body")).alias("n")).first().n or 1
+    wanted = max(-(-shards // max(1, group_bytes // largest)), min(shards, index.sparkSession.sparkContext.defaultParallelism))
+    each = -(-shards // wanted)
+    groups = -(-shards // each)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,22 +225,25 @@ def search_index(index: DataFrame, shards: int, queries: DataFrame, k: int = 20,
                 yield pa.RecordBatch.from_arrays([pa.array([int(part.column(0)[0].as_py())], pa.int64()), pa.array([body], pa.binary())], names=["block", "body"])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, here = None, None
+        at, here = None, []
         for batch in batches:
-            for shard, block, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            for group, block, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if group != at:
+                    at, here = group, []
                 loaded = pickle.loads(body.as_py())
                 if block is None:
-                    at, here = shard, loaded
-                elif shard == at:
-                    q, v, s = here.nearest(*loaded, k, beam)
-                    yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(v), pa.array(s)], names=["query_id", "vec_id", "score"])
+                    here.append(loaded)
+                elif here:
+                    q, v, s = (np.concatenate(c) for c in zip(*(shard.nearest(*loaded, k, beam) for shard in here)))
+                    best = best_of(q, v, s, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(q[best]), pa.array(v[best]), pa.array(s[best])], names=["query_id", "vec_id", "score"])
 
     one = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
-    packed = stored(one.select("vec_id", "v").mapInArrow(blocks, "block long, body binary"), "graph-queries")
-    every = packed.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard_id"), "block", "body")
-    both = index.select("shard_id", F.lit(None).cast("long").alias("block"), "body").unionByName(every)
-    placed = both.repartitionById(shards, F.col("shard_id")).sortWithinPartitions("shard_id", F.col("block").asc_nulls_first())
-    found = placed.mapInArrow(find, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    packed = stored(one.select("vec_id", "v").mapInArrow(lean(blocks), "block long, body binary"), "graph-queries")
+    every = packed.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group_id"), "block", "body")
+    both = index.select(F.floor(F.col("shard_id") / each).cast("int").alias("group_id"), F.lit(None).cast("long").alias("block"), "body").unionByName(every)
+    placed = both.repartitionById(groups, F.col("group_id")).sortWithinPartitions("group_id", F.col("block").asc_nulls_first())
+    found = placed.mapInArrow(lean(find), "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int")
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -341,6 +341,15 @@ def test_recall(spark, scaled):
             assert s == pytest.approx(float(x[v] @ x[q]), abs=1e-12)
 
 
+def test_groups_of_shards_find_the_same(spark):
+    rng = np.random.default_rng(6)
+    rows = pg.usable(vectors(spark, rng.normal(size=(900, 8))), "vec_id", "embedding").unionByName(pg.usable(vectors(spark, rng.normal(size=(40, 8))), "vec_id", "embedding"))
+    index, shards = pg.build_index(rows, 60)
+    queries = rows.where("vec_id % 20 = 0")
+    one, all_ = ({tuple(r) for r in pg.search_index(index, shards, queries, 7, group_bytes=n).collect()} for n in (1, 1 << 30))
+    assert shards == 16 and one == all_ and len(one) == 45 * 7
+
+
 def test_ties_and_odd_vectors(spark):
     x = np.array([[1.0, 0], [1, 0], [1, 0], [0, 1], [-1, 0]])
     rows = [(i * 10, [float(v) for v in r], 1) for i, r in enumerate(x)]
