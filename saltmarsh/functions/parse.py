@@ -76,6 +76,10 @@ def is_blank(c: Column) -> Column:
     return F.coalesce(F.trim(c) == "", F.lit(True))
 
 
+#: JSON values other than objects begin like this; pairs seldom do, and parsing them as JSON in vain is slow.
+_MAYBE_JSON = r'^(?:\[|"|-?[0-9]|(?:true|false|null)$)'
+
+
 def attributes(c: Column) -> Column:
     """struct(value map<string,string>, error string) of a JSON object of scalars, or of pairs.
 
@@ -98,7 +102,7 @@ def attributes(c: Column) -> Column:
         t, is_object, keys = src["t"], src["names"].isNotNull(), F.transform(clean, lambda p: p["k"])
         error = (
             F.when(is_blank(t), F.lit(None))
-            .when(~is_object & F.try_parse_json(t).isNotNull(), F.when(t == "null", "invalid pair").otherwise("must be an object"))
+            .when(~is_object & t.rlike(_MAYBE_JSON) & F.try_parse_json(t).isNotNull(), F.when(t == "null", "invalid pair").otherwise("must be an object"))
             .when(F.exists(clean, lambda p: p["k"].isNull()), "invalid pair")
             .when(F.exists(clean, lambda p: p["v"].isNull() | (p["v"] == "")), "empty value")
             .when(is_object & F.exists(pairs, lambda p: p["v"].rlike(r"^\s*[\{\[]")), "nested value")
@@ -114,4 +118,8 @@ def attributes(c: Column) -> Column:
 
         return let(split(src), cleaned)
 
-    return let(F.trim(c), lambda t: let(F.struct(t.alias("t"), F.json_object_keys(t).alias("names"), F.from_json(t, "map<string,string>").alias("raw")), read))
+    def opened(t: Column) -> Column:  # only what begins as an object is parsed as one
+        object_ = t.startswith("{")
+        return F.struct(t.alias("t"), F.when(object_, F.json_object_keys(t)).alias("names"), F.when(object_, F.from_json(t, "map<string,string>")).alias("raw"))
+
+    return let(F.trim(c), lambda t: let(opened(t), read))
