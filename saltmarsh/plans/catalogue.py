@@ -335,12 +335,13 @@ def duplicate_in_batch(t):
 
 @query("""WITH v AS (SELECT l_partkey, '{"linea": "' || l_linestatus || '", "retorno": "' || l_returnflag || '"}' AS a, count(*) AS n FROM lineitem GROUP BY ALL) SELECT CAST(l_partkey AS VARCHAR) || '|' || a AS identity, n, n - 1 AS duplicates FROM v""")
 def variant_identity(t):
-    """F-26, W-02, V-04: parent and attributes, in any order of their keys, are one identity."""
-    attrs = F.when(F.pmod("l_linenumber", F.lit(2)) == 0, F.concat(F.lit("retorno="), "l_returnflag", F.lit(";linea="), "l_linestatus")).otherwise(F.concat(F.lit('{"Línea": "'), "l_linestatus", F.lit('", "Retorno": "'), "l_returnflag", F.lit('"}')))
-    rows = t("lineitem").select(F.col("l_partkey").cast("string").alias("sku_producto"), parse.attributes(attrs)["value"].alias("atributos"))
+    """F-26, W-02, V-04: parent and attributes, in any order of their keys, are one identity; equal spellings are counted before they are parsed."""
     from ..operators.validation import identity
 
-    return rows.select(identity("variantes", rows.columns).alias("identity")).groupBy("identity").agg(F.count("*").alias("n"), (F.count("*") - 1).alias("duplicates"))
+    attrs = F.when(F.pmod("l_linenumber", F.lit(2)) == 0, F.concat(F.lit("retorno="), "l_returnflag", F.lit(";linea="), "l_linestatus")).otherwise(F.concat(F.lit('{"Línea": "'), "l_linestatus", F.lit('", "Retorno": "'), "l_returnflag", F.lit('"}')))
+    said = t("lineitem").groupBy(F.col("l_partkey").cast("string").alias("sku_producto"), attrs.alias("said")).agg(F.count("*").alias("_n"))
+    rows = said.withColumn("atributos", parse.attributes(F.col("said"))["value"])
+    return rows.select(identity("variantes", rows.columns).alias("identity"), "_n").groupBy("identity").agg(F.sum("_n").alias("n"), (F.sum("_n") - 1).alias("duplicates"))
 
 
 @query("""SELECT 'orders_without_customer' AS what, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
@@ -409,13 +410,15 @@ def source_summary(t):
 
 def _price_rows(t) -> tuple[DataFrame, DataFrame]:
     key = fold.match_key(F.col("p_name"))
-    items = t("part").where("p_size <= 4").select(F.col("p_partkey").alias("sku"), key.alias("name_key"), F.col("p_brand").alias("brand"))
+    listed = t("part").groupBy(key.alias("_k"), F.col("p_brand").alias("brand")).agg(F.min("p_partkey").alias("sku"), F.max("p_size").alias("_s"))
+    items = listed.select("sku", F.when(F.col("_s") % 3 == 0, F.concat("_k", F.lit("nuevo"))).otherwise(F.col("_k")).alias("name_key"), "brand")  # some were renamed
     rows = t("part").select(F.col("p_partkey").alias("price_id"), key.alias("name_key"), F.col("p_brand").alias("brand"), F.col("p_retailprice").alias("price"))
     return rows, items
 
 
 _TARGETS = """rows AS (SELECT p_partkey AS price_id, regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g') AS name_key, p_brand AS brand, p_retailprice AS price FROM part),
-items AS (SELECT p_partkey AS sku, regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g') AS name_key, p_brand AS brand FROM part WHERE p_size <= 4),
+listed AS (SELECT min(p_partkey) AS sku, regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g') AS k, p_brand AS brand, max(p_size) AS s FROM part GROUP BY k, p_brand),
+items AS (SELECT sku, CASE WHEN s % 3 = 0 THEN k || 'nuevo' ELSE k END AS name_key, brand FROM listed),
 aliases AS (SELECT p_brand AS brand, min(regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g')) AS alias_key, max(regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g')) AS catalog_key FROM part GROUP BY p_brand),
 keyed AS (SELECT r.*, coalesce(a.catalog_key, r.name_key) AS target_key, a.catalog_key IS NOT NULL AS by_alias FROM rows r LEFT JOIN aliases a ON r.brand = a.brand AND r.name_key = a.alias_key),
 hits AS (SELECT k.price_id, count(i.sku) AS n, count(i.sku) FILTER (WHERE i.brand = k.brand) AS nb, min(i.sku) AS only_, min(i.sku) FILTER (WHERE i.brand = k.brand) AS mine FROM keyed k LEFT JOIN items i ON k.target_key = i.name_key GROUP BY k.price_id),
@@ -653,11 +656,11 @@ def positional_join(t):
     return align.by_position(left, t("customer").select(F.col("c_custkey").alias("_pos"), "c_mktsegment"))
 
 
-@query("SELECT CAST(p_partkey AS VARCHAR) AS sku, p_name AS nombre, p_retailprice AS precio, CAST(NULL AS INTEGER) AS stock, 'a' AS entity FROM part WHERE p_size < 10 UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_name, NULL, p_size, 'b' FROM part WHERE p_size >= 40")
+@query("SELECT CAST(p_partkey AS VARCHAR) AS sku, p_name AS nombre, p_retailprice AS precio, CAST(NULL AS INTEGER) AS stock, 'a' AS entity FROM part UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_name, NULL, p_size, 'b' FROM part")
 def append_union(t):
     """U-01, U-02, U-03, C-09: bag union by name, each row with the name of its table."""
-    a = t("part").where("p_size < 10").select(F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("nombre"), F.col("p_retailprice").alias("precio"))
-    b = t("part").where("p_size >= 40").select(F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("nombre"), F.col("p_size").alias("stock"))
+    a = t("part").select(F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("nombre"), F.col("p_retailprice").alias("precio"))
+    b = t("part").select(F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("nombre"), F.col("p_size").alias("stock"))
     return align.tagged({"a": a, "b": b}).select("sku", "nombre", "precio", "stock", "entity")
 
 
@@ -670,10 +673,10 @@ def set_checks(t):
     return a.join(F.broadcast(b)).join(F.broadcast(part.agg(F.count_distinct("p_type").alias("kinds"))))
 
 
-@query("SELECT doc_id, row_number() OVER (ORDER BY lower(source), source, doc_id) + 1 AS row_number FROM documents WHERE source IS NOT NULL")
+@query("SELECT doc_id, row_number() OVER (ORDER BY lower(source) NULLS FIRST, source NULLS FIRST, doc_id) + 1 AS row_number FROM documents")
 def rebase_rows(t):
     """W-04, S-16: rows of all files numbered in order of their folded paths."""
-    return align.rebased(t("documents").where("source is not null").select("doc_id", "source"), "source", "doc_id").select("doc_id", "row_number")
+    return align.rebased(t("documents").select("doc_id", "source"), "source", "doc_id").select("doc_id", "row_number")
 
 
 # ---- blocks of documents
