@@ -5,8 +5,8 @@ to every worker; tier two is each worker's own cache, filled by encoding what ti
 No pre-token is shuffled: each task reads its documents into one bounded summary, a single row, and whole summaries are
 merged by a tree.
 
-A pre-token here is a white-space-delimited word, the longest unit that the vocabulary encodes
-independently of its neighbours (see ``word_bpe``).
+Units are the vocabulary's pre-tokens, and whole words where a text holds something that only the library splits (see
+``word_bpe``).
 
 Defined cases: null text counts as empty (0 bytes, 0 tokens); a null id stays null; repeated rows are
 counted each; an empty table gives an empty result; other columns of the input are not read.
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import lean, release, ship_package, stored, vocabulary
-from .word_bpe import MAX_CACHED_WORD, LengthCache, WordEncoder, worker_cache, words
+from .word_bpe import MAX_CACHED, LengthCache, WordEncoder, worker_cache
 
 #: Entries of the broadcast table and of a summary, and summaries that are merged at once: all fixed, whatever the corpus.
 TABLE_WORDS = 65_536
@@ -32,7 +32,7 @@ FAN_IN = 32
 
 
 def summary(counts: Counter, most: int) -> bytes:
-    """The most frequent words and their counts as one value; ties go to the smaller word."""
+    """The most frequent units and their counts as one value; ties go to the smaller one."""
     top = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:most]
     return "\n".join(f"{n} {w}" for w, n in top).encode()
 
@@ -47,25 +47,27 @@ def merged(summaries: Iterable[bytes]) -> Counter:
     return total
 
 
-def frequent_words(docs: DataFrame, text: str = "text", table_words: int = TABLE_WORDS, summary_words: int = SUMMARY_WORDS, fan_in: int = FAN_IN) -> list[str]:
-    """The most frequent words over all documents, from bounded heavy-hitter summaries merged by a tree.
+def frequent_units(docs: DataFrame, vocabulary_json: bytes, text: str = "text", table_words: int = TABLE_WORDS, summary_words: int = SUMMARY_WORDS, fan_in: int = FAN_IN) -> list[str]:
+    """The most frequent units over all documents, from bounded heavy-hitter summaries merged by a tree.
 
-    A task counts each batch apart and keeps words that occur at least twice in a batch; it holds at most four times
+    A task counts each batch apart and keeps units that occur at least twice in a batch; it holds at most four times
     ``summary_words`` entries at any time.
     """
     ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary_json)
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
+        units = worker_cache(LengthCache, shared.value).encoder.units
         for batch in batches:
             column = batch.column(0)
             for at in range(0, len(column), 256):
                 part: Counter = Counter()
                 for t in column.slice(at, 256).to_pylist():
                     if t:
-                        part.update(words(t))
+                        part.update(units(t))
                 for w, n in part.items():
-                    if n > 1 and len(w) <= MAX_CACHED_WORD and "\n" not in w:
+                    if n > 1 and len(w) <= MAX_CACHED and "\n" not in w:
                         total[w] += n
                 if len(total) > 4 * summary_words:
                     total = Counter(dict(total.most_common(2 * summary_words)))
@@ -77,7 +79,7 @@ def frequent_words(docs: DataFrame, text: str = "text", table_words: int = TABLE
         if total:
             yield pa.RecordBatch.from_arrays([pa.array([summary(total, summary_words)], pa.binary())], names=["body"])
 
-    spark, level = docs.sparkSession, stored(docs.select(F.col(text)).mapInArrow(lean(summarise), "body binary"), "token-summaries")
+    spark, level = docs.sparkSession, stored(docs.select(F.col(text)).mapInArrow(summarise, "body binary"), "token-summaries")
     while (n := level.count()) > fan_in:
         below, level = level, stored(level.repartition(-(-n // fan_in)).mapInArrow(lean(merge), "body binary"), "token-summaries")
         release(spark, [below])
@@ -86,11 +88,10 @@ def frequent_words(docs: DataFrame, text: str = "text", table_words: int = TABLE
     return [w for w, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:table_words]]
 
 
-def length_table(words_: list[str], vocabulary_json: bytes) -> tuple[bytes, bytes]:
-    """Words and their lengths, packed: newline-joined UTF-8 and one byte a length (no frequent word needs more than 255 ids)."""
+def length_table(units: list[str], vocabulary_json: bytes) -> tuple[bytes, bytes]:
+    """Units and their lengths, packed: newline-joined UTF-8 and one byte a length (no frequent unit needs more than 255 ids)."""
     encoder = WordEncoder(vocabulary_json)
-    lengths = [len(encoder.word(w)) for w in words_]
-    kept = [(w, n) for w, n in zip(words_, lengths) if n < 256 and "\n" not in w]
+    kept = [(u, n) for u, n in ((u, len(encoder.unit(u))) for u in units) if n < 256]
     return "\n".join(w for w, _ in kept).encode(), bytes(n for _, n in kept)
 
 
@@ -98,7 +99,7 @@ def count_tokens(docs: DataFrame, vocabulary_json: bytes | None = None, limit: i
     """doc_id, n_bytes, n_tokens and over_limit of every document; equals the library's encoding without added tokens."""
     spark = docs.sparkSession
     vocabulary_json = vocabulary_json or vocabulary("word_bpe_49k.json")
-    shared = spark.sparkContext.broadcast((vocabulary_json, *length_table(frequent_words(docs, text), vocabulary_json)))
+    shared = spark.sparkContext.broadcast((vocabulary_json, *length_table(frequent_units(docs, vocabulary_json, text), vocabulary_json)))
     key = uuid.uuid4().hex
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

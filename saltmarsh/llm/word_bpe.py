@@ -1,9 +1,9 @@
-"""Exact encoding with a word-end BPE vocabulary, cached by white-space-delimited word.
+"""Exact encoding with a word-end BPE vocabulary, cached by pre-token.
 
-The vocabulary's normaliser folds white space and lower-cases, and its pre-tokeniser never
-matches white space, so a text's ids are the concatenation of its words' ids. Words of plain
-Latin letters, digits and ASCII signs are split and merged here; any other word (combining
-marks, other scripts, special-token strings) goes to the tokenizers library itself.
+The vocabulary's normaliser folds white space and lower-cases, and its pre-tokeniser never matches white space, so a
+text's ids are the concatenation of its pre-tokens' ids. Texts of plain Latin letters, digits, ASCII signs and white space
+are split and merged here; in other texts any word with something else in it (combining marks, other scripts,
+special-token strings) is a unit that goes to the tokenizers library whole.
 """
 
 from __future__ import annotations
@@ -15,18 +15,19 @@ from array import array
 from .common import worker_state
 
 _SIMPLE = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
-#: The commonest words: letters, and at most one sign after them.
-_LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?])?")
+_SIMPLE_TEXT = re.compile(r"[\t-\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 _PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 #: str.split() takes these four for white space; the vocabulary's pattern does not.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 _SAFE_SPACE = re.compile(r"[ \t\n\r]+")
-#: Longer words are encoded but not kept.
-MAX_CACHED_WORD = 64
-#: What a worker's caches may take in all, in bytes: words, and the pre-tokens that they share.
-WORD_BYTES, PRETOKEN_BYTES = 80 << 20, 24 << 20
+#: What marks a unit that is a whole word for the library; no pre-token begins so.
+_WHOLE = " "
+#: Longer units are encoded but not kept; longer pre-tokens are left to the library (the merge loop here is quadratic).
+MAX_CACHED, MAX_MERGED = 64, 256
+#: What a worker's cache may take in all, in bytes.
+CACHE_BYTES = 96 << 20
 #: What an entry takes besides its characters and ids: two objects' headers and a place in the table.
-ENTRY_BYTES = 220
+ENTRY_BYTES = 160
 
 
 def byte_letters() -> dict[int, str]:
@@ -46,7 +47,7 @@ def words(text: str) -> list[str]:
 class WordEncoder:
     """ids(word) of a BPE vocabulary in the tokenizers JSON format, merges and all."""
 
-    def __init__(self, vocabulary_json: bytes, max_bytes: int = PRETOKEN_BYTES):
+    def __init__(self, vocabulary_json: bytes):
         from tokenizers import Tokenizer
 
         spec = json.loads(vocabulary_json)
@@ -65,22 +66,25 @@ class WordEncoder:
         self.inner = [self.vocab[letters[b]] for b in range(256)]
         self.final = [self.vocab[letters[b] + self.end] for b in range(256)]
         self.specials = [t["content"] for t in spec["added_tokens"]]
-        self.letters_are_plain = not any(s.isalpha() for s in self.specials)
-        self.max_bytes, self.bytes = max_bytes, 0
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-
-    def pretoken(self, piece: str) -> tuple[int, ...]:
-        got = self.known.get(piece)
-        if got is None:
-            if len(piece) > 256:  # the pairwise merge loop is quadratic; the library's is not
-                return tuple(self.library.encode(piece, add_special_tokens=False).ids)
-            got = self.older.get(piece) or self._merge(piece)
-            self.bytes += ENTRY_BYTES + len(piece) + 8 * len(got)
-            if self.bytes > self.max_bytes // 2:
-                self.known, self.older, self.bytes = {}, self.known, 0
-            self.known[piece] = got
-        return got
+
+    def units(self, text: str) -> list[str]:
+        """The parts of a text that are encoded apart: its pre-tokens, or whole words for the library."""
+        special = any(s in text for s in self.specials)
+        if not special and _SIMPLE_TEXT.fullmatch(text):
+            return _PRETOKEN.findall(text.lower())
+        out: list[str] = []
+        for word in words(text):
+            if _SIMPLE.fullmatch(word) and not (special and any(s in word for s in self.specials)):
+                out += _PRETOKEN.findall(word.lower())
+            else:
+                out.append(_WHOLE + word)
+        return out
+
+    def unit(self, unit: str) -> list[int] | tuple[int, ...]:
+        """Ids of one such part."""
+        if unit[0] == _WHOLE or len(unit) > MAX_MERGED:
+            return self.library.encode(unit.removeprefix(_WHOLE), add_special_tokens=False).ids
+        return self._merge(unit)
 
     def _merge(self, piece: str) -> tuple[int, ...]:
         """Lowest rank first, leftmost among equals; only the two ranks beside a merge are looked up again."""
@@ -100,27 +104,11 @@ class WordEncoder:
                 ranks[i] = get(left << 16 | parts[i + 1], none)
         return tuple(parts)
 
-    def word(self, word: str) -> list[int] | tuple[int, ...]:
-        if self.letters_are_plain and (m := _LETTERS.fullmatch(word)):
-            letters, sign = m.groups()
-            ids = self.pretoken(letters.lower())
-            return ids + self.pretoken(sign) if sign else ids
-        if _SIMPLE.fullmatch(word) and not any(s in word for s in self.specials):
-            low = word.lower()
-            pieces = _PRETOKEN.findall(low)
-            if len(pieces) == 1:
-                return self.pretoken(pieces[0])
-            out: list[int] = []
-            for p in pieces:
-                out += self.pretoken(p)
-            return out
-        return self.library.encode(word, add_special_tokens=False).ids
-
 
 class _Cache(dict):
-    """Word -> value with misses computed once. The fixed tier stays; of the rest, two generations are kept within a number of bytes.
+    """Unit -> value with misses computed once. The fixed tier stays; of the rest, two generations are kept within a number of bytes.
 
-    A word met again moves from the old generation to the new one; when the new one is full it becomes the old one.
+    A unit met again moves from the old generation to the new one; when the new one is full it becomes the old one.
     """
 
     def __init__(self, encoder: WordEncoder, fixed: dict, max_bytes: int):
@@ -128,40 +116,40 @@ class _Cache(dict):
         self.encoder, self.fixed, self.max_bytes, self.bytes = encoder, fixed, max_bytes, 0
         self.old: dict = {}
 
-    def __missing__(self, word: str):
-        value = self.old.get(word)
+    def __missing__(self, unit: str):
+        value = self.old.get(unit)
         if value is None:
-            value = self.value(self.encoder.word(word))
-        if len(word) <= MAX_CACHED_WORD:
-            self.bytes += ENTRY_BYTES + len(word) + (len(value) if isinstance(value, bytes) else 0)
+            value = self.value(self.encoder.unit(unit))
+        if len(unit) <= MAX_CACHED:
+            self.bytes += ENTRY_BYTES + len(unit) + (len(value) if isinstance(value, bytes) else 0)
             if self.bytes > self.max_bytes // 2:
                 self.old, self.bytes = dict(self), 0
                 self.clear()
                 self.update(self.fixed)
-            self[word] = value
+            self[unit] = value
         return value
 
 
 class LengthCache(_Cache):
-    """Number of ids of each word."""
+    """Number of ids of each unit."""
 
     value = staticmethod(len)
 
     def count(self, text: str) -> int:
-        return sum(map(self.__getitem__, words(text)))
+        return sum(map(self.__getitem__, self.encoder.units(text)))
 
 
 class IdCache(_Cache):
-    """Ids of each word as little-endian unsigned 32-bit bytes."""
+    """Ids of each unit as little-endian unsigned 32-bit bytes."""
 
     @staticmethod
     def value(ids) -> bytes:
         return array("I", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, words(text)))
+        return b"".join(map(self.__getitem__, self.encoder.units(text)))
 
 
-def worker_cache(kind: type[_Cache], vocabulary_json: bytes, fixed: dict[str, int] | None = None, key: str = "", max_bytes: int = WORD_BYTES) -> _Cache:
+def worker_cache(kind: type[_Cache], vocabulary_json: bytes, fixed: dict[str, int] | None = None, key: str = "", max_bytes: int = CACHE_BYTES) -> _Cache:
     """The cache of this Python worker; it outlives single tasks because Spark reuses its workers."""
     return worker_state((kind.__name__, hash(vocabulary_json), key), lambda: kind(WordEncoder(vocabulary_json), fixed or {}, max_bytes))

@@ -19,9 +19,11 @@ PIECES = vocabulary("piece_bpe_32k.model")
 TEXTS = ["", None, "Hello, world! it's 12 o'clock", "a" * 5000, "<|endoftext|> x<|endoftext|>y", "Über die Brücke — ça va?", "日本 語\x1cn\x85o\n\n", "word " * 3000, "<s></s> ▁▁ \x00", "same", "same"]
 
 
-def soup(seed, n):
+def soup(seed, n, plain=False):
     rng = random.Random(seed)
     pool = list("aB'sé ÀßΣς́İı\x1c\x85  \u200b日7½\n\t_-.Ⅷ!🙂▁<>/") + ["'ll", "<|endoftext|>", "the", "  ", "�"]
+    if plain:  # what is split without the library
+        pool = list("aBcÑ'sé ÀßÿØ7\n\t\v\f\r_-.!<>/|\"§"[:-1]) + ["'ll", "'re", "'T", "''", "the", "ing", "  "]
     return ["".join(rng.choice(pool) for _ in range(rng.randint(0, 25))) for _ in range(n)]
 
 
@@ -31,8 +33,8 @@ def frame(spark, texts):
 
 def test_word_ids_equal_the_library():
     encoder, library = WordEncoder(WORDS), Tokenizer.from_str(WORDS.decode())
-    ids, lengths = IdCache(encoder, {}, 50), LengthCache(encoder, {"the": 1}, 50)
-    for t in soup(1, 1500) + [t or "" for t in TEXTS]:
+    ids, lengths = IdCache(encoder, {}, 20_000), LengthCache(encoder, {"the": 1}, 20_000)
+    for t in soup(1, 1500) + soup(3, 1500, plain=True) + [t or "" for t in TEXTS]:
         want = library.encode(t, add_special_tokens=False).ids
         assert ids.encode(t) == array("I", want).tobytes()
         assert lengths.count(t) == len(want)
