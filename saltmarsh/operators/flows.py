@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import parse, presentation, titles
 from ..functions import text as fold
 from ..schema import fields_for
+from ..shared import stored
 from . import align, blocks, cards, categories, prices, skus
 from .validation import Validated, validate
 
@@ -171,7 +172,7 @@ def batch(block_rows: DataFrame, rules: BatchRules, errors: DataFrame | None = N
     lines = cards.lines_of(known.where("role <> 'excluded'"))
     of_role = lines.join(known.select("source_file", "role").distinct(), "source_file")
     entries = category_entries(of_role.where("role = 'category_index'"))
-    found = cards.with_issues(cards.cards(of_role.where("role = 'catalog_source'").drop("role"), gap, columns), threshold, gate=gate)
+    found = stored(cards.with_issues(cards.cards(of_role.where("role = 'catalog_source'").drop("role"), gap, columns), threshold, gate=gate), "batch-cards")
     heights = block_rows.groupBy("source_file", "page_number").agg(F.max("height").alias("height"))
     low = blocks.keep_below_middle(found.join(heights, ["source_file", "page_number"], "left"))
     kept = low.where(listed(F.col("source_file"), rules.keep_bottom_only)).unionByName(found.where(~listed(F.col("source_file"), rules.keep_bottom_only)), allowMissingColumns=True).drop("height")

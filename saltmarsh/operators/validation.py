@@ -1,10 +1,10 @@
-"""Validation of typed records: every rule a Column, one window for duplicates, rows routed by their issues."""
+"""Validation of typed records: every rule a Column, repeated identities counted map-side, rows routed by their issues."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import is_blank
@@ -88,9 +88,10 @@ def validate(records: DataFrame, entity: str, row: str = "row_number", coercion:
     """
     columns = records.columns
     named = records.withColumn("_identity", identity(entity, columns))
-    # records without an identity go by their own row, so that they do not meet in one partition
-    apart = Window.partitionBy("_identity", F.when(F.col("_identity").isNull(), F.col(row)))
-    with_first = named.withColumn("first_row", F.when(F.col("_identity").isNotNull(), F.min(row).over(apart)))
+    # only identities that repeat are joined back: few as a rule, and one row each however many records share one
+    repeated = named.where("_identity is not null").groupBy(F.col("_identity").alias("_repeated")).agg(F.min(row).alias("_least"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    joined = named.join(repeated, F.col("_identity") == F.col("_repeated"), "left")
+    with_first = joined.withColumn("first_row", F.when(F.col("_identity").isNotNull(), F.coalesce("_least", row))).drop("_repeated", "_least")
     found = rules(entity, [c for c in columns if not (text_comparison and c == "precio_comparacion")])
     found.append(issue("duplicate_in_batch", None, F.col("first_row").isNotNull() & (F.col(row) > F.col("first_row"))))
     issues = F.array_compact(F.array(*found))
