@@ -4,23 +4,20 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shared import shared_dir
+from ..shared import release, shared_dir, stored, tables_made
 from ..shipping import ship_package
 
 __all__ = ["BROADCAST_ROWS", "arrow_types", "bounded_broadcast", "lean", "map_rows", "private", "release", "shared_dir", "ship_package", "stored", "table", "tables_made", "vocabulary", "worker_state"]
 
 #: Rows that a broadcast side may have at most; beyond it the callers shuffle instead.
 BROADCAST_ROWS = 200_000
-#: Tables that this driver has written and not deleted, oldest first.
-_MADE: list[str] = []
 #: What a Python worker keeps between tasks: one entry at most.
 _STATE: dict[object, object] = {}
 
@@ -37,32 +34,6 @@ def vocabulary(name: str) -> bytes:
     return Path(public_tokenizers.path(name)).read_bytes()
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage so that a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/saltmarsh/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _MADE.append(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.stored_at = path
-    return out
-
-
-def tables_made() -> set[str]:
-    """The tables of stored() that are still there."""
-    return set(_MADE)
-
-
-def release(spark: SparkSession, tables: Iterable[DataFrame | str]) -> None:
-    """Delete tables of stored() that nothing reads any more."""
-    for t in tables:
-        path = t if isinstance(t, str) else t.stored_at
-        if path in _MADE:
-            _MADE.remove(path)
-            there = spark._jvm.org.apache.hadoop.fs.Path(path)
-            there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
-
-
 def private(df: DataFrame, *names: str) -> list[str]:
     """Column names like these that df does not have, in any case."""
     taken = {c.lower() for c in df.columns}
