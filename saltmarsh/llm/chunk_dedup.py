@@ -9,9 +9,9 @@ is one short word over and over has no cuts of its own, so copies of it may be c
 Digests have 96 bits, so that among 10 ** 13 chunks no two unlike ones are expected to share one; bytes are not compared.
 
 Scale: chunk rows are shuffled once by digest, sorted and read as a stream, so that a task holds one row of the digest at
-hand however many documents share it. Each batch keeps one document's occurrences of a digest for that shuffle;
+hand however many documents share it. Every few megabytes of text keep one document's occurrences of a digest for that shuffle;
 those in other documents are known repeats already and travel under a key of their own row, so a digest that a third of
-all documents share costs one document's rows a batch. Repeats alone are then gathered by document, again as a stream of
+all documents share costs one document's rows every few megabytes. Repeats alone are then gathered by document, again as a stream of
 which a task holds one document's.
 
 Defined cases: null text is empty; a row without id takes no part and stays whole; rows that repeat an id with the same
@@ -35,6 +35,8 @@ from .common import BROADCAST_ROWS, lean, private, ship_package, stored
 LEAST, MOST, CUT_BITS = 16, 128, 3
 #: A run of repeats of at least so many words is removed; the ends of a repeated passage lose up to a chunk each.
 MIN_WORDS = 36
+#: Bytes of text whose chunks are folded at once.
+HELD_BYTES = 6 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 GEAR = np.random.default_rng(20240501).integers(0, 1 << 16, 256).astype(np.uint16)
@@ -97,17 +99,26 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text
     def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts: list[tuple] = []
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            size = 0
+            for i in range(batch.num_rows):
+                d, t = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 digests, ends, words = chunk_text(t)
                 if ends:
                     parts.append((digests[:, 0], digests[:, 1], np.full(len(ends), d, np.int64), np.array([0, *ends[:-1]], np.int64), np.array(ends, np.int64), words.astype(np.int32)))
+                    size += ends[-1]
+                if size > HELD_BYTES:
+                    yield folded(parts)
+                    parts, size = [], 0
             if parts:
-                columns = [np.concatenate(c) for c in zip(*parts)]
-                order = np.lexsort((columns[3], columns[2], columns[1], columns[0]))
-                key, more, doc, begin, end, words = (c[order] for c in columns)
-                repeat = _repeats(key, more, doc)[0]
-                mixed = (doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + begin.view(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.where(repeat, mixed, key)), pa.array(more.astype(np.int32)), pa.array(doc), pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(words), pa.array(repeat)], names=["key", "more", "doc_id", "begin", "end", "words", "repeat"])
+                yield folded(parts)
+
+    def folded(parts: list[tuple]) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        order = np.lexsort((columns[3], columns[2], columns[1], columns[0]))
+        key, more, doc, begin, end, words = (c[order] for c in columns)
+        repeat = _repeats(key, more, doc)[0]
+        mixed = (doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + begin.view(np.uint64)).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.where(repeat, mixed, key)), pa.array(more.astype(np.int32)), pa.array(doc), pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(words), pa.array(repeat)], names=["key", "more", "doc_id", "begin", "end", "words", "repeat"])
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None  # digest and first document of the last row
