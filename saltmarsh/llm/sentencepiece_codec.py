@@ -28,11 +28,12 @@ from pyspark.sql import functions as F
 from .common import ship_package, vocabulary, worker_state
 
 SPACE = "▁"
+_PLAIN = re.compile("[A-Za-z0-9À-ÖØ-öø-ÿ]")
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Units of more characters are encoded but not kept.
 MAX_CACHED_UNIT = 64
 #: What a worker's cache may take, in bytes, and what an entry takes besides its content.
-UNIT_BYTES, ENTRY_BYTES = 128 << 20, 400
+UNIT_BYTES, ENTRY_BYTES = 112 << 20, 200
 
 
 def _one_byte(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -147,24 +148,24 @@ class Normalizer:
 
 
 class _Units(dict):
-    """Unit -> its encoding, computed once; two generations are kept within a number of bytes, so that common units stay."""
+    """Unit -> its ids as unsigned 32-bit bytes, computed once; two generations are kept within a number of bytes, so that common units stay."""
 
     def __init__(self, codec: Codec, max_bytes: int):
         super().__init__()
         self.codec, self.max_bytes, self.bytes, self.old = codec, max_bytes, 0, {}
 
-    def put(self, unit: str, got: tuple[bytes, bytes, str]) -> None:
-        self.bytes += ENTRY_BYTES + len(unit) + len(got[0]) + len(got[1]) + len(got[2])
+    def put(self, unit: str, ids: bytes) -> None:
+        self.bytes += ENTRY_BYTES + 2 * len(unit) + len(ids)
         if self.bytes > self.max_bytes // 2:
             self.old, self.bytes = dict(self), 0
             self.clear()
-        self[unit] = got
+        self[unit] = ids
 
-    def __missing__(self, unit: str) -> tuple[bytes, bytes, str]:
-        got = self.old.get(unit) or self.codec.encode_unit(unit)
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.old.get(unit) or self.codec.encode_unit(unit)
         if len(unit) <= MAX_CACHED_UNIT:
-            self.put(unit, got)
-        return got
+            self.put(unit, ids)
+        return ids
 
 
 class Codec:
@@ -193,15 +194,20 @@ class Codec:
         self.joined_space = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         #: Control characters of no piece part units, too: no merge crosses them.
         self.barriers = "".join(c for c in "\n\t\r" if not any(c in p for p in self.ids))
+        #: Signs that no piece joins to a letter or digit before them: a word ends there, so that it is one unit with any sign after it.
+        joined = {p[1] for p in self.inside if _PLAIN.match(p[0])}
+        ends = re.escape("".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c not in joined))
         no = re.escape(self.barriers)
-        self.unit = re.compile(rf"{SPACE}+[^{SPACE}{no}]*|[^{SPACE}{no}]+" + (f"|[{no}]+" if no else "")) if not self.joined_space else re.compile(r"(?s).+")
+        word = rf"{SPACE}+{_PLAIN.pattern}++(?=[{ends}])|" if ends else ""
+        self.unit = re.compile(rf"{word}{SPACE}+[^{SPACE}{no}]*|[^{SPACE}{no}]+" + (f"|[{no}]+" if no else "")) if not self.joined_space else re.compile(r"(?s).+")
         self.cache = _Units(self, max_bytes)
         #: Units new to a worker are segmented by the library where it would normalise them to themselves; else by ``merge``.
         self.library = SentencePieceProcessor(model_proto=model)
         self.by_library = by_library and self.normalizer.plain and self.prefix and not self.joined_space
-        self.sizes = [1 if p.type == BYTE else len(p.piece.encode()) for p in proto.pieces]
-        high = [i for b, i in self.bytes.items() if b >= 0x80]
-        self.high = (min(high), max(high)) if high else (1, 0)
+        #: Normalised bytes of each piece, the byte that it stands for (-1: none), and its id as text.
+        self.sizes = np.array([1 if p.type == BYTE else len(p.piece.encode()) for p in proto.pieces], np.int64)
+        self.byte_of = np.array([int(p.piece[1:-1], 16) if p.type == BYTE else -1 for p in proto.pieces], np.int16)
+        self.said = [str(i) for i in range(len(proto.pieces))]
 
     def _surface(self, piece, trainer) -> bytes:
         if piece.type == BYTE:
@@ -247,48 +253,49 @@ class Codec:
                     heappush(heap, (-scores[k], a, parts[a] + parts[b]))
         return [p for p in parts if p]
 
-    def encode_unit(self, unit: str) -> tuple[bytes, bytes, str]:
-        """(ids, the normalised bytes each piece has, ids as text) of a unit; a character without a piece becomes its bytes."""
-        inside = self.inside
-        cuts = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in inside]
-        if not cuts:
-            return self._encode_part(unit)
-        parts = [self.cache[unit[a:b]] for a, b in zip([0, *cuts], [*cuts, len(unit)])]
-        return b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts]), ",".join([p[2] for p in parts])
-
-    def _encode_part(self, part: str) -> tuple[bytes, bytes, str]:
-        ids, sizes = array("I"), array("I")
-        for p in self.merge(part):
+    def pieces(self, unit: str) -> list[str]:
+        """Pieces of a unit, and characters that are no piece."""
+        cuts = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in self.inside]
+        return [p for a, b in zip([0, *cuts], [*cuts, len(unit)]) for p in self.merge(unit[a:b])]
+
+    def encode_unit(self, unit: str) -> bytes:
+        """Ids of a unit; a character without a piece becomes its bytes, or is unknown."""
+        ids = array("I")
+        for p in self.pieces(unit):
             k = self.ids.get(p)
-            raw = p.encode()
             if k is not None:
                 ids.append(k)
-                sizes.append(len(raw))
-            elif self.bytes:  # the span of a character's last byte holds it whole, as in the library
-                ids.extend(self.bytes[b] for b in raw)
-                sizes.extend([0] * (len(raw) - 1) + [len(raw)])
+            elif self.bytes:
+                ids.extend(self.bytes[b] for b in p.encode())
             else:
                 ids.append(self.unknown)
-                sizes.append(len(raw))
-        return ids.tobytes(), sizes.tobytes(), ",".join(map(str, ids))
-
-    def units(self, normalized: str) -> list[tuple[bytes, bytes, str]]:
-        return list(map(self.cache.__getitem__, self.unit.findall(normalized)))
+        return ids.tobytes()
 
     def warm(self, texts: list[list[str]]) -> None:
         """Take the new units of many texts into the cache at once: one library call, far cheaper than one a unit.
 
-        Units that do not begin with a space, or that need several byte pieces for a character, are left to ``encode_unit``.
+        Units that do not begin with a space are left to ``encode_unit``.
         """
         if not self.by_library:
             return
         cache, old = self.cache, self.cache.old
         new = [u for u in set().union(*texts).difference(cache) if u[0] == SPACE and 1 < len(u) <= MAX_CACHED_UNIT and u not in old]
-        low, high, sizes = *self.high, self.sizes
         # the library's own dummy prefix stands for a unit's first space
         for u, ids in zip(new, self.library.encode([u[1:].replace(SPACE, " ") for u in new], num_threads=1)):
-            if min(ids) > high or not any(low <= i <= high for i in ids):
-                cache.put(u, (array("I", ids).tobytes(), array("I", [sizes[i] for i in ids]).tobytes(), str(ids)[1:-1].replace(" ", "")))
+            if self.bytes or self.unknown not in ids:  # the library joins unknown neighbours
+                cache.put(u, array("I", ids).tobytes())
+
+    def piece_sizes(self, ids: np.ndarray, units: list[str]) -> np.ndarray:
+        """Normalised bytes of each piece; of a character's several byte pieces the last has them all, as in the library."""
+        if not self.bytes and (ids == self.unknown).any():  # an unknown character's size is not in its id
+            return np.array([len(p.encode()) for u in units for p in self.pieces(u)], np.int64)
+        sizes, byte = self.sizes[ids], self.byte_of[ids]
+        if (byte >= 0x80).any():
+            sizes[byte >= 0x80] = 0
+            lead = np.flatnonzero(byte >= 0xC0)
+            width = 2 + (byte[lead] >= 0xE0) + (byte[lead] >= 0xF0)
+            sizes[lead + width - 1] = width
+        return sizes
 
     def encode(self, text: str) -> list[int]:
         return self.project(*self.segmented(text))[0]
@@ -300,9 +307,11 @@ class Codec:
 
     def project(self, units: list[str], source: np.ndarray) -> tuple[list[int], np.ndarray, str]:
         """Ids, the places in the source that part them (one more than ids: a piece lies between two), and ids as text."""
-        got = list(map(self.cache.__getitem__, units))
-        sizes = np.frombuffer(b"".join([u[1] for u in got]), np.uint32)
-        return array("I", b"".join([u[0] for u in got])).tolist(), source[np.r_[0, np.cumsum(sizes, dtype=np.int64)]], ",".join([u[2] for u in got])
+        ids = np.frombuffer(b"".join(map(self.cache.__getitem__, units)), np.uint32)
+        bounds = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(self.piece_sizes(ids, units), out=bounds[1:])
+        listed = ids.tolist()
+        return listed, source[bounds], ",".join(map(self.said.__getitem__, listed))
 
     def encode_spans(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
         """Ids and the byte span in the original text of each; spans follow one another without gaps."""

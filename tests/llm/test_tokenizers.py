@@ -62,6 +62,30 @@ def test_pieces_equal_the_library(by_library):
             assert spans == [(p.begin, p.end) for p in library.encode(t, return_type="proto").pieces]
 
 
+@pytest.mark.parametrize("by_library", [True, False])
+def test_spans_of_unknown_characters(by_library):
+    proto = pb.ModelProto()
+    proto.ParseFromString(PIECES)
+    proto.trainer_spec.byte_fallback = False
+    for p in proto.pieces:
+        if p.type == sp.BYTE:
+            p.type = sp.UNUSED
+    model = proto.SerializeToString()
+    codec, library = sp.Codec(model, by_library=by_library), sentencepiece.SentencePieceProcessor(model_proto=model)
+    texts = ["a🙂b 日本語 ꙮꙮ x", "\x01 é\x02", "🙂"] + soup(6, 300)
+    codec.warm([codec.segmented(t)[0] for t in texts])
+    for t in texts:
+        want = [(p.id, p.begin, p.end) for p in library.encode(t, return_type="proto").pieces]
+        ids, spans = codec.encode_spans(t)
+        merged = []  # the library joins unknown neighbours
+        for i, (a, b) in zip(ids, spans):
+            if merged and i == codec.unknown == merged[-1][0]:
+                merged[-1] = (i, merged[-1][1], b)
+            else:
+                merged.append((i, a, b))
+        assert merged == want
+
+
 def test_decoding_any_ids():
     codec, library, rng = sp.Codec(PIECES), sentencepiece.SentencePieceProcessor(model_proto=PIECES), random.Random(4)
     for _ in range(1500):
