@@ -28,12 +28,15 @@ from pyspark.sql import functions as F
 from .common import ship_package, vocabulary, worker_state
 
 SPACE = "▁"
+_SPACE_BYTE = np.array([0x20], np.uint8)
 _PLAIN = re.compile("[A-Za-z0-9À-ÖØ-öø-ÿ]")
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Units of more characters are encoded but not kept.
 MAX_CACHED_UNIT = 64
 #: What a worker's cache may take, in bytes, and what an entry takes besides its content.
 UNIT_BYTES, ENTRY_BYTES = 112 << 20, 200
+#: Texts whose new units are segmented in one call.
+TEXTS = 1_000
 
 
 def _one_byte(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -94,8 +97,8 @@ class Normalizer:
         #: Without a map and trimming, only spaces change, so a unit's ids do not depend on where it stands.
         self.plain = not self.map.units and not self.trim and self.escape
 
-    def replaced(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(bytes, source, step) after the longest known prefixes, one after another, are replaced.
+    def replaced(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, source) after the longest known prefixes, one after another, are replaced.
 
         source is where the step of each byte begins in raw; every other character is a step of its own and stays.
         """
@@ -116,15 +119,15 @@ class Normalizer:
                     at = i + size
         stay(at, len(one))
         if not parts:
-            return np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64)
-        out, source = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        return out, source, np.cumsum(np.r_[False, source[1:] != source[:-1]])
+            return np.empty(0, np.uint8), np.empty(0, np.int64)
+        return parts[0] if len(parts) == 1 else tuple(np.concatenate(column) for column in zip(*parts))
 
     def normalize(self, text: str) -> tuple[bytes, np.ndarray]:
         raw = text.encode()
-        out, source, step = self.replaced(raw)
+        out, source = self.replaced(raw)
         end = len(raw)
         if self.trim and len(out):  # spaces that begin a step go after a space, and at the ends
+            step = np.cumsum(np.r_[False, source[1:] != source[:-1]])
             space = out == 0x20
             first = np.flatnonzero(np.r_[True, step[1:] != step[:-1]])
             after = np.r_[True, space[:-1]][first][step]  # the text before this byte's step ends in a space, or is empty
@@ -139,12 +142,12 @@ class Normalizer:
         if not len(out):
             return b"", np.array([end])
         if self.prefix:
-            out, source = np.r_[np.uint8(0x20), out], np.r_[source[0], source]
+            out, source = np.concatenate([_SPACE_BYTE, out]), np.concatenate([source[:1], source])
         if self.escape:
             wide = np.where(out == 0x20, 3, 1)
             source = np.repeat(source, wide)
             out = out.tobytes().replace(b" ", SPACE.encode())
-        return bytes(out), np.r_[source, end]
+        return bytes(out), np.append(source, end)
 
 
 class _Units(dict):
@@ -349,8 +352,8 @@ def _encoded(docs: DataFrame, model: bytes | None, id_column: str, text: str, sc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_state(("codec", hash(shared.value)), lambda: Codec(shared.value))
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
                 found = [codec.segmented(t or "") for t in part.column(1).to_pylist()]
                 codec.warm([units for units, _ in found])
                 yield pa.RecordBatch.from_arrays([part.column(0), *made(codec, [codec.project(*f) for f in found])], names=names)
