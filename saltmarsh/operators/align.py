@@ -39,14 +39,18 @@ def tagged(parts: dict[str, DataFrame], tag: str = "entity") -> DataFrame:
     return append(*[df.withColumn(tag, F.lit(name)) for name, df in parts.items()])
 
 
-def running_totals(sizes: DataFrame, order: list[Column], n: str, name: str, parts: int = 512) -> DataFrame:
-    """sizes with the sum of ``n`` over the rows before each, in an order that tells all rows apart.
+#: Sources whose offsets are broadcast when rows are numbered over all of them; more of them meet their rows by a shuffle.
+FEW_SOURCES = 10_000
+
+
+def running_totals(sizes: DataFrame, order: list[Column], n: str, name: str, parts: int = 512, rows: int | None = None) -> DataFrame:
+    """sizes (of so many rows, if known) with the sum of ``n`` over the rows before each, in an order that tells all rows apart.
 
     Rows are dealt to ranges by bounds from a sample of about ``parts`` rows, which also are all that one task ever sorts
     of the ranges' totals; no task sorts the table.
     """
     keyed = sizes.withColumn("_rt_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
-    every = max(1, keyed.count() // parts)
+    every = max(1, (keyed.count() if rows is None else rows) // parts)
     sample = keyed.where(F.pmod(F.xxhash64("_rt_key"), F.lit(every)) == 0).agg(F.array_sort(F.collect_list("_rt_key")).alias("_rt_bounds"))
     ranged = keyed.join(F.broadcast(sample)).withColumn("_rt_part", F.size(F.filter("_rt_bounds", lambda b: b < F.col("_rt_key")))).drop("_rt_bounds")
     totals = ranged.groupBy(F.col("_rt_part").alias("_rt_p")).agg(F.sum(n).alias("_rt_sum"))
@@ -61,7 +65,8 @@ def rebased(df: DataFrame, path: str, row: str, name: str = "row_number") -> Dat
     Sources are counted first; a row's number is its rank in its source plus the rows of the sources before it.
     """
     sizes = df.groupBy(F.col(path).alias("_rb_path")).agg(F.count("*").alias("_rb_n"))
-    offsets = running_totals(sizes, [F.lower("_rb_path"), F.col("_rb_path")], "_rb_n", "_rb_before").drop("_rb_n")
+    sources = sizes.count()
+    offsets = running_totals(sizes, [F.lower("_rb_path"), F.col("_rb_path")], "_rb_n", "_rb_before", rows=sources).drop("_rb_n").hint("broadcast" if sources <= FEW_SOURCES else "merge")
     ranked = df.withColumn("_rb_rank", F.row_number().over(Window.partitionBy(path).orderBy(row)))
     return ranked.join(offsets, F.col(path).eqNullSafe(F.col("_rb_path"))).withColumn(name, (F.col("_rb_rank") + F.col("_rb_before") + 1).cast("long")).drop("_rb_rank", "_rb_path", "_rb_before")
 

@@ -168,14 +168,13 @@ def batch(block_rows: DataFrame, rules: BatchRules, errors: DataFrame | None = N
     cards whose middle is above it go. Rows are numbered from 2 over all files in order of path. errors: (source_file, error)
     of files that could not be read.
     """
-    known = block_rows.withColumn("role", role(F.col("source_file"), rules))
-    lines = cards.lines_of(known.where("role <> 'excluded'"))
-    of_role = lines.join(known.select("source_file", "role").distinct(), "source_file")
-    entries = category_entries(of_role.where("role = 'category_index'"))
-    found = stored(cards.with_issues(cards.cards(of_role.where("role = 'catalog_source'").drop("role"), gap, columns), threshold, gate=gate), "batch-cards")
-    heights = block_rows.groupBy("source_file", "page_number").agg(F.max("height").alias("height"))
-    low = blocks.keep_below_middle(found.join(heights, ["source_file", "page_number"], "left"))
-    kept = low.where(listed(F.col("source_file"), rules.keep_bottom_only)).unionByName(found.where(~listed(F.col("source_file"), rules.keep_bottom_only)), allowMissingColumns=True).drop("height")
+    known = block_rows.where("source_file is not null").withColumn("role", role(F.col("source_file"), rules))
+    entries = category_entries(cards.lines_of(known.where("role = 'category_index'")))
+    found = stored(cards.with_issues(cards.cards(cards.lines_of(known.where("role = 'catalog_source'")), gap, columns), threshold, gate=gate), "batch-cards")
+    lower = listed(F.col("source_file"), rules.keep_bottom_only)
+    heights = block_rows.where(lower).groupBy("source_file", "page_number").agg(F.max("height").alias("height"))
+    low = blocks.keep_below_middle(found.where(lower).join(heights, ["source_file", "page_number"], "left"))
+    kept = low.unionByName(found.where(~lower), allowMissingColumns=True).drop("height")
     kept = kept.withColumn("_place", F.struct("page_number", "card"))
     numbered = align.rebased(kept, "source_file", "_place").drop("_place")
     whole = named(numbered, "name")
@@ -184,7 +183,8 @@ def batch(block_rows: DataFrame, rules: BatchRules, errors: DataFrame | None = N
     variant_rows = align.rebased(cards.variants(kept).withColumn("_place", F.struct("page_number", "row_number")), "source_file", "_place", "row").drop("_place", "row_number").withColumnRenamed("row", "row_number")
     files = known.groupBy("source_file", "role").agg(F.count_distinct("page_number").alias("pages"), F.count("*").alias("blocks"))
     counts = kept.groupBy("source_file").agg(F.count("*").alias("products"), F.sum(F.size("variants")).alias("variants"))
-    files = files.join(counts, "source_file", "left").na.fill(0, ["products", "variants"])
+    # a row a file on either side: the estimate of a compressed table's size would have the driver collect one
+    files = files.join(counts.hint("merge"), "source_file", "left").na.fill(0, ["products", "variants"])
     if errors is None:
         files = files.withColumn("error", F.lit(None).cast("string"))
     else:

@@ -25,6 +25,13 @@ def shared_dir(spark: SparkSession) -> str:
     return context._saltmarsh_shared
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt by keys to enough tasks for all cores, where much work follows: a well packed file has few splits, however many rows it holds."""
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *keys)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage so that a lost executor costs no recomputation."""
     spark = df.sparkSession
