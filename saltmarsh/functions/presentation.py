@@ -40,7 +40,11 @@ def signature(c: Column) -> Column:
 
 def same(a: Column, b: Column) -> Column:
     """Equal quantities, and equal units unless one side names none."""
-    return (a["quantity"] == b["quantity"]) & ((a["unit"] == b["unit"]) | (a["unit"] == "") | (b["unit"] == ""))
+    return (a["quantity"] == b["quantity"]) & same_unit(a["unit"], b["unit"])
+
+
+def same_unit(a: Column, b: Column) -> Column:
+    return (a == b) | (a == "") | (b == "")
 
 
 def from_attributes(m: Column, keys: tuple[str, ...] = ATTRIBUTE_KEYS) -> Column:

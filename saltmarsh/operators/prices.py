@@ -54,13 +54,14 @@ def match_presentations(prices: DataFrame, variants: DataFrame) -> DataFrame:
     if it is one. variants: sku_producto, sku_variante, presentation.
     """
     p = prices.withColumn("_sig", presentation.signature(F.col("raw_name")))
-    v = variants.withColumn("_vsig", presentation.signature(F.col("presentation"))).withColumn("_count", F.count("*").over(Window.partitionBy("sku_producto")))
-    single = v.where(F.col("_count") == 1).select(F.col("sku_producto").alias("_p1"), F.col("sku_variante").alias("_single"))
-    sizes = v.groupBy("sku_producto").agg(F.count("*").alias("_variants")).withColumnRenamed("sku_producto", "_p0")
-    # quantity is an equi-join key; only the unit is compared row by row
-    pairs = p.where(F.col("_sig").isNotNull()).join(v.where(F.col("_vsig").isNotNull()), (F.col("target") == F.col("sku_producto")) & (F.col("_sig.quantity") == F.col("_vsig.quantity"))).where(presentation.same(F.col("_sig"), F.col("_vsig")))
-    one = pairs.groupBy("price_id").agg(F.count("*").alias("_hits"), F.min("sku_variante").alias("_hit")).withColumnRenamed("price_id", "_pid")
-    joined = p.join(sizes, F.col("target") == F.col("_p0"), "left").join(single, F.col("target") == F.col("_p1"), "left").join(one, F.col("price_id") == F.col("_pid"), "left")
+    v = variants.withColumn("_vsig", presentation.signature(F.col("presentation")))
+    sizes = v.groupBy(F.col("sku_producto").alias("_p0")).agg(F.count("*").alias("_variants"), F.min("sku_variante").alias("_single"))
+    # variants are counted by size before anything is joined: a size that very many of a product's variants share is one row
+    by_unit = v.where(F.col("_vsig").isNotNull()).groupBy(F.col("sku_producto").alias("_p1"), F.col("_vsig.quantity").alias("_q"), F.col("_vsig.unit").alias("_u")).agg(F.count("*").alias("n"), F.min("sku_variante").alias("first"))
+    of_size = by_unit.groupBy("_p1", "_q").agg(F.collect_list(F.struct("_u", "n", "first")).alias("_units"))
+    joined = p.join(sizes, F.col("target") == F.col("_p0"), "left").join(of_size, (F.col("target") == F.col("_p1")) & (F.col("_sig.quantity") == F.col("_q")), "left")
+    met = F.filter("_units", lambda x: presentation.same_unit(F.col("_sig.unit"), x["_u"]))
+    joined = joined.withColumn("_met", met).withColumn("_hits", F.aggregate("_met", F.lit(0).cast("long"), lambda n, x: n + x["n"])).withColumn("_hit", F.array_min(F.transform("_met", lambda x: x["first"])))
     variant = F.when(F.col("_variants") == 1, F.col("_single")).when(F.col("_hits") == 1, F.col("_hit"))
     reason = F.when(F.col("_variants").isNull(), RETAINED).when(variant.isNotNull(), F.lit(None).cast("string")).when(F.col("_sig").isNull(), AMBIGUOUS).otherwise(NOT_FOUND)
     return joined.select(*prices.columns, variant.alias("sku_variante"), reason.alias("reason"))
