@@ -10,15 +10,25 @@ BBOX = "array<double>"
 
 def ocr_lines(words: DataFrame, keys: list[str], index: str = "word_no", text: str = "text") -> DataFrame:
     """Words (with x0, y0, x1, y1, conf) as lines: text in word order, the union of boxes, mean of known confidences / 100."""
-    known = F.when(F.col("conf") >= 0, F.col("conf"))
-    return words.groupBy(*keys).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(index, text))), lambda w: w[text]), " ").alias("text"),
-        F.min("x0").alias("x0"),
-        F.min("y0").alias("y0"),
-        F.max("x1").alias("x1"),
-        F.max("y1").alias("y1"),
-        (F.avg(known) / 100).alias("confidence"),
-    )
+    held = words.groupBy(*keys).agg(F.collect_list(F.struct(F.col(index).alias("word_no"), F.col(text).alias("text"), *WORD_FIELDS)).alias("words"))
+    return packed_lines(held, keys)
+
+
+#: What a word has besides its place and its text.
+WORD_FIELDS = ("x0", "y0", "x1", "y1", "conf")
+
+
+def packed_lines(lines: DataFrame, keys: list[str], words: str = "words") -> DataFrame:
+    """The same of lines that hold their words, as an array of (word_no, text, x0, y0, x1, y1, conf): no word leaves its row."""
+
+    def of(name: str) -> Column:
+        return F.transform(words, lambda w: w[name])
+
+    known = F.filter(of("conf"), lambda c: c >= 0)
+    mean = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda a, c: a + c) / F.size(known))
+    ordered = F.array_sort(F.transform(words, lambda w: F.struct(w["word_no"].alias("word_no"), w["text"].alias("text"))))
+    box = [f(of(c)).alias(c) for f, c in ((F.array_min, "x0"), (F.array_min, "y0"), (F.array_max, "x1"), (F.array_max, "y1"))]
+    return lines.select(*keys, F.array_join(F.transform(ordered, lambda w: w["text"]), " ").alias("text"), *box, (mean / 100).alias("confidence"))
 
 
 def ocr_json_items(payload: Column) -> Column:
@@ -120,7 +130,7 @@ def paragraphs(df: DataFrame, keys: list[str], order: str = "top", text: str = "
     """Lines (top, bottom) joined to paragraphs: a gap above max(12, 1.45 x the median height) parts them."""
     heights = df.groupBy(*keys).agg(F.median(F.col("bottom") - F.col("top")).alias("_h"))
     w = Window.partitionBy(*keys).orderBy(order)
-    lines = df.join(heights, keys).withColumn("_break", F.when(F.col("top") - F.lag("bottom").over(w) > F.greatest(F.lit(12.0), 1.45 * F.col("_h")), 1).otherwise(0))
+    lines = df.join(heights.hint("merge"), keys).withColumn("_break", F.when(F.col("top") - F.lag("bottom").over(w) > F.greatest(F.lit(12.0), 1.45 * F.col("_h")), 1).otherwise(0))
     numbered = lines.withColumn("_p", F.sum("_break").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     joined = numbered.groupBy(*keys, "_p").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]), " ").alias("_t"))
     return joined.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_p", "_t"))), lambda x: x["_t"]), "\n\n").alias(text))
