@@ -87,39 +87,44 @@ def attributes(c: Column) -> Column:
     they are compared, so two spellings of one key are an error. Blank text is a null value without an error.
     """
 
-    def pair(p: Column) -> Column:
-        mark = F.when(p.contains("="), "=").otherwise(":")
-        return let(F.locate("=", p), lambda eq: let(F.when(eq > 0, eq).otherwise(F.locate(":", p)), lambda at: F.struct(F.when(at > 0, F.substr(p, F.lit(1), at - 1)).alias("k"), F.when(at > 0, F.substr(p, at + F.char_length(mark))).alias("v"))))
-
-    def split(src: Column) -> Column:
-        """The raw pairs: an object's keys (duplicates kept) with their values, or the parts of a text."""
-        names = src["names"]
-        of_json = F.transform(names, lambda k: F.struct(k.alias("k"), F.element_at(src["raw"], k).alias("v")))
-        parts = F.filter(F.transform(F.split(src["t"], r"[;|\n]"), F.trim), lambda p: p != "")
-        return F.when(names.isNotNull(), of_json).otherwise(F.transform(parts, pair))
-
-    def judge(src: Column, pairs: Column, clean: Column) -> Column:
-        t, is_object, keys = src["t"], src["names"].isNotNull(), F.transform(clean, lambda p: p["k"])
+    def key(p: Column) -> Column:
+        return attribute_key(F.when(p.contains("="), F.substring_index(p, "=", 1)).when(p.contains(":"), F.substring_index(p, ":", 1)))
+
+    def value(p: Column) -> Column:
+        return F.trim(F.when(p.contains("="), F.substr(p, F.locate("=", p) + 1)).when(p.contains(":"), F.substr(p, F.locate(":", p) + 1)))
+
+    def raw(keys: Column, values: Column, nested: Column) -> Column:
+        return F.struct(keys.alias("keys"), values.alias("values"), nested.alias("nested"))  # nested: null of pairs
+
+    def of_json(t: Column) -> Column:
+        """An object's keys (duplicates kept) with their values; null if the text is none."""
+
+        def taken(names: Column, held: Column) -> Column:
+            said = F.transform(names, lambda k: F.element_at(held, k))
+            return F.when(names.isNotNull(), raw(F.transform(names, attribute_key), F.transform(said, lambda v: F.trim(v)), F.exists(said, lambda v: F.coalesce(v.rlike(r"^\s*[\{\[]"), F.lit(False)))))
+
+        return let(F.struct(F.json_object_keys(t).alias("names"), F.from_json(t, "map<string,string>").alias("held")), lambda o: taken(o["names"], o["held"]))
+
+    def of_pairs(t: Column) -> Column:
+        """The parts of a text; one without a mark has neither key nor value."""
+        # one character to split at, so no pattern is compiled a row; a bare F.trim would take a part's index for the characters to trim
+        pieces = F.split(F.replace(F.replace(t, F.lit("|"), F.lit(";")), F.lit("\n"), F.lit(";")), ";")
+        parts = F.filter(F.transform(pieces, lambda p: F.trim(p)), lambda p: p != "")
+        return let(parts, lambda ps: raw(F.transform(ps, key), F.transform(ps, value), F.lit(None).cast("boolean")))
+
+    def judge(t: Column, src: Column) -> Column:
+        keys, values, is_object = src["keys"], src["values"], src["nested"].isNotNull()
         error = (
             F.when(is_blank(t), F.lit(None))
             .when(~is_object & t.rlike(_MAYBE_JSON) & F.try_parse_json(t).isNotNull(), F.when(t == "null", "invalid pair").otherwise("must be an object"))
-            .when(F.exists(clean, lambda p: p["k"].isNull()), "invalid pair")
-            .when(F.exists(clean, lambda p: p["v"].isNull() | (p["v"] == "")), "empty value")
-            .when(is_object & F.exists(pairs, lambda p: p["v"].rlike(r"^\s*[\{\[]")), "nested value")
-            .when(F.size(F.array_distinct(keys)) < F.size(keys), "duplicate key")
+            .when(F.exists(keys, lambda k: k.isNull()), "invalid pair")
+            .when(F.exists(values, lambda v: v.isNull() | (v == "")), "empty value")
+            .when(src["nested"], "nested value")
+            .when((F.size(keys) > 1) & (F.size(F.array_distinct(keys)) < F.size(keys)), "duplicate key")
         )
-        value = F.map_from_arrays(keys, F.transform(clean, lambda p: p["v"]))
-        return let(error.cast("string"), lambda e: F.struct(F.when(e.isNull() & ~is_blank(t) & (F.size(clean) > 0), value).alias("value"), e.alias("error")))
-
-    def read(src: Column) -> Column:
-        def cleaned(pairs: Column) -> Column:
-            clean = F.transform(pairs, lambda p: F.struct(attribute_key(p["k"]).alias("k"), F.trim(p["v"]).alias("v")))
-            return let(clean, lambda x: judge(src, pairs, x))
-
-        return let(split(src), cleaned)
+        return let(error.cast("string"), lambda e: F.struct(F.when(e.isNull() & ~is_blank(t) & (F.size(keys) > 0), F.map_from_arrays(keys, values)).alias("value"), e.alias("error")))
 
-    def opened(t: Column) -> Column:  # only what begins as an object is parsed as one
-        object_ = t.startswith("{")
-        return F.struct(t.alias("t"), F.when(object_, F.json_object_keys(t)).alias("names"), F.when(object_, F.from_json(t, "map<string,string>")).alias("raw"))
+    def read(t: Column) -> Column:  # only what begins as an object is parsed as one
+        return let(F.coalesce(F.when(t.startswith("{"), of_json(t)), of_pairs(t)), lambda src: judge(t, src))
 
-    return let(F.trim(c), lambda t: let(opened(t), read))
+    return let(F.trim(c), read)

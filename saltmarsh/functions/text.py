@@ -30,6 +30,10 @@ FOLD_FROM, FOLD_TO = _fold_pairs()
 MOJIBAKE_MARKS = "[ÃÂâð�\\x80-\\x9f]"
 #: HTML's named entities of one character, by name, as one JSON object.
 _ENTITIES = json.dumps({k[:-1]: v for k, v in html5.items() if k.endswith(";") and len(v) == 1})
+#: Texts that fold by lower-casing alone; one plain word; texts that JSON takes as they are.
+_ASCII = r"^[\x00-\x7f]*\z"
+_WORD = r"^ *[A-Za-z0-9]+ *\z"
+_UNESCAPED = r"^[ !#-\[\]-~]*\z"
 _ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);|[^&]+|&"
 
 
@@ -83,8 +87,9 @@ def stable_text(c: Column) -> Column:
 
 def attribute_key(c: Column) -> Column:
     """Snake case of an attribute name; null where nothing is left (an error for callers)."""
-    key = F.regexp_replace(F.regexp_replace(strip_marks(casefold(F.trim(c))), "[^a-z0-9]+", "_"), "^_+|_+$", "")
-    return F.when(key != "", key)
+    folded = F.when(c.rlike(_ASCII), F.lower(c)).otherwise(strip_marks(casefold(c)))
+    snake = let(F.btrim(F.regexp_replace(folded, "[^a-z0-9]+", "_"), F.lit("_")), lambda key: F.when(key != "", key))
+    return F.when(c.rlike(_WORD), F.lower(F.trim(c))).otherwise(snake)
 
 
 def mojibake_score(c: Column) -> Column:
@@ -132,12 +137,13 @@ def clean_text(c: Column) -> Column:
 
 def json_string(c: Column) -> Column:
     """A JSON string literal."""
-    return F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+    escaped = F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+    return F.when(c.rlike(_UNESCAPED), F.concat(F.lit('"'), c, F.lit('"'))).otherwise(escaped)
 
 
 def canonical_json(m: Column) -> Column:
     """A map of strings as JSON with sorted keys and spaced separators."""
-    pair = F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(json_string(e["key"]), F.lit(": "), json_string(e["value"])))
+    pair = F.transform(F.sort_array(F.map_entries(m)), lambda e: F.concat(json_string(e["key"]), F.lit(": "), json_string(e["value"])))
     return F.concat(F.lit("{"), F.array_join(pair, ", "), F.lit("}"))
 
 

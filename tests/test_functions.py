@@ -1,3 +1,4 @@
+import json
 from decimal import Decimal
 
 import pytest
@@ -49,6 +50,23 @@ def test_attributes(spark, said, value, failed):
     assert (got.value, got.error is not None) == (value, failed)
 
 
+def test_attribute_parts_lose_spaces_only(spark):
+    got = column(spark, ["color=10", "a=1;talla=41", "0=x", " a = 1 ;  ; b=2 ", '{"a": " 0 ", "b": "10"}'], parse.attributes)
+    assert [(r.value, r.error) for r in got] == [({"color": "10"}, None), ({"a": "1", "talla": "41"}, None), ({"0": "x"}, None), ({"a": "1", "b": "2"}, None), ({"a": "0", "b": "10"}, None)]
+
+
+def test_keys_are_folded_once(spark):
+    df = spark.createDataFrame([("x",)], "v string").select(text.attribute_key(F.col("v")).alias("k"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 1
+    said = [" Color ", "COLOR uno", "Línea", "Li\u0301nea", "Straße", "_a__b_", "\u2028a", " ", ""]
+    assert column(spark, said, text.attribute_key) == ["color", "color_uno", "linea", "linea", "strasse", "a_b", "a", None, None]
+
+
+def test_json_strings(spark):
+    said = ["uno 2", "", 'a"b', "a\\b", "a\nb", "ñ/<&>'", "a\u2028b"]
+    assert column(spark, said, text.json_string) == [json.dumps(x, ensure_ascii=False) for x in said]
+
+
 def test_folding(spark):
     assert column(spark, ["Máscara N° 3 &amp; Straße", "MÃ¡scara", None], text.match_key) == ["mascaran3strasse", "mascara", None]
     assert column(spark, ["  Ácido--Hialurónico  ", "¡¿?!"], text.fold_text) == ["acido hialuronico", ""]

@@ -94,3 +94,10 @@ def test_words_stay_with_their_lines(spark):
 @pytest.mark.parametrize("name", ["title_case", "description_format", "card_variants"])
 def test_python_work_is_dealt_to_all_cores(spark, name):
     assert catalogue.QUERIES[name](spark, SF).rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("name", ["attribute_pairs", "attributes_parse"])
+def test_attributes_are_dealt_before_they_are_parsed(spark, name):
+    df = catalogue.QUERIES[name](spark, SF)
+    assert df.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    assert plan_of(df).rindex("Exchange") > plan_of(df).index("map_from_arrays")  # parents come first in a plan's text
